@@ -25,9 +25,10 @@ def word_count(text: str) -> str:
 
 
 def capitalised(text: str) -> str:
+    """Title case: the Unicode title form of a leading ``ß`` is ``Ss``, which ``upper`` does not give."""
     return (
         f"array_to_string(list_transform(string_split({text}, ' '), "
-        "lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+        "lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || lower(w[2:])), ' ')"
     )
 
 

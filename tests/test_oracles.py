@@ -2,65 +2,24 @@
 
 from __future__ import annotations
 
-import math
 import os
 
-import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.compare import connect, differences
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
-
-
-def plain(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(value)
-    return None if value is None else str(value)
-
-
-def rows_of(names, rows):
-    order = sorted(range(len(names)), key=lambda i: names[i])
-    return sorted(
-        (tuple(plain(row[i]) for i in order) for row in rows),
-        key=lambda r: tuple((v is not None, v or "") for v in r),
-    )
 
 
 @pytest.fixture(scope="module")
 def duck():
-    connection = duckdb.connect()
-    for table in TABLES:
-        connection.execute(f"CREATE VIEW {table} AS FROM '{SF_DIR}/{table}.parquet'")
-    return connection
-
-
-# Spark types and the DuckDB types that hold the same values.
-SAME_TYPE = {
-    "string": "VARCHAR",
-    "bigint": "BIGINT",
-    "int": "INTEGER",
-    "double": "DOUBLE",
-    "boolean": "BOOLEAN",
-    "date": "DATE",
-}
+    return connect(SF_DIR)
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, ansi, duck, name):
-    expected = duck.execute(oracle_sql()[name])
-    kinds = {d[0]: str(d[1]) for d in expected.description}
-    wanted = expected.fetchall()
-
-    found = queries()[name](spark, SF_DIR)
-    assert sorted(found.columns) == sorted(kinds)
-    assert {c: SAME_TYPE[t] for c, t in found.dtypes} == kinds
-    assert rows_of(found.columns, found.collect()) == rows_of(list(kinds), wanted)
-    assert wanted, "an oracle without rows checks nothing"
+    assert differences(queries()[name](spark, SF_DIR), duck, oracle_sql()[name]) == []
 
 
 def test_every_query_has_an_oracle():
