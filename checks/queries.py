@@ -14,7 +14,7 @@ from reviewmill.functions import dates, nested, rating, text
 from reviewmill.functions.names import snake_label
 from reviewmill.operators import columns, counts, dedupe, filters, norms, profile, scoring, sets
 from reviewmill.plans import bronze, dashboards, enrich, gold, quality, silver
-from reviewmill.schemas import ANSWER, REVIEWS
+from reviewmill.schemas import GOLD_COLUMNS, REVIEWS
 from reviewmill.session import scratch_path
 from reviewmill.sources import layout, positions, readers, writers
 from reviewmill.streaming import jobs
@@ -55,13 +55,23 @@ SELECT asin, array_to_string(image, ',') AS image, overall, review_text, reviewe
 FROM g"""
 )
 def gold_reviews_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 22 gold columns from raw stand-ins, through silver, of both review feeds."""
-    events = data.envelopes(data.table(spark, sf_dir, "events"))
-    rows = gold.gold_reviews(
-        silver.silver_reviews(data.bronze_reviews(spark, sf_dir)),
-        silver.silver_events(bronze.bronze_events(events)),
+    """All 22 gold columns, each layer written as a table and read by the next."""
+    base = scratch_path(spark, "gold")
+    events = data.event_feed(spark, sf_dir)
+    writers.overwrite_table(
+        silver.silver_reviews(data.bronze_reviews(spark, sf_dir)), f"{base}/reviews", "year_month"
+    )
+    writers.overwrite_table(
+        silver.silver_events(bronze.bronze_events(events)), f"{base}/events", "date_utc"
+    )
+    writers.overwrite_table(
         silver.silver_metadata(data.bronze_metadata(spark, sf_dir), ["similar_item"]),
+        f"{base}/metadata",
+    )
+    gold.write_gold(
+        spark, f"{base}/reviews", f"{base}/events", f"{base}/metadata", f"{base}/gold"
     )
+    rows = readers.read_table(spark, f"{base}/gold").select(*GOLD_COLUMNS)
     return rows.withColumns(
         {
             "image": F.array_join("image", ","),
@@ -79,7 +89,8 @@ def gold_reviews_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT brand, overall_brand FROM b WHERE brand IS NOT NULL"""
 )
 def brand_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return norms.average_through_product(data.reviews(spark, sf_dir), data.products(spark, sf_dir))
+    totals = norms.product_totals(data.reviews(spark, sf_dir))
+    return norms.average_through_product(totals, data.products(spark, sf_dir))
 
 
 @query(f"WITH {sql.JOINED} SELECT reviewer_id, overall_reviewer FROM v")
@@ -90,7 +101,9 @@ def reviewer_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {sql.JOINED} SELECT asin, reviewer_id, overall, date, brand, main_cat FROM j")
 def reviews_with_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return norms.attach_product(data.reviews(spark, sf_dir), data.products(spark, sf_dir))
+    rows = data.reviews(spark, sf_dir)
+    sizes = norms.product_totals(rows)
+    return norms.attach_product(rows, data.products(spark, sf_dir), sizes=sizes)
 
 
 @query(
@@ -101,8 +114,10 @@ FROM j LEFT JOIN b ON j.brand = b.brand"""
 )
 def brand_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, products = data.reviews(spark, sf_dir), data.products(spark, sf_dir)
-    averages = norms.average_through_product(rows, products)
-    placed = norms.attach_product(rows, norms.with_average(products, averages, "brand"))
+    totals = norms.product_totals(rows)
+    averages = norms.average_through_product(totals, products, products="rows")
+    branded = norms.with_average(products, averages, "brand", "rows")
+    placed = norms.attach_product(rows, branded, sizes=totals)
     judged = norms.with_deviation(placed, "overall_brand", "brand_deviation")
     return judged.drop("date", "main_cat", "overall_brand")
 
@@ -115,10 +130,9 @@ FROM r LEFT JOIN v USING (reviewer_id)"""
 )
 def reviewer_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = data.reviews(spark, sf_dir)
-    averages = norms.group_average(rows, "reviewer_id", "overall", "overall_reviewer")
-    judged = norms.with_deviation(
-        norms.with_average(rows, averages, "reviewer_id"), "overall_reviewer", "reviewer_deviation"
-    )
+    averages = norms.group_average(rows, "reviewer_id", "overall", "overall_reviewer", "rows")
+    placed = norms.with_average(rows, averages, "reviewer_id", "rows")
+    judged = norms.with_deviation(placed, "overall_reviewer", "reviewer_deviation")
     return judged.drop("date", "overall_reviewer")
 
 
@@ -131,7 +145,7 @@ SELECT asin, try_cast(overall AS DOUBLE), reviewer_id, try_cast(verified AS BOOL
 )
 def union_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = silver.silver_reviews(data.bronze_reviews(spark, sf_dir))
-    events = bronze.bronze_events(data.envelopes(data.table(spark, sf_dir, "events")))
+    events = bronze.bronze_events(data.event_feed(spark, sf_dir))
     feeds = sets.union_feeds(REVIEWS, batch, gold.streamed_reviews(silver.silver_events(events)))
     return feeds.select("asin", "overall", "reviewer_id", "verified", "vote", "date")
 
@@ -198,7 +212,7 @@ def flat_events(events: DataFrame) -> DataFrame:
 
 @query(f"WITH {sql.SILVER_EVENTS} {sql.SILVER_EVENTS_SELECT}")
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = data.envelopes(data.table(spark, sf_dir, "events"))
+    events = data.event_feed(spark, sf_dir)
     return flat_events(silver.silver_events(bronze.bronze_events(events)))
 
 
@@ -212,7 +226,7 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.run_until_done(
         jobs.stream_bronze_events(events, f"{base}/bronze", f"{base}/checkpoints/bronze")
     )
-    stored = bronze.bronze_events(data.envelopes(data.table(spark, sf_dir, "events"))).schema
+    stored = bronze.bronze_events(data.event_feed(spark, sf_dir)).schema
     jobs.run_until_done(
         jobs.stream_silver_events(
             spark, f"{base}/bronze", stored, f"{base}/silver", f"{base}/checkpoints/silver"
@@ -228,7 +242,7 @@ WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:0
 def resume_from_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run stores its position; the second reads from there, that time included."""
     path = scratch_path(spark, "positions")
-    events = data.envelopes(data.table(spark, sf_dir, "events"))
+    events = data.event_feed(spark, sf_dir)
     first = bronze.bronze_events(events.where(F.col("enqueuedTime") < F.lit(DAY)))
     positions.save_position(first, path, "events")
     start = readers.start_position(positions.stored_position(spark, path, "events"))
@@ -259,7 +273,7 @@ def position_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
   strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS enqueued_time FROM events"""
 )
 def position_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = bronze.bronze_events(data.envelopes(data.table(spark, sf_dir, "events")))
+    events = bronze.bronze_events(data.event_feed(spark, sf_dir))
     return counts.high_water_mark(events).withColumn(
         "enqueued_time", F.date_format("enqueued_time", dates.INSTANT)
     )
@@ -493,13 +507,11 @@ def snake_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.get_formatted_column_names(part)
 
 
-@query("SELECT page_id, count(*) OVER () AS pages FROM pages")
+@query("SELECT page_id, true AS from_pages FROM pages")
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row carries the file it came from, so the files together hold all rows."""
+    """Every row carries the file it came from."""
     pages = columns.add_file_source_column(data.table(spark, sf_dir, "pages").select("page_id"))
-    held = counts.count_by(pages.where("file_source <> ''"), "file_source")
-    total = held.agg(F.sum("n").alias("pages"))
-    return pages.select("page_id").join(F.broadcast(total))
+    return pages.select("page_id", F.contains("file_source", F.lit("pages")).alias("from_pages"))
 
 
 @query(f"""SELECT page_id, {sql.decoded("html")} AS html FROM pages""")
@@ -574,7 +586,7 @@ def price_to_float(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def word_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = data.table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = documents.withColumn("words", text.word_count(F.col("text")))
+    counted = readers.spread(documents).withColumn("words", text.word_count(F.col("text")))
     return counted.select(
         "doc_id",
         F.col("words").cast("bigint").alias("words"),
@@ -887,7 +899,8 @@ def make_length_classifier():
 
 
 def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return data.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review_text"))
+    documents = data.table(spark, sf_dir, "documents")
+    return readers.spread(documents.select("doc_id", F.col("text").alias("review_text")))
 
 
 def _rule_sql(text_column: str) -> str:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.sources.readers import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,7 +32,11 @@ def unix_seconds(moment: str):
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-column reviews."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_quantity", "l_shipdate"
+        )
+    )
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_partkey").alias("asin"),
         F.col("o_custkey").alias("reviewer_id"),
@@ -56,7 +62,11 @@ def bronze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full bronze reviews, with raw image lists and entities in the names."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_linestatus", "l_shipdate"
+        )
+    )
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         texts, F.col("l_orderkey") == F.col("doc_id"), "left"
     )
@@ -141,6 +151,11 @@ def bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one batch of envelopes."""
+    return envelopes(spread(table(spark, sf_dir, "events")))
+
+
 def envelopes(events: DataFrame) -> DataFrame:
     """Events as the envelopes of the review event feed; works on a stream too."""
     number, name = F.col("event_id"), F.col("event_type")

@@ -32,7 +32,8 @@ def without(items: Column, value: str) -> Column:
 
 
 def null_if_empty(items: Column) -> Column:
-    return F.when(F.size(items) > 0, items)
+    """Null instead of an empty array; ``nullif`` works its argument out once."""
+    return F.nullif(items, F.array().cast("array<string>"))
 
 
 def image_links(value: Column) -> Column:

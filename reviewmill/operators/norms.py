@@ -10,53 +10,89 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.rating import deviation, deviation_label
+from reviewmill.operators.skew import HOT_ROWS, hot_keys, salted_left_join
 
 
-def attach_product(reviews: DataFrame, metadata: DataFrame, key: str = "asin") -> DataFrame:
+def attach_product(
+    reviews: DataFrame, metadata: DataFrame, key: str = "asin", sizes: DataFrame | None = None
+) -> DataFrame:
     """Left join of product columns; reviews of unknown products stay.
 
-    No hint: Spark broadcasts the products when they measure small, else it
-    shuffles both sides and splits the partitions of hot products.
+    No hint: Spark broadcasts the products when they measure small. With ``sizes``
+    (rows per product) hot products are salted; without, adaptive execution splits them.
     """
-    return reviews.join(metadata, key, "left")
+    if sizes is None:
+        return reviews.join(metadata, key, "left")
+    return salted_left_join(reviews, metadata, key, hot_keys(sizes, key))
+
+
+def group_average(
+    dataframe: DataFrame, key: str, rating: str, name: str, rows: str | None = None
+) -> DataFrame:
+    """Average rating per key, and on demand its rows. The null key is left out: it never joins."""
+    measures = [F.avg(rating).alias(name)]
+    if rows:
+        measures.append(F.count("*").alias(rows))
+    return dataframe.where(F.col(key).isNotNull()).groupBy(key).agg(*measures)
 
 
-def group_average(dataframe: DataFrame, key: str, rating: str, name: str) -> DataFrame:
-    """Average rating per key, without the null key: it never matches in a join back."""
-    return dataframe.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(rating).alias(name))
+def product_totals(reviews: DataFrame, key: str = "asin", rating: str = "overall") -> DataFrame:
+    """Sum and number of ratings, and rows, per product."""
+    return (
+        reviews.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(
+            F.sum(rating).alias("rating_sum"),
+            F.count(rating).alias("ratings"),
+            F.count("*").alias("rows"),
+        )
+    )
 
 
 def average_through_product(
-    reviews: DataFrame,
+    totals: DataFrame,
     metadata: DataFrame,
     *,
     key: str = "asin",
     group: str = "brand",
-    rating: str = "overall",
     name: str = "overall_brand",
+    products: str | None = None,
 ) -> DataFrame:
     """Average rating per product attribute, the same as over the joined rows.
 
-    Ratings are summed per product before the join, so the join sees one narrow row
-    per product and no review text moves.
+    It starts from ``product_totals``, so the join sees one narrow row per product and no
+    review text moves. ``products`` names a column for the number of product rows.
     """
-    totals = (
-        reviews.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.sum(rating).alias("_sum"), F.count(rating).alias("_rated"))
-    )
-    return (
+    grouped = (
         metadata.select(key, group)
         .where(F.col(group).isNotNull())
-        .join(totals, key)
+        .join(totals, key, "left")
         .groupBy(group)
-        .agg(F.try_divide(F.sum("_sum"), F.sum("_rated")).alias(name))
+        .agg(
+            F.try_divide(F.sum("rating_sum"), F.sum("ratings")).alias(name),
+            F.count("*").alias(products or "_products"),
+            F.sum("rows").alias("_reviews"),
+        )
     )
+    # An attribute none of whose products was reviewed is in no joined row.
+    return grouped.where(F.col("_reviews") > 0).select(group, name, *([products] if products else []))
 
 
-def with_average(dataframe: DataFrame, averages: DataFrame, key: str) -> DataFrame:
-    """Join a group's average back to its rows; a null key matches nothing."""
-    return dataframe.join(averages, key, "left")
+def with_average(
+    dataframe: DataFrame,
+    averages: DataFrame,
+    key: str,
+    rows: str | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join a group's average back to its rows; a null key matches nothing.
+
+    ``rows`` names the column of ``averages`` with the group sizes, by which hot groups are salted.
+    """
+    if rows is None:
+        return dataframe.join(averages, key, "left")
+    hot = hot_keys(averages, key, rows, hot_rows)
+    return salted_left_join(dataframe, averages.drop(rows), key, hot)
 
 
 def with_deviation(

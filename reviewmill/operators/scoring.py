@@ -116,12 +116,22 @@ def token_total(dataframe: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 
 def rule_sentiment(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
-    """Sentiment by which word list has more distinct words in the text; a tie is neutral."""
+    """Sentiment by which word list has more distinct words in the text; a tie is neutral.
+
+    The text is split once, and only the listed words that it holds go on.
+    """
     words = F.split(F.lower(text), r"[^\p{L}]+")
+    listed = F.array(*(F.lit(word) for word in dict.fromkeys([*positive, *negative])))
+
+    def weight(word: Column) -> Column:
+        return word.isin(*positive).cast("int") - word.isin(*negative).cast("int")
+
+    lead = F.aggregate(
+        F.array_intersect(words, listed), F.lit(0), lambda total, word: total + weight(word)
+    )
 
-    def hits(wanted: Sequence[str]) -> Column:
-        return F.size(F.array_intersect(words, F.array(*(F.lit(w) for w in wanted))))
+    def label(by: Column) -> Column:
+        return F.when(by > 0, "Positive").when(by < 0, "Negative").when(by == 0, "Neutral")
 
-    lead = hits(positive) - hits(negative)
-    label = F.when(lead > 0, "Positive").when(lead < 0, "Negative").otherwise("Neutral")
-    return F.when(text.isNotNull(), label)
+    # A one-element array, so that the lead is worked out once for all three tests.
+    return F.get(F.transform(F.array(lead), label), F.lit(0))

@@ -48,9 +48,12 @@ def enrich_day(
 ) -> int:
     """Daily job: score one day's reviews, replace that day in the table, publish that day.
 
-    The scorer runs once: the table is read back for everything after it. Returns the row count.
+    The scorer runs once: the table is read back for everything after it. One day is small in
+    bytes but slow to score, so it is spread over ``tasks`` tasks, all cores unless told
+    otherwise. Returns the row count.
     """
     day = day or default_run_date()
+    limits["tasks"] = limits.get("tasks") or spark.sparkContext.defaultParallelism
     scored = score_reviews(reviews_to_score(spark.read.parquet(gold), day), make_scorer, **limits)
     rows = replace_day(scored, table, day)
     if publish_as and rows:

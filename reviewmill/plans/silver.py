@@ -73,21 +73,32 @@ def silver_metadata(
     return clean_metadata(latest_per_key(dated, key, "date", tiebreak))
 
 
-def clean_reviews(reviews: DataFrame) -> DataFrame:
-    """The cleaning shared by batch and streamed reviews."""
+def clean_fields(reviews: DataFrame) -> DataFrame:
+    """Image list and reviewer name, as both feeds need them."""
     return reviews.withColumns(
         {
             "image": image_links(F.col("image")),
             "reviewer_name": decode_entities(F.col("reviewer_name")),
-            "review_word_count": word_count(F.col("review_text")),
         }
-    ).withColumn("keyword", one_word(F.col("review_text"), F.col("review_word_count")))
+    )
+
+
+def with_words(reviews: DataFrame) -> DataFrame:
+    """Word count of the text, and the keyword of a one-word review."""
+    counted = reviews.withColumn("review_word_count", word_count(F.col("review_text")))
+    return counted.withColumn(
+        "keyword", one_word(F.col("review_text"), F.col("review_word_count"))
+    )
 
 
 def silver_reviews(bronze: DataFrame) -> DataFrame:
-    """Distinct reviews, cleaned."""
+    """Distinct reviews, cleaned.
+
+    Rows are compared once their fields are clean. Word count and keyword follow from the
+    text, so they are added after that: each distinct text is split once, and no key is wider for it.
+    """
     named = bronze.withColumnsRenamed({"unix_review_time_date": "date"})
-    return distinct_rows(clean_reviews(named))
+    return with_words(distinct_rows(clean_fields(named)))
 
 
 def silver_events(bronze: DataFrame) -> DataFrame:
@@ -100,4 +111,4 @@ def silver_events(bronze: DataFrame) -> DataFrame:
     timed = parsed.withColumn(
         "unix_review_time", F.coalesce("unix_review_time", "unixReviewTime")
     ).drop("unixReviewTime")
-    return clean_reviews(timed.withColumnsRenamed(EVENT_NAMES))
+    return with_words(clean_fields(timed.withColumnsRenamed(EVENT_NAMES)))

@@ -1,0 +1,215 @@
+"""Gold against a plain Python evaluation of its definition, and its plan with hot keys."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from reviewmill.operators.norms import average_through_product, product_totals
+from reviewmill.operators.sets import union_feeds
+from reviewmill.operators.skew import hot_keys
+from reviewmill.plans.gold import compare_reviews
+from reviewmill.schemas import REVIEWS
+
+REVIEW_DDL = "asin string, reviewer_id string, overall double, date date"
+PRODUCT_DDL = "asin string, brand string, title string"
+
+
+def mean_by(pairs):
+    groups = defaultdict(list)
+    for key, value in pairs:
+        if key is not None and value is not None:
+            groups[key].append(value)
+    return {key: sum(values) / len(values) for key, values in groups.items()}
+
+
+def label(value, mean):
+    if value is None or mean is None or value == mean:
+        return "normal"
+    return "better" if value > mean else "worse"
+
+
+def by_definition(reviews, products):
+    joined = []
+    for review in reviews:
+        matches = [p for p in products if p[0] == review[0] and p[0] is not None]
+        joined += [(*review, *(p[1:])) for p in matches] or [(*review, None, None)]
+    brands = mean_by((row[4], row[2]) for row in joined)
+    reviewers = mean_by((row[1], row[2]) for row in joined)
+    return {
+        (
+            *row,
+            label(row[2], brands.get(row[4])),
+            label(row[2], reviewers.get(row[1])),
+            row[3].replace(day=1) if row[3] else None,
+        )
+        for row in joined
+    }
+
+
+def made(seed, rows=300, hot=False):
+    pick = random.Random(seed)
+    reviews = [
+        (
+            pick.choice(["a", "b", "c", "d", "zz", None]),
+            pick.choice(["u", "v", "w", None]),
+            pick.choice([1.0, 2.0, 3.0, 4.0, 5.0, None]),
+            pick.choice([dt.date(2020, 1, 5), dt.date(2020, 2, 7), None]),
+        )
+        for _ in range(rows)
+    ]
+    if hot:
+        reviews += [("a", "u", float(i % 5 + 1), dt.date(2020, 3, 1)) for i in range(rows // 2)]
+    return reviews
+
+
+def found(frame):
+    names = ["asin", "reviewer_id", "overall", "date", "brand", "title",
+             "brand_deviation_text", "reviewer_deviation_text", "year_month"]
+    return [tuple(r) for r in frame.select(*names).collect()]
+
+
+PRODUCTS = [("a", "X", "t1"), ("b", "X", "t2"), ("c", None, "t3"), ("d", "Y", None), (None, "X", "t")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_gold_is_its_definition(spark, ansi, seed):
+    reviews = made(seed, hot=seed == 2)
+    frame = compare_reviews(
+        spark.createDataFrame(reviews, REVIEW_DDL),
+        spark.createDataFrame(PRODUCTS, PRODUCT_DDL),
+        unique_products=True,
+    )
+    rows = found(frame)
+    assert len(rows) == len(set(rows))
+    assert set(rows) == by_definition(reviews, PRODUCTS)
+
+
+def test_products_with_many_rows(spark, ansi):
+    """Without unique products each matching row counts in the averages."""
+    products = [*PRODUCTS, ("a", "Y", "t1"), ("a", "X", "t1"), ("b", None, "t9")]
+    reviews = made(7)
+    frame = compare_reviews(
+        spark.createDataFrame(reviews, REVIEW_DDL), spark.createDataFrame(products, PRODUCT_DDL)
+    )
+    rows = found(frame)
+    assert len(rows) == len(set(rows))
+    assert set(rows) == by_definition(reviews, products)
+
+
+def test_null_brand_has_no_norm(spark):
+    reviews = [("c", "r1", 4.0, None), ("c", "r2", 2.0, None), ("a", "r3", 5.0, None), ("a", "r4", 3.0, None)]
+    frame = compare_reviews(
+        spark.createDataFrame(reviews, REVIEW_DDL),
+        spark.createDataFrame([("a", "X", "t"), ("c", None, "t")], PRODUCT_DDL),
+    )
+    labels = {(r.asin, r.overall): r.brand_deviation_text for r in frame.collect()}
+    assert labels == {("c", 4.0): "normal", ("c", 2.0): "normal", ("a", 5.0): "better", ("a", 3.0): "worse"}
+
+
+def test_unrated_brand(spark, ansi):
+    averages = average_through_product(
+        product_totals(spark.createDataFrame([("a", "u", None, None)], REVIEW_DDL)),
+        spark.createDataFrame([("a", "X", "t")], PRODUCT_DDL),
+    )
+    assert [tuple(r) for r in averages.collect()] == [("X", None)]
+
+
+def partition_sizes(frame):
+    sizes = frame.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    return sorted(r.n for r in sizes)
+
+
+def test_hot_keys_are_spread(spark):
+    """A third of the reviews is of one reviewer and one product; no task gets that third."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    n = 30_000
+    number = F.col("id")
+    hot = number % 3 == 0
+    reviews = spark.range(0, n, 1, 8).select(
+        F.when(hot, "a0")
+        .when(number % 3 == 1, F.concat(F.lit("a"), number % 997))
+        .alias("asin"),
+        F.when(hot, "u0")
+        .when(number % 3 == 1, F.concat(F.lit("u"), number % 499))
+        .alias("reviewer_id"),
+        (number % 5 + 1).cast("double").alias("overall"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (number % 900).cast("int")).alias("date"),
+        F.sha2(number.cast("string"), 256).alias("review_text"),
+    )
+    products = spark.range(0, 500).select(
+        F.concat(F.lit("a"), number).alias("asin"), F.concat(F.lit("b"), number % 7).alias("brand")
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        plain = compare_reviews(reviews, products, unique_products=True)
+        salted = compare_reviews(reviews, products, unique_products=True, hot_rows=500)
+        columns = sorted(plain.columns)
+        assert salted.select(columns).exceptAll(plain.select(columns)).count() == 0
+        assert salted.count() == plain.count() == n
+        # Without salts the hot third shares one task; nulls are spread in both.
+        assert partition_sizes(plain)[-1] > n // 3
+        assert partition_sizes(salted)[-1] < n // 8
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_salted_gold_is_its_definition(spark, ansi, seed):
+    reviews = made(seed + 20, hot=True)
+    frame = compare_reviews(
+        spark.createDataFrame(reviews, REVIEW_DDL),
+        spark.createDataFrame(PRODUCTS, PRODUCT_DDL),
+        unique_products=True,
+        hot_rows=7,
+    )
+    rows = found(frame)
+    assert len(rows) == len(set(rows))
+    assert set(rows) == by_definition(reviews, PRODUCTS)
+
+
+def test_hot_keys_are_few_and_spread_by_size(spark):
+    sizes = spark.createDataFrame([("a", 1000), ("b", 101), ("c", 100), ("d", 1)], "key string, rows bigint")
+    found = {r.key: r._salts for r in hot_keys(sizes, "key", hot_rows=100).collect()}
+    assert found == {"a": 10, "b": 2}
+    assert hot_keys(sizes, "key").count() == 0
+
+
+def test_gold_reads_only_what_it_needs(spark, tmp_path):
+    """The averages scan two narrow columns; the texts are read once."""
+    spark.createDataFrame([], REVIEWS).write.parquet(str(tmp_path / "r"))
+    spark.createDataFrame([], PRODUCT_DDL).write.parquet(str(tmp_path / "p"))
+    frame = compare_reviews(
+        spark.read.parquet(str(tmp_path / "r")), spark.read.parquet(str(tmp_path / "p")), unique_products=True
+    )
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "overall" in line]
+    assert len(scans) == 3
+    assert sum("review_text" in line for line in scans) == 1
+
+
+def test_union_of_feeds_keeps_duplicates_and_declares_types(spark, ansi):
+    batch = spark.createDataFrame(
+        [("a", 5.0, True, dt.date(2020, 1, 1))], "asin string, overall double, verified boolean, date date"
+    )
+    streamed = spark.createDataFrame(
+        [("a", "5.0", "true", "2020-01-01"), ("b", "x", "maybe", "?")],
+        "asin string, overall string, verified string, date string",
+    )
+    union = union_feeds(REVIEWS, batch, batch, streamed)
+    assert union.schema.names == REVIEWS.names
+    assert [f.dataType for f in union.schema] == [f.dataType for f in REVIEWS]
+    rows = [(r.asin, r.overall, r.verified, r.date) for r in union.collect()]
+    same = ("a", 5.0, True, dt.date(2020, 1, 1))
+    assert rows == [same, same, same, ("b", None, None, None)]
