@@ -12,10 +12,11 @@ from checks import standins as data
 from checks.registry import query
 from reviewmill.functions import dates, nested, rating, text
 from reviewmill.functions.names import snake_label
-from reviewmill.operators import columns, counts, dedupe, filters, norms, profile, scoring, sets
+from reviewmill.operators import columns, counts, dedupe, filters, norms, profile, scoring
+from reviewmill.operators import sets, skew
 from reviewmill.plans import bronze, dashboards, enrich, gold, quality, silver
 from reviewmill.schemas import GOLD_COLUMNS, REVIEWS
-from reviewmill.session import scratch_path
+from reviewmill.session import keep, scratch_path
 from reviewmill.sources import layout, positions, readers, writers
 from reviewmill.streaming import jobs
 
@@ -90,20 +91,23 @@ SELECT brand, overall_brand FROM b WHERE brand IS NOT NULL"""
 )
 def brand_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = norms.product_totals(data.reviews(spark, sf_dir))
-    return norms.average_through_product(totals, data.products(spark, sf_dir))
+    averages = norms.average_through_product(totals, data.products(spark, sf_dir))
+    return averages.where("reviews > 0").select("brand", "overall_brand")
 
 
 @query(f"WITH {sql.JOINED} SELECT reviewer_id, overall_reviewer FROM v")
 def reviewer_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = data.reviews(spark, sf_dir)
-    return norms.group_average(rows, "reviewer_id", "overall", "overall_reviewer")
+    return norms.group_average(rows, "reviewer_id", "overall", "overall_reviewer").drop("rows")
 
 
 @query(f"WITH {sql.JOINED} SELECT asin, reviewer_id, overall, date, brand, main_cat FROM j")
 def reviews_with_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = data.reviews(spark, sf_dir)
-    sizes = norms.product_totals(rows)
-    return norms.attach_product(rows, data.products(spark, sf_dir), sizes=sizes)
+    sizes = keep(norms.product_totals(rows).select("asin", "rows"), "product-sizes")
+    return norms.attach_product(
+        rows, data.products(spark, sf_dir), hot=skew.hot_keys(sizes, "asin")
+    )
 
 
 @query(
@@ -114,10 +118,10 @@ FROM j LEFT JOIN b ON j.brand = b.brand"""
 )
 def brand_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, products = data.reviews(spark, sf_dir), data.products(spark, sf_dir)
-    totals = norms.product_totals(rows)
-    averages = norms.average_through_product(totals, products, products="rows")
-    branded = norms.with_average(products, averages, "brand", "rows")
-    placed = norms.attach_product(rows, branded, sizes=totals)
+    totals = keep(norms.product_totals(rows), "product-totals")
+    averages = keep(norms.average_through_product(totals, products), "brand-average")
+    branded = norms.with_average(products, averages, "brand", "overall_brand")
+    placed = norms.attach_product(rows, branded, hot=skew.hot_keys(totals, "asin"))
     judged = norms.with_deviation(placed, "overall_brand", "brand_deviation")
     return judged.drop("date", "main_cat", "overall_brand")
 
@@ -130,8 +134,10 @@ FROM r LEFT JOIN v USING (reviewer_id)"""
 )
 def reviewer_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = data.reviews(spark, sf_dir)
-    averages = norms.group_average(rows, "reviewer_id", "overall", "overall_reviewer", "rows")
-    placed = norms.with_average(rows, averages, "reviewer_id", "rows")
+    averages = keep(
+        norms.group_average(rows, "reviewer_id", "overall", "overall_reviewer"), "reviewer-average"
+    )
+    placed = norms.with_average(rows, averages, "reviewer_id", "overall_reviewer")
     judged = norms.with_deviation(placed, "overall_reviewer", "reviewer_deviation")
     return judged.drop("date", "overall_reviewer")
 

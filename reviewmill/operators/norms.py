@@ -10,42 +10,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.rating import deviation, deviation_label
-from reviewmill.operators.skew import HOT_ROWS, hot_keys, salted_left_join
+from reviewmill.operators.skew import HOT_ROWS, hot_keys, left_join_by_size
 
 
 def attach_product(
-    reviews: DataFrame, metadata: DataFrame, key: str = "asin", sizes: DataFrame | None = None
+    reviews: DataFrame, metadata: DataFrame, key: str = "asin", hot: DataFrame | None = None
 ) -> DataFrame:
     """Left join of product columns; reviews of unknown products stay.
 
-    No hint: Spark broadcasts the products when they measure small. With ``sizes``
-    (rows per product) hot products are salted; without, adaptive execution splits them.
+    No hint: Spark broadcasts the products when they measure small. ``hot`` comes from ``hot_keys``.
     """
-    if sizes is None:
-        return reviews.join(metadata, key, "left")
-    return salted_left_join(reviews, metadata, key, hot_keys(sizes, key))
+    return left_join_by_size(reviews, metadata, key, hot)
 
 
-def group_average(
-    dataframe: DataFrame, key: str, rating: str, name: str, rows: str | None = None
-) -> DataFrame:
-    """Average rating per key, and on demand its rows. The null key is left out: it never joins."""
-    measures = [F.avg(rating).alias(name)]
-    if rows:
-        measures.append(F.count("*").alias(rows))
-    return dataframe.where(F.col(key).isNotNull()).groupBy(key).agg(*measures)
+def group_average(dataframe: DataFrame, key: str, rating: str, name: str) -> DataFrame:
+    """Average rating and rows per key. The null key has a row too, but it never joins."""
+    return dataframe.groupBy(key).agg(F.avg(rating).alias(name), F.count("*").alias("rows"))
 
 
 def product_totals(reviews: DataFrame, key: str = "asin", rating: str = "overall") -> DataFrame:
     """Sum and number of ratings, and rows, per product."""
-    return (
-        reviews.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.sum(rating).alias("rating_sum"),
-            F.count(rating).alias("ratings"),
-            F.count("*").alias("rows"),
-        )
+    return reviews.groupBy(key).agg(
+        F.sum(rating).alias("rating_sum"),
+        F.count(rating).alias("ratings"),
+        F.count("*").alias("rows"),
     )
 
 
@@ -56,43 +44,34 @@ def average_through_product(
     key: str = "asin",
     group: str = "brand",
     name: str = "overall_brand",
-    products: str | None = None,
 ) -> DataFrame:
     """Average rating per product attribute, the same as over the joined rows.
 
     It starts from ``product_totals``, so the join sees one narrow row per product and no
-    review text moves. ``products`` names a column for the number of product rows.
+    review text moves. ``rows`` counts the products of the attribute, ``reviews`` their reviews.
     """
-    grouped = (
+    return (
         metadata.select(key, group)
-        .where(F.col(group).isNotNull())
         .join(totals, key, "left")
         .groupBy(group)
         .agg(
             F.try_divide(F.sum("rating_sum"), F.sum("ratings")).alias(name),
-            F.count("*").alias(products or "_products"),
-            F.sum("rows").alias("_reviews"),
+            F.count("*").alias("rows"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("reviews"),
         )
     )
-    # An attribute none of whose products was reviewed is in no joined row.
-    return grouped.where(F.col("_reviews") > 0).select(group, name, *([products] if products else []))
 
 
 def with_average(
-    dataframe: DataFrame,
-    averages: DataFrame,
-    key: str,
-    rows: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    dataframe: DataFrame, averages: DataFrame, key: str, name: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Join a group's average back to its rows; a null key matches nothing.
 
-    ``rows`` names the column of ``averages`` with the group sizes, by which hot groups are salted.
+    Hot groups are salted by the ``rows`` that come with the averages. The averages are
+    looked at before they are joined, so give a table, not a plan that would run twice.
     """
-    if rows is None:
-        return dataframe.join(averages, key, "left")
-    hot = hot_keys(averages, key, rows, hot_rows)
-    return salted_left_join(dataframe, averages.drop(rows), key, hot)
+    hot = hot_keys(averages, key, hot_rows=hot_rows)
+    return left_join_by_size(dataframe, averages.select(key, name), key, hot)
 
 
 def with_deviation(

@@ -1,8 +1,7 @@
-"""Left join that spreads hot keys over many tasks.
+"""Left join that spreads hot keys over many tasks, by sizes that were counted before.
 
-Adaptive execution splits a hot partition only when both join sides come straight from a
-shuffle. A side that was just grouped by the join key does not, and there one task would get
-every row of a hot key. So hot keys are salted by their known sizes.
+Adaptive execution splits hot partitions too, but only where both sides come straight from
+a shuffle, and only where it is switched on. Salting by known sizes needs neither.
 """
 
 from __future__ import annotations
@@ -18,24 +17,35 @@ MOST_HOT_KEYS = 100_000
 NULL_SALTS = 1000
 
 
-def hot_keys(sizes: DataFrame, key: str, rows: str = "rows", hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(
+    sizes: DataFrame, key: str, rows: str = "rows", hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
     """Keys with too many rows for one task, and over how many salts to spread each.
 
-    A hot key holds more than 1 / ``MOST_HOT_KEYS`` of all rows, so there are fewer of them
-    than that: few enough to broadcast however large the table is.
+    ``sizes`` is a table of rows per key, the null key included. One summary row of it comes to the
+    driver; None says that no key is hot. A hot key holds more than
+    1 / ``MOST_HOT_KEYS`` of all rows, so there are fewer of them than that: few enough to
+    broadcast however large the table is.
     """
-    total = sizes.agg(F.sum(rows)).scalar()
-    limit = F.greatest(F.lit(float(hot_rows)), total / MOST_HOT_KEYS)
+    summary = sizes.agg(F.sum(rows).alias("total"), F.max(rows).alias("largest")).first()
+    limit = max(hot_rows, (summary["total"] or 0) / MOST_HOT_KEYS)
+    if (summary["largest"] or 0) <= limit:
+        return None
     spread = F.ceil(F.col(rows) / limit).cast("int")
-    return sizes.where(F.col(rows) > limit).select(key, spread.alias("_salts"))
+    hot = sizes.where((F.col(rows) > limit) & F.col(key).isNotNull())
+    return hot.select(key, spread.alias("_salts"))
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """The left join on ``key``, with the rows of hot keys and of no key spread by a row hash.
+def left_join_by_size(
+    left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None
+) -> DataFrame:
+    """The left join on ``key``; if there are hot keys their rows, and those of no key, are spread.
 
-    Each right row of a hot key is repeated once per salt. The salt depends on the row
-    alone, so a task that runs again sends its rows the same way.
+    Spread rows go by a hash of the row, and each right row of a hot key is repeated once per salt.
+    The salt depends on the row alone, so a task that runs again sends its rows the same way.
     """
+    if hot is None:
+        return left.join(right, key, "left")
     hot = F.broadcast(hot)
     row_hash = F.xxhash64(
         *(F.col(f"`{f.name}`") for f in left.schema if not isinstance(f.dataType, MapType))

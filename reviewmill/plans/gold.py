@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reviewmill.functions.dates import month_start
 from reviewmill.operators.dedupe import distinct_rows
 from reviewmill.operators.norms import (
+    attach_product,
     average_through_product,
     group_average,
     product_totals,
@@ -15,8 +16,9 @@ from reviewmill.operators.norms import (
     with_deviation,
 )
 from reviewmill.operators.sets import union_feeds
-from reviewmill.operators.skew import HOT_ROWS, hot_keys, salted_left_join
+from reviewmill.operators.skew import HOT_ROWS, hot_keys
 from reviewmill.schemas import GOLD_COLUMNS, GOLD_METADATA_COLUMNS, REVIEWS
+from reviewmill.session import keep
 from reviewmill.sources.writers import overwrite_table, publish_table
 
 
@@ -33,23 +35,27 @@ def compare_reviews(
     every added column depends on the review and its product alone, so copies are removed before
     the joins: product columns are never part of the distinct. Brand averages
     ride on the product side, which leaves the wide reviews two joins, by reviewer and by product.
-    Both are salted by sizes that the averages count anyway.
-    ``unique_products`` says that the metadata has one row per product, as silver has.
+    The averages are kept as narrow tables: each is read for its sizes, which tell the hot
+    keys, and then joined. ``unique_products`` says that the metadata has one row per
+    product, as silver has.
     """
-    by_reviewer = group_average(reviews, "reviewer_id", "overall", "overall_reviewer", "rows")
-    totals = product_totals(reviews)
-    by_brand = average_through_product(totals, metadata, products="rows")
+    totals = keep(product_totals(reviews), "product-totals")
+    by_reviewer = keep(
+        group_average(reviews, "reviewer_id", "overall", "overall_reviewer"), "reviewer-average"
+    )
+    by_brand = keep(average_through_product(totals, metadata), "brand-average")
 
     products = metadata.withColumnsRenamed(
         {c: f"{c}_met" for c in metadata.columns if c != "asin" and c in reviews.columns}
     )
     if not unique_products:
         products = distinct_rows(products)
-    products = with_average(products, by_brand, "brand", "rows", hot_rows)
+    products = with_average(products, by_brand, "brand", "overall_brand", hot_rows)
 
-    placed = with_average(distinct_rows(reviews), by_reviewer, "reviewer_id", "rows", hot_rows)
-    hot_products = hot_keys(totals, "asin", "rows", hot_rows)
-    joined = salted_left_join(placed, products, "asin", hot_products)
+    placed = with_average(
+        distinct_rows(reviews), by_reviewer, "reviewer_id", "overall_reviewer", hot_rows
+    )
+    joined = attach_product(placed, products, hot=hot_keys(totals, "asin", hot_rows=hot_rows))
     judged = with_deviation(joined, "overall_brand", "brand_deviation")
     judged = with_deviation(judged, "overall_reviewer", "reviewer_deviation")
     return judged.withColumn("year_month", month_start(F.col("date"))).drop(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,3 +48,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="reviewmill-")
     return f"{base.rstrip('/')}/reviewmill/{label}-{uuid.uuid4().hex}"
+
+
+def keep(dataframe: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared scratch folder: worked out once, and safe from lost executors."""
+    path = scratch_path(dataframe.sparkSession, label)
+    dataframe.write.parquet(path)
+    return dataframe.sparkSession.read.schema(dataframe.schema).parquet(path)

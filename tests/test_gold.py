@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from reviewmill.operators.norms import average_through_product, product_totals
+from reviewmill.operators.norms import average_through_product, group_average, product_totals
 from reviewmill.operators.sets import union_feeds
 from reviewmill.operators.skew import hot_keys
 from reviewmill.plans.gold import compare_reviews
@@ -116,7 +116,7 @@ def test_unrated_brand(spark, ansi):
         product_totals(spark.createDataFrame([("a", "u", None, None)], REVIEW_DDL)),
         spark.createDataFrame([("a", "X", "t")], PRODUCT_DDL),
     )
-    assert [tuple(r) for r in averages.collect()] == [("X", None)]
+    assert [tuple(r) for r in averages.collect()] == [("X", None, 1, 1)]
 
 
 def partition_sizes(frame):
@@ -183,20 +183,60 @@ def test_hot_keys_are_few_and_spread_by_size(spark):
     sizes = spark.createDataFrame([("a", 1000), ("b", 101), ("c", 100), ("d", 1)], "key string, rows bigint")
     found = {r.key: r._salts for r in hot_keys(sizes, "key", hot_rows=100).collect()}
     assert found == {"a": 10, "b": 2}
-    assert hot_keys(sizes, "key").count() == 0
+    assert hot_keys(sizes, "key") is None
 
 
-def test_gold_reads_only_what_it_needs(spark, tmp_path):
-    """The averages scan two narrow columns; the texts are read once."""
+def test_hot_null_key_alone(spark):
+    """Rows without a key are spread even if no key is hot."""
+    sizes = spark.createDataFrame([(None, 1000), ("b", 10)], "key string, rows bigint")
+    assert hot_keys(sizes, "key", hot_rows=100).count() == 0
+
+
+def test_texts_are_read_once_and_narrow_columns_for_averages(spark, tmp_path):
     spark.createDataFrame([], REVIEWS).write.parquet(str(tmp_path / "r"))
     spark.createDataFrame([], PRODUCT_DDL).write.parquet(str(tmp_path / "p"))
-    frame = compare_reviews(
-        spark.read.parquet(str(tmp_path / "r")), spark.read.parquet(str(tmp_path / "p")), unique_products=True
-    )
+    reviews = spark.read.parquet(str(tmp_path / "r"))
+    frame = compare_reviews(reviews, spark.read.parquet(str(tmp_path / "p")), unique_products=True)
     plan = frame._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "FileScan" in line and "overall" in line]
-    assert len(scans) == 3
-    assert sum("review_text" in line for line in scans) == 1
+    assert sum("FileScan" in line and "review_text" in line for line in plan.splitlines()) == 1
+    for narrow in (product_totals(reviews), group_average(reviews, "reviewer_id", "overall", "a")):
+        plan = narrow._jdf.queryExecution().executedPlan().toString()
+        assert "partial_" in plan and "review_text" not in plan.split("ReadSchema")[1]
+
+
+def test_adaptive_run_splits_hot_partitions_too(spark):
+    """Below the salting limit adaptive execution still splits what measures large."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    number = F.col("id")
+    hot = number % 3 == 0
+    reviews = spark.range(0, 60_000, 1, 8).select(
+        F.when(hot, "a0").otherwise(F.concat(F.lit("a"), number % 997)).alias("asin"),
+        F.when(hot, "u0").otherwise(F.concat(F.lit("u"), number % 4999)).alias("reviewer_id"),
+        (number % 5 + 1).cast("double").alias("overall"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (number % 900).cast("int")).alias("date"),
+        F.sha2(number.cast("string"), 256).alias("review_text"),
+    )
+    products = spark.range(0, 500).select(
+        F.concat(F.lit("a"), number).alias("asin"), F.concat(F.lit("b"), number % 7).alias("brand")
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        frame = compare_reviews(reviews, products, unique_products=True)
+        assert len(frame.collect()) == 60_000
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert plan.split("Initial Plan")[0].count("skew=true") == 2
 
 
 def test_union_of_feeds_keeps_duplicates_and_declares_types(spark, ansi):
