@@ -592,7 +592,7 @@ def price_to_float(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def word_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = data.table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = readers.spread(documents).withColumn("words", text.word_count(F.col("text")))
+    counted = readers.spread(documents, by="doc_id").withColumn("words", text.word_count(F.col("text")))
     return counted.select(
         "doc_id",
         F.col("words").cast("bigint").alias("words"),
@@ -906,7 +906,7 @@ def make_length_classifier():
 
 def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = data.table(spark, sf_dir, "documents")
-    return readers.spread(documents.select("doc_id", F.col("text").alias("review_text")))
+    return readers.spread(documents.select("doc_id", F.col("text").alias("review_text")), by="doc_id")
 
 
 def _rule_sql(text_column: str) -> str:

@@ -35,7 +35,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spread(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_partkey", "l_quantity", "l_shipdate"
-        )
+        ),
+        by="l_orderkey",
     )
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_partkey").alias("asin"),
@@ -65,7 +66,8 @@ def bronze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spread(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_linestatus", "l_shipdate"
-        )
+        ),
+        by="l_orderkey",
     )
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         texts, F.col("l_orderkey") == F.col("doc_id"), "left"
@@ -153,7 +155,7 @@ def bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as one batch of envelopes."""
-    return envelopes(spread(table(spark, sf_dir, "events")))
+    return envelopes(spread(table(spark, sf_dir, "events"), by="event_id"))
 
 
 def envelopes(events: DataFrame) -> DataFrame:

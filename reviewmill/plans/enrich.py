@@ -56,7 +56,7 @@ def enrich_day(
     limits["tasks"] = limits.get("tasks") or spark.sparkContext.defaultParallelism
     scored = score_reviews(reviews_to_score(spark.read.parquet(gold), day), make_scorer, **limits)
     rows = replace_day(scored, table, day)
-    if publish_as and rows:
+    if publish_as:
         publish_day(spark.read.parquet(table), publish_as, day)
     return rows
 

@@ -41,13 +41,14 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
-def spread(rows: DataFrame) -> DataFrame:
+def spread(rows: DataFrame, by: str) -> DataFrame:
     """Rows over all cores where the scan alone cannot: one row group is one task.
 
-    A table with enough files for all cores is left as it is, so at scale no shuffle is added.
+    A table with enough files for all cores is left as it is, so at scale no shuffle is
+    added. ``by`` is a column with many values.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores, by) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def stream_table(

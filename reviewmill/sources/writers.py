@@ -87,9 +87,13 @@ def publish_day(dataframe: DataFrame, name: str, day: dt.date, by: str = "date",
     if not spark.catalog.tableExists(name):
         rows.write.partitionBy(by).options(**options).saveAsTable(name)
         return
-    columns = spark.table(name).columns
-    writer = rows.select(*columns).write.option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite").insertInto(name)
+    # Naming the partition replaces that one alone, and empties it if there are no rows.
+    columns = ", ".join(f"`{c}`" for c in spark.table(name).columns if c != by)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION (`{by}` = DATE '{day}') "
+        f"SELECT {columns} FROM {{rows}}",
+        rows=rows,
+    )
 
 
 def load_folders(
