@@ -61,6 +61,20 @@ def stream_table(
     return reader.parquet(path)
 
 
+def kafka_options(
+    servers: str, topic: str, group: str, position: str | None = None
+) -> dict[str, str]:
+    """Options of Spark's Kafka source: consumer group, and the start as a UTC time or the beginning.
+
+    They hold for a new checkpoint; an old one goes on where it stopped.
+    """
+    start = {"startingOffsets": "earliest"}
+    if position is not None:
+        moment = dt.datetime.strptime(position, "%Y-%m-%d %H:%M:%S.%f").replace(tzinfo=dt.timezone.utc)
+        start = {"startingTimestamp": str(int(moment.timestamp() * 1000))}
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "kafka.group.id": group, **start}
+
+
 def kafka_envelope(messages: DataFrame) -> DataFrame:
     """Messages of Spark's Kafka source in the shape of the event feed."""
     return messages.select(

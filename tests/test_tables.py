@@ -239,6 +239,16 @@ def test_from_position_reads_the_boundary_again(spark, ansi, kind):
     assert readers.from_position(events, None).count() == 3
 
 
+def test_kafka_options():
+    plain = readers.kafka_options("host:1", "reviews", "readers")
+    assert plain == {
+        "kafka.bootstrap.servers": "host:1", "subscribe": "reviews", "kafka.group.id": "readers",
+        "startingOffsets": "earliest",
+    }
+    timed = readers.kafka_options("host:1", "reviews", "readers", "2023-07-30 00:00:21.274000")
+    assert timed["startingTimestamp"] == "1690675221274" and "startingOffsets" not in timed
+
+
 def test_kafka_messages_as_envelopes(spark):
     messages = spark.createDataFrame(
         [(bytearray(b"{}"), 7, dt.datetime(2024, 1, 1))], "value binary, offset bigint, timestamp timestamp"
