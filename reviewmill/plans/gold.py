@@ -16,7 +16,7 @@ from reviewmill.operators.norms import (
     with_deviation,
 )
 from reviewmill.operators.sets import union_feeds
-from reviewmill.operators.skew import HOT_ROWS, hot_keys
+from reviewmill.operators.skew import HOT_ROWS, hot_keys, left_join_by_size
 from reviewmill.schemas import GOLD_COLUMNS, GOLD_METADATA_COLUMNS, REVIEWS
 from reviewmill.session import keep
 from reviewmill.sources.writers import overwrite_table, publish_table
@@ -36,7 +36,7 @@ def compare_reviews(
     the joins: product columns are never part of the distinct. Brand averages
     ride on the product side, which leaves the wide reviews two joins, by reviewer and by product.
     The averages are kept as narrow tables: each is read for its sizes, which tell the hot
-    keys, and then joined. ``unique_products`` says that the metadata has one row per
+    keys and choose the plan, and then joined. ``unique_products`` says that the metadata has one row per
     product, as silver has.
     """
     totals = keep(product_totals(reviews), "product-totals")
@@ -52,8 +52,13 @@ def compare_reviews(
         products = distinct_rows(products)
     products = with_average(products, by_brand, "brand", "overall_brand", hot_rows)
 
-    placed = with_average(
-        distinct_rows(reviews), by_reviewer, "reviewer_id", "overall_reviewer", hot_rows
+    hot_reviewers = hot_keys(by_reviewer, "reviewer_id", hot_rows=hot_rows)
+    if hot_reviewers is None:
+        # No reviewer is large, nor any group of copies: one shuffle by reviewer serves both
+        # the distinct and the join. Else the distinct first combines copies on the map side.
+        reviews = reviews.repartition("reviewer_id")
+    placed = left_join_by_size(
+        distinct_rows(reviews), by_reviewer.drop("rows"), "reviewer_id", hot_reviewers
     )
     joined = attach_product(placed, products, hot=hot_keys(totals, "asin", hot_rows=hot_rows))
     judged = with_deviation(joined, "overall_brand", "brand_deviation")

@@ -204,8 +204,34 @@ def test_texts_are_read_once_and_narrow_columns_for_averages(spark, tmp_path):
         assert "partial_" in plan and "review_text" not in plan.split("ReadSchema")[1]
 
 
+def test_wide_rows_are_shuffled_twice(spark, tmp_path):
+    """Once by reviewer, for the distinct and its join, and once by product."""
+    rows = [("a", "u", 5.0, dt.date(2020, 1, 1)), ("b", "v", 4.0, None)]
+    frame = spark.createDataFrame(rows, REVIEW_DDL).withColumn("review_text", F.lit("x"))
+    frame.write.parquet(str(tmp_path / "r"))
+    spark.createDataFrame(PRODUCTS, PRODUCT_DDL).write.parquet(str(tmp_path / "p"))
+    reviews, products = (spark.read.parquet(str(tmp_path / t)) for t in ("r", "p"))
+
+    def shuffles(**options):
+        found = compare_reviews(reviews, products, unique_products=True, **options)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        lines = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+        by_reviewer = [line for line in lines if "hashpartitioning(reviewer_id" in line]
+        by_whole_row = [line for line in lines if "review_text" in line]
+        return len(by_reviewer), len(by_whole_row)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # The other shuffle by reviewer is that of the narrow averages.
+        assert shuffles() == (2, 0)
+        assert shuffles(hot_rows=0) == (2, 1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_adaptive_run_splits_hot_partitions_too(spark):
-    """Below the salting limit adaptive execution still splits what measures large."""
+    """Below the salting limit adaptive execution still splits a hot product's partition."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
@@ -236,7 +262,7 @@ def test_adaptive_run_splits_hot_partitions_too(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
-    assert plan.split("Initial Plan")[0].count("skew=true") == 2
+    assert plan.split("Initial Plan")[0].count("skew=true") == 1
 
 
 def test_union_of_feeds_keeps_duplicates_and_declares_types(spark, ansi):
