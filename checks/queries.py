@@ -241,6 +241,33 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_events(spark.read.parquet(f"{base}/silver"))
 
 
+@query(
+    """SELECT event_id, strftime(ts, '%Y-%m-%d') AS date_utc, octet_length(encode(props)) AS body_bytes
+FROM events"""
+)
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream stopped and started again with new files in between: each event once."""
+    base = scratch_path(spark, "stream-restart")
+    events = data.table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(DAY)
+    for rows in (events.where(early), events.where(~early)):
+        rows.write.mode("append").parquet(f"{base}/raw")
+        stream = readers.stream_table(spark, f"{base}/raw", events.schema, 1)
+        envelopes = stream.select(
+            F.col("props").cast("binary").alias("body"),
+            F.col("event_id").cast("string").alias("offset"),
+            F.col("ts").alias("enqueuedTime"),
+        )
+        jobs.run_until_done(
+            jobs.stream_bronze_events(envelopes, f"{base}/bronze", f"{base}/checkpoint")
+        )
+    return spark.read.parquet(f"{base}/bronze").select(
+        F.col("offset").alias("event_id"),
+        F.col("date_utc").cast("string").alias("date_utc"),
+        F.octet_length("body").cast("bigint").alias("body_bytes"),
+    )
+
+
 @query(
     """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS enqueued FROM events
 WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00')"""
@@ -829,6 +856,17 @@ def grown_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_table(spark, path, merge_schema=True)
 
 
+@query("SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")
+def json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON folders read in one scan, their common schema inferred."""
+    base = scratch_path(spark, "json")
+    part = data.table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_brand", "p_retailprice", (F.col("p_size") % 3).alias("folder")
+    )
+    part.write.partitionBy("folder").json(base)
+    return readers.read_json(spark, readers.list_folders(spark, base))
+
+
 @query(
     f"""WITH {sql.BRONZE_METADATA}
 SELECT asin, similar_item, brand, title, try_strptime(raw_date, '%B %d, %Y')::DATE AS parsed_date,
@@ -992,6 +1030,33 @@ def enrich_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT event_id, ts::DATE AS date, CASE
+  WHEN ts::DATE <> DATE '2024-01-15' THEN
+    CASE length(props) % 2 WHEN 1 THEN 'Positive' ELSE 'Negative' END
+  WHEN length(props) % 7 > 0 THEN
+    CASE length(props) % 3 WHEN 0 THEN 'Neutral' WHEN 1 THEN 'Positive' ELSE 'Negative' END
+  END AS sentiment FROM events"""
+)
+def historic_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day enriched by the daily job, then all other days by the classifier."""
+    base = scratch_path(spark, "backfill")
+    day = F.to_date("ts")
+    reviews = data.table(spark, sf_dir, "events").select(
+        "event_id", F.col("props").alias("review_text"), day.alias("date"),
+        dates.month_start(day).alias("year_month"),
+    )
+    writers.overwrite_table(reviews, f"{base}/gold", "year_month")
+    enrich.enrich_day(
+        spark, f"{base}/gold", f"{base}/enriched", make_length_scorer, DAY, texts_per_call=16
+    )
+    enrich.backfill(
+        spark, f"{base}/gold", f"{base}/enriched",
+        lambda rows: enrich.classify_reviews(rows, make_length_classifier),
+    )
+    return readers.read_table(spark, f"{base}/enriched").select("event_id", "date", "sentiment")
+
+
 @query(
     f"""WITH {sql.REVIEWS.replace("l_shipdate::DATE AS date", "l_shipdate::DATE AS date, text")
         .replace("JOIN orders ON l_orderkey = o_orderkey",
