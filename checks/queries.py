@@ -32,7 +32,7 @@ def joined_text(column: str, by: str = ","):
 # --- Gold: joins, averages, deviations -------------------------------------------------
 
 
-@query(
+GOLD_REVIEWS_SQL = (
     f"""WITH {sql.JOINED}
 SELECT DISTINCT j.asin, j.reviewer_id, j.overall, j.date, j.brand, j.main_cat,
   {sql.label("j.overall", "b.overall_brand")} AS brand_deviation_text,
@@ -40,12 +40,22 @@ SELECT DISTINCT j.asin, j.reviewer_id, j.overall, j.date, j.brand, j.main_cat,
   date_trunc('month', j.date)::DATE AS year_month
 FROM j LEFT JOIN b ON j.brand = b.brand LEFT JOIN v ON j.reviewer_id = v.reviewer_id"""
 )
+
+
+@query(GOLD_REVIEWS_SQL)
 def gold_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.compare_reviews(
         data.reviews(spark, sf_dir), data.products(spark, sf_dir), unique_products=True
     )
 
 
+@query(GOLD_REVIEWS_SQL)
+def gold_reviews_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a limit so low that most reviewers, products and brands count as hot."""
+    rows, products = data.reviews(spark, sf_dir), data.products(spark, sf_dir)
+    return gold.compare_reviews(rows, products, unique_products=True, hot_rows=25)
+
+
 @query(
     f"""WITH {sql.GOLD}
 SELECT asin, array_to_string(image, ',') AS image, overall, review_text, reviewer_id, reviewer_name,

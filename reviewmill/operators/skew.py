@@ -43,6 +43,8 @@ def left_join_by_size(
 
     Spread rows go by a hash of the row, and each right row of a hot key is repeated once per salt.
     The salt depends on the row alone, so a task that runs again sends its rows the same way.
+    Copies of one row share a salt: remove them first, as gold does, or leave them to adaptive
+    execution, which can split here, as the salt puts both sides behind a shuffle.
     """
     if hot is None:
         return left.join(right, key, "left")
