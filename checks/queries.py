@@ -928,28 +928,30 @@ def bronze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Enrichment and dashboards ------------------------------------------------------------
 
 
-def make_length_scorer():
+# Nested functions travel to the tasks by value, so these need not import this module.
+def length_scorer():
     """A scorer that depends on the text's length alone, so that SQL can check it."""
 
-    def scorer(texts):
+    def make_scorer():
         import json
 
         labels = ("Neutral", "Positive", "Negative")
-        return [
-            (
-                "no answer"
-                if len(t) % 7 == 0
-                else json.dumps({"sentiment": labels[len(t) % 3], "keywords": str(len(t))}),
-                len(t),
-            )
-            for t in texts
-        ]
 
-    return scorer
+        def answer(text):
+            if len(text) % 7 == 0:
+                return "no answer"
+            return json.dumps({"sentiment": labels[len(text) % 3], "keywords": str(len(text))})
 
+        return lambda texts: [(answer(text), len(text)) for text in texts]
 
-def make_length_classifier():
-    return lambda texts: ["POSITIVE" if len(t) % 2 else "NEGATIVE" for t in texts]
+    return make_scorer
+
+
+def length_classifier():
+    def make_classifier():
+        return lambda texts: ["POSITIVE" if len(text) % 2 else "NEGATIVE" for text in texts]
+
+    return make_classifier
 
 
 def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -989,7 +991,7 @@ def enrich_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enrich_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An injected scorer; one in seven of its answers is not JSON."""
     scored = enrich.score_reviews(
-        review_texts(spark, sf_dir), make_length_scorer, texts_per_call=16
+        review_texts(spark, sf_dir), length_scorer(), texts_per_call=16
     )
     return scored.drop("review_text")
 
@@ -997,7 +999,7 @@ def enrich_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT sum(length(text))::BIGINT AS total_tokens FROM documents")
 def token_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scoring.score_texts(
-        review_texts(spark, sf_dir), make_length_scorer, texts_per_call=16
+        review_texts(spark, sf_dir), length_scorer(), texts_per_call=16
     )
     return scoring.token_total(scored)
 
@@ -1010,7 +1012,7 @@ def token_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def historic_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = review_texts(spark, sf_dir)
-    return enrich.classify_reviews(rows, make_length_classifier).drop("review_text")
+    return enrich.classify_reviews(rows, length_classifier()).drop("review_text")
 
 
 @query(
@@ -1033,7 +1035,7 @@ def enrich_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     writers.overwrite_table(reviews, f"{base}/gold", "year_month")
     enrich.enrich_day(
-        spark, f"{base}/gold", f"{base}/enriched", make_length_scorer, DAY, texts_per_call=16
+        spark, f"{base}/gold", f"{base}/enriched", length_scorer(), DAY, texts_per_call=16
     )
     return readers.read_table(spark, f"{base}/enriched").select(
         "event_id", F.col("review_text").alias("said"), "sentiment", "keywords", "date"
@@ -1058,11 +1060,11 @@ def historic_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     writers.overwrite_table(reviews, f"{base}/gold", "year_month")
     enrich.enrich_day(
-        spark, f"{base}/gold", f"{base}/enriched", make_length_scorer, DAY, texts_per_call=16
+        spark, f"{base}/gold", f"{base}/enriched", length_scorer(), DAY, texts_per_call=16
     )
     enrich.backfill(
         spark, f"{base}/gold", f"{base}/enriched",
-        lambda rows: enrich.classify_reviews(rows, make_length_classifier),
+        lambda rows: enrich.classify_reviews(rows, length_classifier()),
     )
     return readers.read_table(spark, f"{base}/enriched").select("event_id", "date", "sentiment")
 
