@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +37,23 @@ def build_session(
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
+    """A fresh path below ``spark.checkpoint.dir``, or below the warehouse where that is not set.
 
-    Without that setting only a local session may go on: its driver and tasks share one disk.
+    Both are shared by the driver and all executors. Paths of one session have one parent, so that
+    ``clear_scratch`` removes them together once their frames are no longer needed.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="reviewmill-")
-    return f"{base.rstrip('/')}/reviewmill/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_base(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_base(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/reviewmill/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that this session has staged."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_base(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def keep(dataframe: DataFrame, label: str) -> DataFrame:

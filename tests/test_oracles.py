@@ -8,8 +8,9 @@ import sys
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import connect, differences
+from checks.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -19,13 +20,13 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, ansi, duck, name):
-    assert differences(queries()[name](spark, SF_DIR), duck, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) == []
 
 
 def test_every_query_has_an_oracle():
-    assert sorted(queries()) == sorted(oracle_sql())
+    assert sorted(QUERIES) == sorted(ORACLES)
 
 
 def test_queries_run_from_any_folder(tmp_path):
