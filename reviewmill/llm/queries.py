@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import quality
+from reviewmill.llm import bpe, exact, quality
 from reviewmill.llm.common import table
 from reviewmill.session import keep
 
@@ -30,3 +31,24 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(keep(quality.measure(docs), "quality"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *(f"q.{c}" for c in counts), "base_failed", "kept")
+
+
+@_query()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@_query(
+    """
+    WITH texts AS (
+        SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents
+    ), digests AS (SELECT doc_id, sha256(body) AS text_sha256 FROM texts)
+    SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        doc_id = min(doc_id) OVER same AS kept, text_sha256
+    FROM digests WINDOW same AS (PARTITION BY text_sha256)
+    """
+)
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact.exact_groups(docs, new=exact.first_half(docs))
