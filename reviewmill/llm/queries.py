@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import bpe, exact, mixing, quality
+from reviewmill.llm import bpe, exact, mixing, near, quality
 from reviewmill.llm.common import table
 from reviewmill.session import keep
 
@@ -58,3 +58,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+@_query()
+def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.chosen_path_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
