@@ -162,11 +162,11 @@ def exact_groups(docs: DataFrame, new: Column, key: str = "doc_id", text: str =
     narrow = digests(docs, new, key, text)
     groups = keep(groups_of(narrow), "groups")
     checked = groups.join(bytes_agree(docs, groups, text), "digest", "left")
-    checked = checked.select(
-        "digest", "first", "n",
-        F.when(F.coalesce("same", F.lit(True)), F.lit(True))
-        .otherwise(F.raise_error(F.lit("two texts share a SHA-256")).cast("boolean")).alias("sure"),
+    sure = F.when(F.coalesce("same", F.lit(True)), F.lit(True)).otherwise(
+        F.raise_error(F.lit("two texts share a SHA-256")).cast("boolean")
     )
+    # Staged, so that the join below stands alone and a hot digest's rows can be split.
+    checked = keep(checked.select("digest", "first", "n", sure.alias("sure")), "checked")
     return narrow.join(checked, "digest").select(
         F.col("id").alias(key),
         F.col("first.id").alias("keep_id"),
