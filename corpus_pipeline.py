@@ -1,4 +1,65 @@
-"""From raw documents to token counts: quality rules, exact and near duplicates, mixing, encoding."""
+"""From raw documents to token counts, in five stages that each keep what the next one reads.
 
-PIPELINE_QUERIES = {}
-PIPELINE_ORACLES = {}
+Quality rules drop documents that they reject; of equal texts, and then of near copies, one document stays;
+the mix takes documents as often as their source's target asks; the last stage encodes every row. All
+stages but the last return the columns of ``documents``. A stage works on the whole of what it is given.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from reviewmill.llm import bpe, exact, mixing, near, quality
+from reviewmill.session import scratch_path
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_quality(docs)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact.keep_first(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near.keep_one(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.repeated(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_dedup),
+    ("ngram_jaccard", near_dedup),
+    ("source_mix", source_mix),
+    ("byte_bpe", encode),
+]
+
+#: Quantile sketches, tilted rates and byte-pair merges are not expressible in SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and read again as the next one's input."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
+
+
+PIPELINE_QUERIES = {"pipeline": run}
+PIPELINE_ORACLES: dict[str, str] = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import SPACE, text_of
+from reviewmill.llm.common import SPACE, text_of, unused
 from reviewmill.session import keep
 
 #: Digests per bucket, at most about: what one task holds while it builds or asks a filter.
@@ -180,3 +180,27 @@ def first_half(docs: DataFrame, key: str = "doc_id") -> Column:
     """Whether a row lies in the upper half of the ids: the batch that meets the snapshot of the lower half."""
     low, high = docs.agg(F.min(key), F.max(key)).first()
     return F.lit(True) if low is None else F.col(key) > F.lit((low + high) // 2)
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` of which no equal text has a smaller id, one of each text, with all their columns.
+
+    Rows are told apart by id and digest; where several rows share both, one of them stays.
+    """
+    digest, gone, gone_digest = (unused(docs.columns, name) for name in ("digest", "gone", "gone_digest"))
+    narrow = digests(docs, first_half(docs, key), key, text)
+    groups = keep(groups_of(narrow), "groups")
+    keep(bytes_agree(docs, groups, text).select(
+        F.when(F.col("same"), F.lit(True)).otherwise(F.raise_error(F.lit("two texts share a SHA-256")).cast("boolean"))
+    ), "checked")
+    marked = narrow.join(groups.select("digest", "first"), "digest")
+    marked = marked.withColumn("twin", F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") != F.col("first.row")))
+    dropped = keep(marked.filter(F.col("row") != F.col("first.row")).select("id", "digest", "twin").distinct(), "dropped")
+    # The keys of the dropped rows are few and narrow; the text side is shuffled only if they measure large.
+    hashed = docs.withColumn(digest, F.unhex(F.sha2(normal(text_of(text)), 256)))
+    dropped = dropped.select(F.col("id").alias(gone), F.col("digest").alias(gone_digest), F.col("twin").alias("_twin"))
+    same = F.col(key).eqNullSafe(F.col(gone)) & (F.col(digest) == F.col(gone_digest))
+    stay = hashed.join(dropped.filter("not _twin"), same, "left_anti")
+    single = stay.join(dropped.filter("_twin"), same, "left_anti")
+    twins = stay.join(dropped.filter("_twin"), same, "left_semi").dropDuplicates([digest])
+    return single.unionByName(twins).drop(digest)

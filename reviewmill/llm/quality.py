@@ -174,4 +174,5 @@ def keep_quality(docs: DataFrame, least: int = 50, reach: float = 3.0) -> DataFr
     rows = docs.select("text", "lang", "source", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(packed))
     narrow = measure(docs.select("text", "lang", "source"))
     judged = judge(measure(rows), least, reach, seen=narrow)
-    return judged.filter("kept").select(f"{packed}.*")
+    # A condition that the optimiser may not move: below the join it would repeat the measurements many times.
+    return judged.filter(F.when(F.monotonically_increasing_id() >= 0, F.col("kept"))).select(f"{packed}.*")
