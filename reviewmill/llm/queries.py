@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, exact, mixing, near, quality
+from reviewmill.llm import bpe, content, exact, mixing, near, private, quality
 from reviewmill.llm.common import table
 from reviewmill.session import keep
 
@@ -63,3 +64,25 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.chosen_path_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query()
+def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private.find_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.size(F.filter("spans", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{kind}")
+        for kind in private.KINDS
+    ]
+    added = (F.size("spans") - F.size(base)).cast("long").alias("n_added")
+    return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"), added)
+
+
+@_query()
+def op3_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = content.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
