@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, content, exact, mixing, near, private, quality
+from reviewmill.llm import bpe, content, exact, mixing, near, private, quality, urls
 from reviewmill.llm.common import table
 from reviewmill.session import keep
 
@@ -86,3 +86,19 @@ def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = content.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+#: The contract's rules.
+URL_RULES = [
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+]
+
+
+@_query()
+def op2_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = urls.filter_urls(pages, URL_RULES)
+    return judged.select("page_id", *(f"judged.{c}" for c in ("host", "path", "rule", "verdict", "template", "purity")))
