@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, content, exact, mixing, near, private, quality, urls
+from reviewmill.llm import bpe, content, exact, lattice, mixing, near, private, quality, urls
 from reviewmill.llm.common import table
 from reviewmill.session import keep
 
@@ -102,3 +102,10 @@ def op2_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = urls.filter_urls(pages, URL_RULES)
     return judged.select("page_id", *(f"judged.{c}" for c in ("host", "path", "rule", "verdict", "template", "purity")))
+
+
+@_query()
+def op10_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return lattice.score_texts(docs, held_out, public_tokenizers.path("piece_bpe_32k.model"))
