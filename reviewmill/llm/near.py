@@ -236,9 +236,8 @@ def _requests(members: DataFrame, runs: int, similarity: float) -> DataFrame:
             _paths(large, runs).withColumn("parent", F.xxhash64(F.substring("tokens", F.lit(1), F.lit(8 * depth)))), "paths"
         )
         # Mean share of the members that have a sampled token, over the tokens sampled: high where sets are alike.
-        shares = longer.groupBy("parent", "path").agg(F.count("*").alias("n")).groupBy("parent").agg(
-            (F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("met")
-        )
+        counts = keep(longer.groupBy("parent", "path").agg(F.count("*").alias("n")), "counts")
+        shares = counts.groupBy("parent").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("met"))
         marked = large.select("parent", "tokens", "parent_many").groupBy(F.xxhash64("tokens").alias("hash")).agg(
             F.first("parent").alias("path"), F.first("parent_many").alias("many")
         )
@@ -248,8 +247,9 @@ def _requests(members: DataFrame, runs: int, similarity: float) -> DataFrame:
             "dense",
         )
         done.append(rows.join(dense.filter("dense").select("path", "many"), "path"))
-        rows = longer.join(dense.filter("not dense").select(F.col("hash").alias("parent")), "parent").drop("parent")
-        rows = rows.select("id", "path", "tokens", "at")
+        # A path of one member holds no pair: only shared ones are gone along.
+        open_ = counts.filter("n > 1").join(dense.filter("not dense").select(F.col("hash").alias("parent")), "parent")
+        rows = longer.join(open_.select("path"), "path").select("id", "path", "tokens", "at")
     ready = done[0]
     for part in done[1:]:
         ready = ready.unionByName(part)
