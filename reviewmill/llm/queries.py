@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, content, exact, lattice, mixing, near, private, quality, urls
+from reviewmill.llm import bpe, content, exact, lattice, mixing, near, private, quality, repeats, urls
 from reviewmill.llm.common import table
 from reviewmill.session import keep
 
@@ -109,3 +109,9 @@ def op10_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
     return lattice.score_texts(docs, held_out, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query()
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
