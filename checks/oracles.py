@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-REVIEWS = """
-r AS (SELECT l_partkey AS asin, o_custkey AS reviewer_id, (l_quantity - 1) % 5 + 1 AS overall,
+REVIEWED = "CASE WHEN l_linenumber % 7 = 0 THEN -l_partkey ELSE l_partkey END"
+
+REVIEWS = f"""
+r AS (SELECT {REVIEWED} AS asin, o_custkey AS reviewer_id, (l_quantity - 1) % 5 + 1 AS overall,
              l_shipdate::DATE AS date
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 PRODUCTS = """
-m AS (SELECT p_partkey AS asin, p_brand AS brand, p_type AS main_cat FROM part WHERE p_size <= 25)"""
+m AS (SELECT p_partkey AS asin, p_brand AS brand, p_type AS main_cat FROM part)"""
 
 JOINED = f"""{REVIEWS}, {PRODUCTS},
 j AS (SELECT r.*, m.brand, m.main_cat FROM r LEFT JOIN m USING (asin)),
@@ -16,6 +18,12 @@ b AS (SELECT brand, avg(overall) AS overall_brand FROM j GROUP BY brand),
 v AS (SELECT reviewer_id, avg(overall) AS overall_reviewer FROM j GROUP BY reviewer_id)"""
 
 
+JOINED_REPEATED = JOINED.replace(
+    "AS main_cat FROM part)",
+    "AS main_cat FROM part UNION ALL SELECT p_partkey, p_brand, lower(p_type) FROM part WHERE p_partkey % 3 = 0)",
+)
+
+
 def decoded(text: str) -> str:
     return f"""replace(replace({text}, '&amp;', '&'), '&quot;', '"')"""
 

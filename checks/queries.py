@@ -15,7 +15,7 @@ from reviewmill.functions.names import snake_label
 from reviewmill.operators import columns, counts, dedupe, filters, norms, profile, scoring
 from reviewmill.operators import sets, skew
 from reviewmill.plans import bronze, dashboards, enrich, gold, quality, silver
-from reviewmill.schemas import GOLD_COLUMNS, REVIEWS
+from reviewmill.schemas import GOLD_COLUMNS, RAW_REVIEWS, REVIEWS
 from reviewmill.session import keep, scratch_path
 from reviewmill.sources import layout, positions, readers, writers
 from reviewmill.streaming import jobs
@@ -25,6 +25,12 @@ POSITIVE_WORDS = ("the", "and", "der", "que")
 NEGATIVE_WORDS = ("of", "with", "nicht", "les")
 
 
+def in_order(rows: DataFrame, name: str = "place") -> DataFrame:
+    """The rows with their place in the order they come in, for small ordered results."""
+    counted = rows.rdd.zipWithIndex().map(lambda pair: (*pair[0], pair[1] + 1))
+    return rows.sparkSession.createDataFrame(counted, rows.schema.add(name, "long"))
+
+
 def joined_text(column: str, by: str = ","):
     return F.array_join(F.col(column), by).alias(column)
 
@@ -49,6 +55,21 @@ def gold_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {sql.JOINED_REPEATED}
+SELECT DISTINCT j.asin, j.reviewer_id, j.overall, j.date, j.brand, j.main_cat,
+  {sql.label("j.overall", "b.overall_brand")} AS brand_deviation_text,
+  {sql.label("j.overall", "v.overall_reviewer")} AS reviewer_deviation_text,
+  date_trunc('month', j.date)::DATE AS year_month
+FROM j LEFT JOIN b ON j.brand = b.brand LEFT JOIN v ON j.reviewer_id = v.reviewer_id"""
+)
+def gold_reviews_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third product has a second row of another kind: averages are over the joined rows."""
+    products = data.products(spark, sf_dir)
+    second = products.where("asin % 3 = 0").withColumn("main_cat", F.lower("main_cat"))
+    return gold.compare_reviews(data.reviews(spark, sf_dir), products.unionByName(second))
+
+
 @query(GOLD_REVIEWS_SQL)
 def gold_reviews_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a limit so low that most reviewers, products and brands count as hot."""
@@ -215,6 +236,58 @@ def silver_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {sql.SILVER_METADATA}
+SELECT asin, similar_item, brand, title, strftime(date, '%Y') AS year FROM sm"""
+)
+def silver_metadata_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver job: from the bronze table to the silver table by year."""
+    base = scratch_path(spark, "silver-metadata")
+    rows = bronze.bronze_metadata(data.bronze_metadata(spark, sf_dir))
+    writers.overwrite_table(rows, f"{base}/bronze", "year")
+    silver.write_silver_metadata(spark, f"{base}/bronze", f"{base}/silver", ["similar_item"])
+    rows = readers.read_table(spark, f"{base}/silver")
+    return rows.select("asin", "similar_item", "brand", "title", F.col("year").cast("string").alias("year"))
+
+
+@query(
+    f"""WITH {sql.SILVER_REVIEWS}
+SELECT asin, overall, review_text, reviewer_id, reviewer_name, summary, verified, vote, date, year_month,
+  keyword FROM sr"""
+)
+def silver_reviews_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver job: from the bronze table to the silver table by month."""
+    base = scratch_path(spark, "silver-reviews")
+    writers.overwrite_table(data.bronze_reviews(spark, sf_dir), f"{base}/bronze", "year_month")
+    silver.write_silver_reviews(spark, f"{base}/bronze", f"{base}/silver")
+    return readers.read_table(spark, f"{base}/silver").drop("image", "review_word_count")
+
+
+@query(GOLD_REVIEWS_SQL)
+def published_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold table under a name of the catalog."""
+    path = scratch_path(spark, "published-gold")
+    writers.overwrite_table(gold_reviews(spark, sf_dir), f"{path}/gold", "year_month")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    gold.publish_gold(spark, f"{path}/gold", name, path=f"{path}/named")
+    return spark.table(name)
+
+
+@query(
+    """SELECT 'events' AS event_source, max(event_id) AS sequence_number, max(event_id) AS max_offset,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS enqueued_time FROM events"""
+)
+def daily_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scheduled job twice: after the early days, then from the stored day on."""
+    base = scratch_path(spark, "daily-position")
+    events = bronze.bronze_events(data.event_feed(spark, sf_dir))
+    early = F.col("enqueuedTime") < F.lit(DAY)
+    for rows in (events.where(early), events.where(~early)):
+        writers.append_table(rows, f"{base}/bronze", "date_utc")
+        jobs.save_daily_position(spark, f"{base}/bronze", f"{base}/positions", "events")
+    return positions.latest_positions(spark, f"{base}/positions").drop("last_modification")
+
+
 def flat_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("sequenceNumber").alias("sequence_number"),
@@ -239,12 +312,12 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = data.table(spark, sf_dir, "events").schema
     # The pattern matches one file as well as a folder of files.
     events = data.envelopes(readers.stream_table(spark, f"{sf_dir}/events.parque[t]", schema))
-    jobs.run_until_done(
-        jobs.stream_bronze_events(events, f"{base}/bronze", f"{base}/checkpoints/bronze")
+    jobs.run_to_end(
+        lambda: jobs.stream_bronze_events(events, f"{base}/bronze", f"{base}/checkpoints/bronze")
     )
     stored = bronze.bronze_events(data.event_feed(spark, sf_dir)).schema
-    jobs.run_until_done(
-        jobs.stream_silver_events(
+    jobs.run_to_end(
+        lambda: jobs.stream_silver_events(
             spark, f"{base}/bronze", stored, f"{base}/silver", f"{base}/checkpoints/silver"
         )
     )
@@ -268,8 +341,8 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("event_id").cast("string").alias("offset"),
             F.col("ts").alias("enqueuedTime"),
         )
-        jobs.run_until_done(
-            jobs.stream_bronze_events(envelopes, f"{base}/bronze", f"{base}/checkpoint")
+        jobs.run_to_end(
+            lambda rows=envelopes: jobs.stream_bronze_events(rows, f"{base}/bronze", f"{base}/checkpoint")
         )
     return spark.read.parquet(f"{base}/bronze").select(
         F.col("offset").alias("event_id"),
@@ -295,6 +368,25 @@ def resume_from_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS enqueued FROM events
+WHERE ts >= TIMESTAMP '2024-01-15 06:00:00'"""
+)
+def resume_from_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A start given by hand without a fraction, over the table as a stream into bronze."""
+    base = scratch_path(spark, "resume-seconds")
+    schema = data.table(spark, sf_dir, "events").schema
+    events = data.envelopes(readers.stream_table(spark, f"{sf_dir}/events.parque[t]", schema))
+    start = readers.start_position(None, "2024-01-15T06:00:00Z")
+    jobs.run_to_end(
+        lambda: jobs.stream_bronze_events(events, f"{base}/bronze", f"{base}/checks", position=start)
+    )
+    return spark.read.parquet(f"{base}/bronze").select(
+        F.col("sequenceNumber").alias("event_id"),
+        F.date_format("enqueuedTime", dates.INSTANT).alias("enqueued"),
+    )
+
+
 @query(
     """SELECT event_type AS event_source, max(event_id) AS sequence_number,
   max(event_id) AS max_offset, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS enqueued_time
@@ -345,17 +437,20 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Counts and profiles -----------------------------------------------------------------
 
 
-@query("SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand ORDER BY n DESC, p_brand")
+@query(
+    """SELECT p_brand, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, p_brand) AS place
+FROM part GROUP BY p_brand"""
+)
 def value_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.value_frequency(data.table(spark, sf_dir, "part"), "p_brand")
+    return in_order(counts.value_frequency(data.table(spark, sf_dir, "part"), "p_brand"))
 
 
 @query(
-    """SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey
-ORDER BY n DESC, l_partkey LIMIT 10"""
+    """SELECT l_partkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, l_partkey) AS place
+FROM lineitem GROUP BY l_partkey ORDER BY place LIMIT 10"""
 )
 def top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.value_frequency(data.table(spark, sf_dir, "lineitem"), "l_partkey", top=10)
+    return in_order(counts.value_frequency(data.table(spark, sf_dir, "lineitem"), "l_partkey", top=10))
 
 
 @query(
@@ -382,11 +477,11 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT ts::DATE AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n FROM events
-GROUP BY 1, 2 ORDER BY 1, 2"""
+    """WITH h AS (SELECT ts::DATE AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n FROM events
+GROUP BY 1, 2) SELECT *, row_number() OVER (ORDER BY date, hour) AS place FROM h"""
 )
 def events_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.count_by_hour(data.table(spark, sf_dir, "events"), "ts")
+    return in_order(counts.count_by_hour(data.table(spark, sf_dir, "events"), "ts"))
 
 
 @query(
@@ -435,9 +530,12 @@ def _missing_sql() -> str:
     return " UNION ALL ".join(rows + [row(c, "string", missing) for c in texts])
 
 
-@query(f"WITH {sql.BRONZE_METADATA} {_missing_sql()}")
+@query(
+    f"""WITH {sql.BRONZE_METADATA}, s AS ({_missing_sql()})
+SELECT *, row_number() OVER (ORDER BY missing_share DESC, column_name) AS place FROM s"""
+)
 def missing_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.missing_share(data.bronze_metadata(spark, sf_dir))
+    return in_order(profile.missing_share(data.bronze_metadata(spark, sf_dir)))
 
 
 def _partition_sql() -> str:
@@ -470,6 +568,38 @@ def partition_key_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _report_sql() -> str:
+    one = "CAST(count(*) AS DOUBLE)"
+    parts = [f"SELECT 'rows' AS section, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS VARCHAR) AS value, {one} AS amount FROM br"]
+    texts = ("asin", "image", "review_text", "reviewer_id", "reviewer_name", "summary", "vote", "year_month")
+    for name in texts:
+        source = {"image": "raw_image", "reviewer_name": "raw_name"}.get(name, name)
+        parts.append(
+            f"SELECT 'missing', '{name}', 'string', avg(CASE WHEN {source} IS NULL OR {source} IN ('{{}}', '') "
+            "THEN 1.0::DOUBLE ELSE 0.0 END) FROM br"
+        )
+    parts.append(f"SELECT 'value', 'summary', summary, {one} FROM br GROUP BY summary")
+    for name in ("month", "year"):
+        parts.append(
+            f"SELECT '{name}', 'unix_review_time_date', CAST(date_trunc('{name}', date)::DATE AS VARCHAR), {one} "
+            "FROM br GROUP BY 3"
+        )
+    for name, amount in (("groups", "count(*)"), ("largest_group", "max(n)"), ("skew", "max(n) * count(*) / sum(n)")):
+        parts.append(
+            f"SELECT 'key', 'reviewer_id', '{name}', CAST({amount} AS DOUBLE) "
+            "FROM (SELECT reviewer_id, count(*) AS n FROM br GROUP BY 1)"
+        )
+    return f"WITH {sql.SILVER_REVIEWS} " + " UNION ALL ".join(parts)
+
+
+@query(_report_sql())
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months, years and a candidate key besides missing shares and values, in one scan."""
+    return quality.quality_profile(
+        data.bronze_reviews(spark, sf_dir), ["summary"], day="unix_review_time_date", keys=["reviewer_id"]
+    )
+
+
 @query(
     """SELECT 'rows' AS section, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS VARCHAR) AS value,
   CAST(count(*) AS DOUBLE) AS amount FROM documents
@@ -629,7 +759,7 @@ def price_to_float(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def word_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = data.table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = readers.spread(documents, by="doc_id").withColumn("words", text.word_count(F.col("text")))
+    counted = documents.withColumn("words", text.word_count(F.col("text")))
     return counted.select(
         "doc_id",
         F.col("words").cast("bigint").alias("words"),
@@ -866,6 +996,47 @@ def grown_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_table(spark, path, merge_schema=True)
 
 
+@query("SELECT p_partkey, p_brand, lpad(CAST(p_size AS VARCHAR), 4, '0') AS size_text FROM part")
+def compact_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition values with leading zeros stay the text they are."""
+    base = scratch_path(spark, "compact-partitioned")
+    part = data.table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand", F.lpad(F.col("p_size").cast("string"), 4, "0").alias("size_text")
+    )
+    for odd in (0, 1):
+        writers.append_table(part.where(F.col("p_partkey") % 2 == odd), f"{base}/small", "size_text")
+    return layout.compact(spark, f"{base}/small", f"{base}/compacted", by="size_text")
+
+
+@query(
+    """SELECT event_id, value, ts::DATE AS date FROM events
+WHERE ts::DATE = DATE '2024-01-14' OR ts::DATE = DATE '2024-01-15' AND event_id % 2 = 0"""
+)
+def published_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days published one after the other, the second again with fewer rows; the day is the feature."""
+    path = scratch_path(spark, "published-day")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    events = data.table(spark, sf_dir, "events").select("event_id", "value", F.to_date("ts").alias("date"))
+    writers.publish_day(events, name, DAY - dt.timedelta(days=1), path=path)
+    writers.publish_day(events, name, DAY)
+    writers.publish_day(events.where("event_id % 2 = 0"), name, DAY)
+    return spark.table(name)
+
+
+@query(
+    """WITH f AS (SELECT p_brand, (row_number() OVER (ORDER BY p_partkey) - 1) // 64 AS file FROM part)
+SELECT CAST(count(DISTINCT file) AS BIGINT) AS files, CAST(count(*) AS BIGINT) AS n,
+  CAST(least(64, count(*)) AS BIGINT) AS largest FROM f"""
+)
+def rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record limit per file cuts one task's rows into whole files."""
+    path = scratch_path(spark, "rows-per-file")
+    part = data.table(spark, sf_dir, "part").coalesce(1)
+    writers.append_table(part, path, max_records=64)
+    by_file = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n"))
+    return by_file.agg(F.count("*").alias("files"), F.sum("n").alias("n"), F.max("n").alias("largest"))
+
+
 @query("SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")
 def json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON folders read in one scan, their common schema inferred."""
@@ -879,8 +1050,12 @@ def json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {sql.BRONZE_METADATA}
-SELECT asin, similar_item, brand, title, try_strptime(raw_date, '%B %d, %Y')::DATE AS parsed_date,
-  strftime(try_strptime(raw_date, '%B %d, %Y'), '%Y') AS year FROM bm"""
+SELECT asin, similar_item, array_to_string(also_buy, ',') AS also_buy, CAST(NULL AS VARCHAR) AS also_view,
+  brand, array_to_string(category, ',') AS category, raw_date AS date,
+  array_to_string(description, ',') AS description, details, array_to_string(feature, ',') AS feature, fit,
+  array_to_string(image, ',') AS image, main_cat, price, rank, CAST(NULL AS VARCHAR) AS tech1,
+  CAST(NULL AS VARCHAR) AS tech2, title, try_strptime(raw_date, '%B %d, %Y')::DATE AS parsed_date,
+  true AS has_file, strftime(try_strptime(raw_date, '%B %d, %Y'), '%Y') AS year FROM bm"""
 )
 def bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products as JSON folders, loaded in batches of folders into the bronze table."""
@@ -892,37 +1067,53 @@ def bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     folders = readers.list_folders(spark, f"{base}/raw")
     bronze.load_bronze_metadata(spark, folders, f"{base}/bronze", per_write=2)
     table = readers.read_table(spark, f"{base}/bronze")
-    return table.select(
-        "asin", "similar_item", "brand", "title", "parsed_date",
-        F.col("year").cast("string").alias("year"),
-    )
+    lists = ("also_buy", "also_view", "category", "description", "feature", "image")
+    return table.withColumns(
+        {
+            **{name: F.array_join(name, ",") for name in lists},
+            "year": F.col("year").cast("string"),
+            "has_file": F.col("file_source").contains(f"{base}/raw"),
+        }
+    ).drop("file_source")
 
 
-@query(
-    f"""WITH {sql.SILVER_REVIEWS}
-SELECT asin, raw_image AS image, overall, review_text, reviewer_id, raw_name AS reviewer_name,
-  verified, date AS unix_review_time_date, year_month FROM br"""
-)
-def bronze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+BRONZE_REVIEWS_SQL = f"""WITH {sql.SILVER_REVIEWS}
+SELECT asin, raw_image AS image, overall, review_text, reviewer_id, raw_name AS reviewer_name, summary,
+  verified, vote, epoch(date::TIMESTAMP)::BIGINT AS unix_review_time, date AS unix_review_time_date,
+  true AS has_file, year_month"""
+
+
+def loaded_reviews(spark: SparkSession, sf_dir: str, label: str, schema=None, extra=()) -> DataFrame:
     """Reviews as JSON folders with their raw names, loaded into the bronze table."""
-    base = scratch_path(spark, "bronze-reviews")
+    base = scratch_path(spark, label)
     raw = data.bronze_reviews(spark, sf_dir).select(
         "asin", "image", "overall", "summary", "verified", "vote",
         F.col("review_text").alias("reviewText"),
         F.col("reviewer_id").alias("reviewerID"),
         F.col("reviewer_name").alias("reviewerName"),
         (F.unix_date("unix_review_time_date").cast("bigint") * 86400).alias("unixReviewTime"),
+        *extra,
     )
     raw.withColumn("part", F.expr("pmod(xxhash64(asin), 3)")).write.partitionBy("part").json(
         f"{base}/raw"
     )
-    bronze.load_bronze_reviews(
-        spark, readers.list_folders(spark, f"{base}/raw"), f"{base}/bronze", infer_schema=False
-    )
-    return readers.read_table(spark, f"{base}/bronze").select(
-        "asin", "image", "overall", "review_text", "reviewer_id", "reviewer_name", "verified",
-        "unix_review_time_date", F.date_format("unix_review_time_date", "yyyy-MM").alias("year_month"),
-    )
+    folders = readers.list_folders(spark, f"{base}/raw")
+    bronze.load_bronze_reviews(spark, folders, f"{base}/bronze", schema=schema)
+    rows = readers.read_table(spark, f"{base}/bronze")
+    return rows.withColumn("has_file", F.col("file_source").contains(f"{base}/raw")).drop("file_source")
+
+
+@query(f"{BRONZE_REVIEWS_SQL}, CAST(NULL AS VARCHAR) AS style FROM br")
+def bronze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a declared schema: its fields and no others, an absent one null."""
+    return loaded_reviews(spark, sf_dir, "bronze-reviews", RAW_REVIEWS)
+
+
+@query(f"{BRONZE_REVIEWS_SQL}, overall * 2 AS stars_of_ten FROM br")
+def bronze_reviews_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a schema every raw field is kept, also one that nobody has declared."""
+    extra = [(F.col("overall") * 2).alias("starsOfTen")]
+    return loaded_reviews(spark, sf_dir, "bronze-inferred", extra=extra)
 
 
 # --- Enrichment and dashboards ------------------------------------------------------------
@@ -956,7 +1147,7 @@ def length_classifier():
 
 def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = data.table(spark, sf_dir, "documents")
-    return readers.spread(documents.select("doc_id", F.col("text").alias("review_text")), by="doc_id")
+    return documents.select("doc_id", F.col("text").alias("review_text"))
 
 
 def _rule_sql(text_column: str) -> str:
@@ -1035,7 +1226,8 @@ def enrich_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     writers.overwrite_table(reviews, f"{base}/gold", "year_month")
     enrich.enrich_day(
-        spark, f"{base}/gold", f"{base}/enriched", length_scorer(), DAY, texts_per_call=16
+        spark, f"{base}/gold", f"{base}/enriched", length_scorer(), DAY, texts_per_call=16,
+        calls_per_minute=None, tasks=8,
     )
     return readers.read_table(spark, f"{base}/enriched").select(
         "event_id", F.col("review_text").alias("said"), "sentiment", "keywords", "date"
@@ -1060,7 +1252,8 @@ def historic_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     writers.overwrite_table(reviews, f"{base}/gold", "year_month")
     enrich.enrich_day(
-        spark, f"{base}/gold", f"{base}/enriched", length_scorer(), DAY, texts_per_call=16
+        spark, f"{base}/gold", f"{base}/enriched", length_scorer(), DAY, texts_per_call=16,
+        calls_per_minute=None, tasks=8,
     )
     enrich.backfill(
         spark, f"{base}/gold", f"{base}/enriched",
@@ -1070,7 +1263,7 @@ def historic_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {sql.REVIEWS.replace("l_shipdate::DATE AS date", "l_shipdate::DATE AS date, text")
+    f"""WITH {sql.REVIEWS.replace(sql.REVIEWED, "l_partkey").replace("l_shipdate::DATE AS date", "l_shipdate::DATE AS date, text")
         .replace("JOIN orders ON l_orderkey = o_orderkey",
                  "JOIN orders ON l_orderkey = o_orderkey LEFT JOIN documents ON l_orderkey = doc_id")},
 s AS (SELECT asin, overall, {_rule_sql("text")} AS sentiment FROM r)
@@ -1093,7 +1286,7 @@ SELECT asin, keyword, n, CAST(row_number() OVER (PARTITION BY asin ORDER BY n DE
 )
 def product_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = data.table(spark, sf_dir, "part").select(
-        F.col("p_brand").alias("asin"), F.replace("p_name", F.lit(" "), F.lit(" , ")).alias("keywords")
+        F.col("p_brand").alias("asin"), F.concat(F.lit(" "), F.replace("p_name", F.lit(" "), F.lit(" ,  ")), F.lit(" ")).alias("keywords")
     )
     return dashboards.product_keywords(listed, 3)
 

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.sources.readers import spread
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,14 +30,13 @@ def unix_seconds(moment: str):
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-column reviews."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_quantity", "l_shipdate"
-        ),
-        by="l_orderkey",
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"
     )
+    # Every seventh line of an order names a product that does not exist.
+    reviewed = F.when(F.col("l_linenumber") % 7 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_partkey").alias("asin"),
+        reviewed.alias("asin"),
         F.col("o_custkey").alias("reviewer_id"),
         rating().alias("overall"),
         F.to_date("l_shipdate").alias("date"),
@@ -47,15 +44,11 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products of half of all parts; reviews of the other parts have no product."""
-    return (
-        table(spark, sf_dir, "part")
-        .where("p_size <= 25")
-        .select(
-            F.col("p_partkey").alias("asin"),
-            F.col("p_brand").alias("brand"),
-            F.col("p_type").alias("main_cat"),
-        )
+    """Products of all parts."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("asin"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_type").alias("main_cat"),
     )
 
 
@@ -63,11 +56,8 @@ def bronze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full bronze reviews, with raw image lists and entities in the names."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_linestatus", "l_shipdate"
-        ),
-        by="l_orderkey",
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_linestatus", "l_shipdate"
     )
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         texts, F.col("l_orderkey") == F.col("doc_id"), "left"
@@ -155,7 +145,7 @@ def bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as one batch of envelopes."""
-    return envelopes(spread(table(spark, sf_dir, "events"), by="event_id"))
+    return envelopes(table(spark, sf_dir, "events"))
 
 
 def envelopes(events: DataFrame) -> DataFrame:

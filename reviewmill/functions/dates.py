@@ -18,8 +18,8 @@ SECONDS_PER_DAY = 86400
 
 
 def unix_date(seconds: Column) -> Column:
-    """UTC date of Unix seconds, whatever the session time zone is."""
-    return F.date_from_unix_date(F.floor(seconds / SECONDS_PER_DAY).cast("int"))
+    """UTC date of Unix seconds, whatever the session time zone is; null beyond the days of an int."""
+    return F.date_from_unix_date(F.floor(seconds / SECONDS_PER_DAY).try_cast("int"))
 
 
 def year_month_text(day: Column) -> Column:
@@ -45,6 +45,24 @@ def instant(text: Column) -> Column:
     return F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(INSTANT + "X"))
 
 
+def utc_text(moment: Column, kind: str) -> Column:
+    """``INSTANT`` text in UTC of a ``timestamp``, whatever the session time zone is, or of a ``timestamp_ntz``."""
+    if kind == "timestamp":
+        start = F.lit("1970-01-01").cast("timestamp_ntz")
+        seconds = (F.unix_micros(moment).cast("decimal(38,6)") / F.lit(1_000_000)).cast("decimal(18,6)")
+        moment = start + F.make_dt_interval(secs=seconds)
+    return F.date_format(moment, INSTANT)
+
+
+def parse_moment(text: str) -> dt.datetime:
+    """A UTC moment written as a date, or with seconds, a fraction, or an offset; raises on anything else."""
+    try:
+        moment = dt.datetime.fromisoformat(text.strip())
+    except ValueError:
+        raise ValueError(f"{text!r} is not a moment such as 2024-01-31 or 2024-01-31 12:00:00.5") from None
+    return moment.replace(tzinfo=moment.tzinfo or dt.timezone.utc).astimezone(dt.timezone.utc)
+
+
 def month_start(day: Column) -> Column:
     return F.trunc(day, "month")
 

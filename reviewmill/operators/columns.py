@@ -37,9 +37,15 @@ def typed_null(name: str, kind: str = "string"):
     return F.lit(None).cast(kind).alias(name)
 
 
-def conform(dataframe: DataFrame, schema: StructType) -> DataFrame:
-    """Columns, order and types of a declared schema; absent columns and bad values are null."""
+def conform(dataframe: DataFrame, schema: StructType, optional: Iterable[str] = ()) -> DataFrame:
+    """Columns, order and types of a declared schema; bad values are null.
+
+    A column that is absent raises, unless it is named as optional: then it is null.
+    """
     present = set(dataframe.columns)
+    absent = [name for name in schema.names if name not in present.union(optional)]
+    if absent:
+        raise ValueError(f"the feed has no column {', '.join(absent)}")
     return dataframe.select(
         *(
             F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)

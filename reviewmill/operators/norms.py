@@ -28,6 +28,35 @@ def group_average(dataframe: DataFrame, key: str, rating: str, name: str) -> Dat
     return dataframe.groupBy(key).agg(F.avg(rating).alias(name), F.count("*").alias("rows"))
 
 
+def average_over_products(
+    reviews: DataFrame,
+    metadata: DataFrame,
+    group: str,
+    name: str,
+    *,
+    key: str = "asin",
+    rating: str = "overall",
+) -> DataFrame:
+    """Average rating and rows per group over reviews joined to products that may have several rows.
+
+    A review counts once per row of its product, and once if it has none. Only narrow totals are
+    joined. ``rows`` counts the reviews.
+    """
+    repeated = metadata.groupBy(key).agg(F.count("*").alias("_times"))
+    totals = reviews.groupBy(group, key).agg(
+        F.sum(rating).alias("_sum"), F.count(rating).alias("_n"), F.count("*").alias("rows")
+    )
+    times = F.coalesce("_times", F.lit(1))
+    return (
+        totals.join(repeated, key, "left")
+        .groupBy(group)
+        .agg(
+            F.try_divide(F.sum(F.col("_sum") * times), F.sum(F.col("_n") * times)).alias(name),
+            F.sum("rows").alias("rows"),
+        )
+    )
+
+
 def product_totals(reviews: DataFrame, key: str = "asin", rating: str = "overall") -> DataFrame:
     """Sum and number of ratings, and rows, per product."""
     return reviews.groupBy(key).agg(

@@ -15,29 +15,33 @@ def _share(condition: Column) -> Column:
     return F.avg(F.when(condition, 1.0).otherwise(0.0))
 
 
+def missing_tests(dataframe: DataFrame) -> list[tuple[str, str, Column]]:
+    """Name, type and missing-value test of every text or array column."""
+    tests = []
+    for column in dataframe.schema.fields:
+        value = F.col(f"`{column.name}`")
+        if isinstance(column.dataType, StringType):
+            tests.append((column.name, column.dataType.simpleString(), is_missing_text(value)))
+        elif isinstance(column.dataType, ArrayType):
+            tests.append((column.name, column.dataType.simpleString(), F.size(value) == 0))
+    return tests
+
+
 def missing_share(dataframe: DataFrame) -> DataFrame:
     """Share of missing values per text or array column, worst first.
 
     Text is missing when null, ``{}`` or empty; an array when it is empty. Nulls are also
     given apart, since an array can be null without being empty.
     """
-    measures = []
-    for column in dataframe.schema.fields:
-        value = F.col(f"`{column.name}`")
-        if isinstance(column.dataType, StringType):
-            missing = is_missing_text(value)
-        elif isinstance(column.dataType, ArrayType):
-            missing = F.size(value) == 0
-        else:
-            continue
-        measures.append(
-            F.struct(
-                F.lit(column.name).alias("column_name"),
-                F.lit(column.dataType.simpleString()).alias("data_type"),
-                _share(missing).alias("missing_share"),
-                _share(value.isNull()).alias("null_share"),
-            )
+    measures = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(kind).alias("data_type"),
+            _share(missing).alias("missing_share"),
+            _share(F.col(f"`{name}`").isNull()).alias("null_share"),
         )
+        for name, kind, missing in missing_tests(dataframe)
+    ]
     if not measures:
         raise ValueError("no text or array column to profile")
     return (

@@ -13,8 +13,6 @@ from pyspark.sql.types import MapType
 # A key is hot above this many rows, or above this share of all rows where that is more.
 HOT_ROWS = 1_000_000
 MOST_HOT_KEYS = 100_000
-# Tasks for the rows without a key, which match nothing.
-NULL_SALTS = 1000
 
 
 def hot_keys(
@@ -22,8 +20,8 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys with too many rows for one task, and over how many salts to spread each.
 
-    ``sizes`` is a table of rows per key, the null key included. One summary row of it comes to the
-    driver; None says that no key is hot. A hot key holds more than
+    ``sizes`` is a table of rows per key. The null key counts like any other: its rows match nothing but
+    have to go somewhere. One summary row comes to the driver; None says that no key is hot. A hot key holds more than
     1 / ``MOST_HOT_KEYS`` of all rows, so there are fewer of them than that: few enough to
     broadcast however large the table is.
     """
@@ -32,14 +30,14 @@ def hot_keys(
     if (summary["largest"] or 0) <= limit:
         return None
     spread = F.ceil(F.col(rows) / limit).cast("int")
-    hot = sizes.where((F.col(rows) > limit) & F.col(key).isNotNull())
+    hot = sizes.where(F.col(rows) > limit)
     return hot.select(key, spread.alias("_salts"))
 
 
 def left_join_by_size(
     left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None
 ) -> DataFrame:
-    """The left join on ``key``; if there are hot keys their rows, and those of no key, are spread.
+    """The left join on ``key``; if there are hot keys, the null key among them, their rows are spread.
 
     Spread rows go by a hash of the row, and each right row of a hot key is repeated once per salt.
     The salt depends on the row alone, so a task that runs again sends its rows the same way.
@@ -48,17 +46,13 @@ def left_join_by_size(
     """
     if hot is None:
         return left.join(right, key, "left")
-    hot = F.broadcast(hot)
+    hot = F.broadcast(hot.withColumnRenamed(key, "_hot"))
     row_hash = F.xxhash64(
         *(F.col(f"`{f.name}`") for f in left.schema if not isinstance(f.dataType, MapType))
     )
-    salt = (
-        F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(NULL_SALTS)))
-        .when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))
-        .otherwise(0)
-        .cast("int")
-    )
+    salt = F.coalesce(F.pmod(row_hash, F.col("_salts")), F.lit(0)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    salted = left.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
-    repeated = right.join(hot, key, "left").withColumn("_salt", salts).drop("_salts")
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
+    salted = left.join(hot, is_hot, "left").withColumn("_salt", salt).drop("_salts", "_hot")
+    repeated = right.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", salts).drop("_salts", "_hot")
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reviewmill.functions.dates import (
     day_text,
@@ -16,9 +17,10 @@ from reviewmill.functions.dates import (
 )
 from reviewmill.functions.text import decode_bytes, text_to_long
 from reviewmill.operators.columns import add_file_source_column, get_formatted_column_names
-from reviewmill.schemas import METADATA, RAW_REVIEWS
+from reviewmill.schemas import METADATA
 from reviewmill.sources.readers import read_json
 from reviewmill.sources.writers import (
+    FOLDERS_PER_WRITE,
     METADATA_RECORDS_PER_FILE,
     REVIEW_RECORDS_PER_FILE,
     append_table,
@@ -57,7 +59,7 @@ def load_bronze_metadata(
     spark: SparkSession,
     folders: Sequence[str],
     table: str,
-    per_write: int | None = None,
+    per_write: int | None = FOLDERS_PER_WRITE,
     progress: Callable[[int, int], None] | None = None,
 ) -> int:
     """Append the metadata folders to the bronze table, partitioned by year."""
@@ -75,12 +77,14 @@ def load_bronze_reviews(
     spark: SparkSession,
     folders: Sequence[str],
     table: str,
-    per_write: int | None = None,
-    infer_schema: bool = False,
+    per_write: int | None = FOLDERS_PER_WRITE,
+    schema: StructType | None = None,
     progress: Callable[[int, int], None] | None = None,
 ) -> int:
-    """Append the review folders to the bronze table, partitioned by month."""
-    schema = None if infer_schema else RAW_REVIEWS
+    """Append the review folders to the bronze table, partitioned by month.
+
+    Without a schema it is inferred and every raw field is kept; a schema keeps its own fields only.
+    """
     return load_folders(
         spark,
         folders,

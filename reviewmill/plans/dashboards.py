@@ -25,9 +25,8 @@ def product_dashboard(enriched: DataFrame, key: str = "asin") -> DataFrame:
 
 def product_keywords(enriched: DataFrame, k: int, key: str = "asin") -> DataFrame:
     """The k keywords named most often per product, ties by keyword."""
-    words = enriched.select(
-        key, F.explode(F.split(F.lower("keywords"), r"\s*,\s*")).alias("keyword")
-    )
+    words = enriched.select(key, F.explode(F.split(F.lower("keywords"), ",")).alias("keyword"))
+    words = words.withColumn("keyword", F.regexp_replace("keyword", r"^\s+|\s+$", ""))
     counted = words.where("keyword <> ''").groupBy(key, "keyword").agg(F.count("*").alias("n"))
     return top_per_key(counted, [key], [F.desc("n"), F.col("keyword")], k)
 

@@ -25,6 +25,8 @@ from reviewmill.sources.writers import overwrite_partitions, publish_day, replac
 
 # Fixed value: call limit of the scoring service.
 CALLS_PER_MINUTE = 3500
+# Tasks that share the limit: at the limit each waits about a second between calls.
+SCORING_TASKS = 64
 
 
 def reviews_to_score(gold: DataFrame, day: dt.date) -> DataFrame:
@@ -44,16 +46,18 @@ def enrich_day(
     make_scorer: Callable[[], Scorer],
     day: dt.date | None = None,
     publish_as: str | None = None,
+    calls_per_minute: float | None = CALLS_PER_MINUTE,
+    tasks: int = SCORING_TASKS,
     **limits,
 ) -> int:
     """Daily job: score one day's reviews, replace that day in the table, publish that day.
 
     The scorer runs once: the table is read back for everything after it. One day is small in
-    bytes but slow to score, so it is spread over ``tasks`` tasks, all cores unless told
-    otherwise. Returns the row count.
+    bytes but slow to score, so it is spread over ``tasks`` tasks, which share the call limit; None
+    lifts the limit. Returns the row count.
     """
     day = day or default_run_date()
-    limits["tasks"] = limits.get("tasks") or spark.sparkContext.defaultParallelism
+    limits |= {"calls_per_minute": calls_per_minute, "tasks": tasks}
     scored = score_reviews(reviews_to_score(spark.read.parquet(gold), day), make_scorer, **limits)
     rows = replace_day(scored, table, day)
     if publish_as:
@@ -86,8 +90,12 @@ def label_by_rule(
 
 
 def not_yet_enriched(gold: DataFrame, enriched: DataFrame) -> DataFrame:
-    """Gold rows of the dates that the enriched table lacks."""
-    return gold.join(enriched.select("date").distinct(), "date", "left_anti")
+    """Gold rows of the dates that the enriched table lacks; rows without a date are a date of their own.
+
+    There is one narrow row per day of the calendar, so the days are broadcast and gold is not shuffled.
+    """
+    days = F.broadcast(enriched.select(F.col("date").alias("_day")).distinct())
+    return gold.join(days, F.col("date").eqNullSafe(F.col("_day")), "left_anti")
 
 
 def backfill(

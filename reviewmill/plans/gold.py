@@ -9,6 +9,7 @@ from reviewmill.functions.dates import month_start
 from reviewmill.operators.dedupe import distinct_rows
 from reviewmill.operators.norms import (
     attach_product,
+    average_over_products,
     average_through_product,
     group_average,
     product_totals,
@@ -18,7 +19,7 @@ from reviewmill.operators.norms import (
 from reviewmill.operators.sets import union_feeds
 from reviewmill.operators.skew import HOT_ROWS, hot_keys, left_join_by_size
 from reviewmill.schemas import GOLD_COLUMNS, GOLD_METADATA_COLUMNS, REVIEWS
-from reviewmill.session import keep
+from reviewmill.session import keep, size_shuffles
 from reviewmill.sources.writers import overwrite_table, publish_table
 
 
@@ -31,7 +32,7 @@ def compare_reviews(
 ) -> DataFrame:
     """Reviews with product columns, and better / worse / normal against brand and reviewer.
 
-    Averages count every review, copies included. The result is distinct rows, and
+    Averages are over the joined rows: they count every review, copies included, once per product row. The result is distinct rows, and
     every added column depends on the review and its product alone, so copies are removed before
     the joins: product columns are never part of the distinct. Brand averages
     ride on the product side, which leaves the wide reviews two joins, by reviewer and by product.
@@ -40,9 +41,12 @@ def compare_reviews(
     product, as silver has.
     """
     totals = keep(product_totals(reviews), "product-totals")
-    by_reviewer = keep(
-        group_average(reviews, "reviewer_id", "overall", "overall_reviewer"), "reviewer-average"
+    reviewer_average = (
+        group_average(reviews, "reviewer_id", "overall", "overall_reviewer")
+        if unique_products
+        else average_over_products(reviews, metadata, "reviewer_id", "overall_reviewer")
     )
+    by_reviewer = keep(reviewer_average, "reviewer-average")
     by_brand = keep(average_through_product(totals, metadata), "brand-average")
 
     products = metadata.withColumnsRenamed(
@@ -74,18 +78,34 @@ def streamed_reviews(silver_events: DataFrame) -> DataFrame:
 
 
 def gold_reviews(
-    batch: DataFrame, events: DataFrame, metadata: DataFrame, *, unique_products: bool = True
+    batch: DataFrame,
+    events: DataFrame,
+    metadata: DataFrame,
+    *,
+    unique_products: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The gold table from the three silver tables."""
     reviews = union_feeds(REVIEWS, batch, streamed_reviews(events))
     products = metadata.select(*GOLD_METADATA_COLUMNS)
-    return compare_reviews(reviews, products, unique_products=unique_products).select(*GOLD_COLUMNS)
+    compared = compare_reviews(
+        reviews, products, unique_products=unique_products, hot_rows=hot_rows
+    )
+    return compared.select(*GOLD_COLUMNS)
+
 
+def write_gold(
+    spark: SparkSession, batch: str, events: str, metadata: str, table: str, hot_rows: int = HOT_ROWS
+) -> None:
+    """Gold job: read silver, overwrite the gold table, partitioned by month.
 
-def write_gold(spark: SparkSession, batch: str, events: str, metadata: str, table: str) -> None:
-    """Gold job: read silver, overwrite the gold table, partitioned by month."""
+    Shuffles start with as many partitions as the input's size asks for. A reviewer, product
+    or brand with more than ``hot_rows`` rows (or 1 / 100,000 of all, where that is more) is spread over many tasks.
+    """
+    size_shuffles(spark, batch, events, metadata)
     read = spark.read.parquet
-    overwrite_table(gold_reviews(read(batch), read(events), read(metadata)), table, "year_month")
+    rows = gold_reviews(read(batch), read(events), read(metadata), hot_rows=hot_rows)
+    overwrite_table(rows, table, "year_month")
 
 
 def publish_gold(spark: SparkSession, table: str, name: str, **options) -> None:

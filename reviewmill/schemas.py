@@ -1,74 +1,136 @@
 """Declared schemas of the feeds and tables.
 
-A schema is kept as a JSON-shaped dict and turned into a ``StructType`` by
-``StructType.fromJson``, so it can also live in a config file.
+The metadata schema is kept as a JSON-shaped dict and turned into a ``StructType`` by
+``StructType.fromJson``, so it can also live in a config file. The others are fields.
 """
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 TEXT_LIST = {"type": "array", "elementType": "string", "containsNull": True}
 
-
-def struct_dict(fields: str) -> dict:
-    """Schema dict from ``name`` or ``name:type`` words; a bare name is text, ``list`` is of text."""
-
-    def field(word: str) -> dict:
-        name, _, kind = word.partition(":")
-        kind = TEXT_LIST if kind == "list" else kind or "string"
-        return {"name": name, "type": kind, "nullable": True, "metadata": {}}
-
-    return {"type": "struct", "fields": [field(word) for word in fields.split()]}
-
-
 # Field names of the feeds and of the model answer.
-METADATA_JSON = struct_dict(
-    "also_buy:list also_view:list asin brand category:list date description:list details "
-    "feature:list fit image:list main_cat price rank similar_item tech1 tech2 title"
-)
-EVENT_BODY_JSON = struct_dict(
-    "asin image overall reviewText reviewerID reviewerName style summary unix_review_time "
-    "verified vote file_source"
+METADATA_JSON = {
+    "type": "struct",
+    "fields": [
+        {"name": "also_buy", "type": TEXT_LIST, "nullable": True, "metadata": {}},
+        {"name": "also_view", "type": TEXT_LIST, "nullable": True, "metadata": {}},
+        {"name": "asin", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "brand", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "category", "type": TEXT_LIST, "nullable": True, "metadata": {}},
+        {"name": "date", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "description", "type": TEXT_LIST, "nullable": True, "metadata": {}},
+        {"name": "details", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "feature", "type": TEXT_LIST, "nullable": True, "metadata": {}},
+        {"name": "fit", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "image", "type": TEXT_LIST, "nullable": True, "metadata": {}},
+        {"name": "main_cat", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "price", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "rank", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "similar_item", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "tech1", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "tech2", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "title", "type": "string", "nullable": True, "metadata": {}},
+    ],
+}
+METADATA = StructType.fromJson(METADATA_JSON)
+
+EVENT_BODY = StructType(
+    [
+        StructField("asin", StringType()),
+        StructField("image", StringType()),
+        StructField("overall", StringType()),
+        StructField("reviewText", StringType()),
+        StructField("reviewerID", StringType()),
+        StructField("reviewerName", StringType()),
+        StructField("style", StringType()),
+        StructField("summary", StringType()),
+        StructField("unix_review_time", StringType()),
+        StructField("verified", StringType()),
+        StructField("vote", StringType()),
+        StructField("file_source", StringType()),
+    ]
 )
-ANSWER_JSON = struct_dict("sentiment actionable keywords response")
 
-METADATA = StructType.fromJson(METADATA_JSON)
-EVENT_BODY = StructType.fromJson(EVENT_BODY_JSON)
-ANSWER = StructType.fromJson(ANSWER_JSON)
+ANSWER = StructType(
+    [
+        StructField("sentiment", StringType()),
+        StructField("actionable", StringType()),
+        StructField("keywords", StringType()),
+        StructField("response", StringType()),
+    ]
+)
 
-RAW_REVIEWS = StructType.fromJson(
-    struct_dict(
-        "asin image overall:double reviewText reviewerID reviewerName style summary "
-        "unixReviewTime:long verified:boolean vote"
-    )
+RAW_REVIEWS = StructType(
+    [
+        StructField("asin", StringType()),
+        StructField("image", StringType()),
+        StructField("overall", DoubleType()),
+        StructField("reviewText", StringType()),
+        StructField("reviewerID", StringType()),
+        StructField("reviewerName", StringType()),
+        StructField("style", StringType()),
+        StructField("summary", StringType()),
+        StructField("unixReviewTime", LongType()),
+        StructField("verified", BooleanType()),
+        StructField("vote", StringType()),
+    ]
 )
 
-EVENT_ENVELOPE = StructType.fromJson(
-    struct_dict("body:binary offset sequenceNumber:long enqueuedTime:timestamp")
+EVENT_ENVELOPE = StructType(
+    [
+        StructField("body", BinaryType()),
+        StructField("offset", StringType()),
+        StructField("sequenceNumber", LongType()),
+        StructField("enqueuedTime", TimestampType()),
+    ]
 )
 
-POSITIONS = StructType.fromJson(
-    struct_dict(
-        "event_source enqueued_time last_modification max_offset:long sequence_number:long"
-    )
+POSITIONS = StructType(
+    [
+        StructField("event_source", StringType()),
+        StructField("enqueued_time", StringType()),
+        StructField("last_modification", StringType()),
+        StructField("max_offset", LongType()),
+        StructField("sequence_number", LongType()),
+    ]
 )
 
 # One declared schema for batch and streamed reviews, so that their union never guesses types.
-REVIEWS = StructType.fromJson(
-    struct_dict(
-        "asin image:list overall:double review_text reviewer_id reviewer_name summary "
-        "verified:boolean vote date:date"
-    )
+REVIEWS = StructType(
+    [
+        StructField("asin", StringType()),
+        StructField("image", ArrayType(StringType())),
+        StructField("overall", DoubleType()),
+        StructField("review_text", StringType()),
+        StructField("reviewer_id", StringType()),
+        StructField("reviewer_name", StringType()),
+        StructField("summary", StringType()),
+        StructField("verified", BooleanType()),
+        StructField("vote", StringType()),
+        StructField("date", DateType()),
+    ]
 )
 
 # Columns taken from metadata, and the order of the gold table.
-GOLD_METADATA_COLUMNS = (
-    "asin also_buy brand first_category description image main_cat price higher_rank title"
-).split()
-GOLD_COLUMNS = (
-    "asin image overall review_text reviewer_id reviewer_name summary verified vote date "
-    "also_buy brand first_category description image_met main_cat price higher_rank title "
-    "brand_deviation_text reviewer_deviation_text year_month"
-).split()
+GOLD_METADATA_COLUMNS = [
+    "asin", "also_buy", "brand", "first_category", "description", "image", "main_cat", "price",
+    "higher_rank", "title",
+]
+GOLD_COLUMNS = [
+    "asin", "image", "overall", "review_text", "reviewer_id", "reviewer_name", "summary", "verified",
+    "vote", "date", "also_buy", "brand", "first_category", "description", "image_met", "main_cat",
+    "price", "higher_rank", "title", "brand_deviation_text", "reviewer_deviation_text", "year_month",
+]

@@ -25,6 +25,19 @@ def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 128 * 1024**2, l
     return max(least, -(-shuffled_bytes // target_bytes))
 
 
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Let this session's shuffles start with enough partitions for the size of the input tables."""
+    size = 0
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        size += files.getContentSummary(path).getLength()
+    # Columnar input is a few times larger as rows.
+    partitions = shuffle_partitions(4 * size)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+    return partitions
+
+
 def build_session(
     app_name: str = "reviewmill", master: str | None = None, settings: dict[str, str] | None = None
 ) -> SparkSession:

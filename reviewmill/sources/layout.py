@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-def _checked(spark: SparkSession, source: str, target: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, by: str | None) -> DataFrame:
+    """A table whose partition values stay the text of their folders: ``007`` is not 7."""
+    if not by:
+        return spark.read.parquet(path)
+    fields = [f for f in spark.read.parquet(path).schema.fields if f.name != by]
+    return spark.read.schema(StructType([*fields, StructField(by, StringType())])).parquet(path)
+
+
+def _checked(spark: SparkSession, source: str, target: str, by: str | None = None) -> DataFrame:
     before, after = spark.read.parquet(source).count(), spark.read.parquet(target).count()
     if before != after:
         raise RuntimeError(f"{source} has {before} rows but {target} has {after}")
-    return spark.read.parquet(target)
+    return _read(spark, target, by)
 
 
 def compact(
@@ -20,14 +29,15 @@ def compact(
 
     A partitioned table is rebalanced on its partition key, which merges small
     partitions and splits large ones by measured size; else ``files`` even files are written.
+    The partition values come back as the text of their folders.
     """
-    rows = spark.read.parquet(source)
+    rows = _read(spark, source, by)
     if by:
         writer = rows.hint("rebalance", by).write.partitionBy(by)
     else:
         writer = (rows.repartition(files) if files else rows.hint("rebalance")).write
     writer.mode("overwrite").parquet(target)
-    return _checked(spark, source, target)
+    return _checked(spark, source, target, by)
 
 
 def cluster(spark: SparkSession, source: str, target: str, key: str, files: int) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.functions.dates import INSTANT
+from reviewmill.functions.dates import utc_text
 from reviewmill.operators.counts import high_water_mark
 from reviewmill.operators.dedupe import latest_per_key
 from reviewmill.schemas import POSITIONS
@@ -16,16 +16,14 @@ from reviewmill.schemas import POSITIONS
 
 def position_rows(events: DataFrame, source: str, **columns: str) -> DataFrame:
     """The position record of a source after the given events; none if there are no events."""
-    return (
-        high_water_mark(events, **columns)
-        .where(F.col("enqueued_time").isNotNull())
-        .select(
-            F.lit(source).alias("event_source"),
-            F.date_format("enqueued_time", INSTANT).alias("enqueued_time"),
-            F.date_format(F.current_timestamp(), INSTANT).alias("last_modification"),
-            F.col("max_offset").cast("bigint").alias("max_offset"),
-            F.col("sequence_number").cast("bigint").alias("sequence_number"),
-        )
+    marks = high_water_mark(events, **columns).where(F.col("enqueued_time").isNotNull())
+    kind = marks.schema["enqueued_time"].dataType.simpleString()
+    return marks.select(
+        F.lit(source).alias("event_source"),
+        utc_text(F.col("enqueued_time"), kind).alias("enqueued_time"),
+        utc_text(F.current_timestamp(), "timestamp").alias("last_modification"),
+        F.col("max_offset").cast("bigint").alias("max_offset"),
+        F.col("sequence_number").cast("bigint").alias("sequence_number"),
     )
 
 
@@ -42,6 +40,9 @@ def latest_positions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stored_position(spark: SparkSession, path: str, source: str) -> str | None:
-    """Enqueue time saved for a source, or None."""
+    """Enqueue time saved for a source in UTC; None if nothing was saved yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
     row = latest_positions(spark, path).where(F.col("event_source") == source).first()
     return row["enqueued_time"] if row else None

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reviewmill.functions.dates import instant
+from reviewmill.functions.dates import parse_moment
 
 
 def read_json(
@@ -41,16 +41,6 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
-def spread(rows: DataFrame, by: str) -> DataFrame:
-    """Rows over all cores where the scan alone cannot: one row group is one task.
-
-    A table with enough files for all cores is left as it is, so at scale no shuffle is
-    added. ``by`` is a column with many values.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, by) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def stream_table(
     spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -70,8 +60,7 @@ def kafka_options(
     """
     start = {"startingOffsets": "earliest"}
     if position is not None:
-        moment = dt.datetime.strptime(position, "%Y-%m-%d %H:%M:%S.%f").replace(tzinfo=dt.timezone.utc)
-        start = {"startingTimestamp": str(int(moment.timestamp() * 1000))}
+        start = {"startingTimestamp": str(int(parse_moment(position).timestamp() * 1000))}
     return {"kafka.bootstrap.servers": servers, "subscribe": topic, "kafka.group.id": group, **start}
 
 
@@ -97,11 +86,30 @@ def start_position(
 def from_position(
     events: DataFrame, position: str | dt.datetime | None, moment: str = "enqueuedTime"
 ) -> DataFrame:
-    """Events enqueued at or after the position. The time itself is read again."""
+    """Events enqueued at or after the position, UTC unless it says otherwise. The time itself is read again.
+
+    Text is parsed here, before any event is read: a position that cannot be read raises.
+    """
     if position is None:
         return events
-    start = instant(F.lit(position)) if isinstance(position, str) else F.lit(position)
-    kind = events.schema[moment].dataType.simpleString()
-    if kind == "timestamp_ntz" and isinstance(position, str):
-        start = F.lit(position).cast("timestamp_ntz")
+    if isinstance(position, str):
+        position = parse_moment(position)
+    elif position.tzinfo is None:
+        position = position.replace(tzinfo=dt.timezone.utc)
+    utc = position.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    if events.schema[moment].dataType.simpleString() == "timestamp_ntz":
+        start = F.lit(utc.isoformat(" ")).cast("timestamp_ntz")
+    else:
+        micros = (utc - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+        start = F.timestamp_micros(F.lit(micros))
     return events.where(F.col(moment) >= start)
+
+
+def without_repeats(
+    events: DataFrame, delay: str, moment: str = "enqueuedTime", keys: Sequence[str] = ("source", "offset")
+) -> DataFrame:
+    """Each event once, for a stream that reads its start position again; off unless a job asks for it.
+
+    Keys are remembered for ``delay`` after their event time, which bounds the state.
+    """
+    return events.withWatermark(moment, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -15,11 +15,10 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from reviewmill.session import scratch_path
 
-# Records per file of the two batch feeds, folders per write, stream interval.
+# Records per file of the two batch feeds, and their folders per write.
 METADATA_RECORDS_PER_FILE = 1_000_000
 REVIEW_RECORDS_PER_FILE = 500_000
 FOLDERS_PER_WRITE = 100
-STREAM_INTERVAL = "30 seconds"
 
 
 def _writer(dataframe: DataFrame, by: str | None, max_records: int | None):
@@ -87,6 +86,9 @@ def publish_day(dataframe: DataFrame, name: str, day: dt.date, by: str = "date",
     if not spark.catalog.tableExists(name):
         rows.write.partitionBy(by).options(**options).saveAsTable(name)
         return
+    unknown = [c for c in rows.columns if c not in spark.table(name).columns]
+    if unknown:
+        raise ValueError(f"{name} has no column {', '.join(unknown)}: add it to the table first")
     # Naming the partition replaces that one alone, and empties it if there are no rows.
     columns = ", ".join(f"`{c}`" for c in spark.table(name).columns if c != by)
     spark.sql(
@@ -101,10 +103,10 @@ def load_folders(
     folders: Sequence[str],
     read: Callable[[SparkSession, Sequence[str]], DataFrame],
     write: Callable[[DataFrame], None],
-    per_write: int | None = None,
+    per_write: int | None = FOLDERS_PER_WRITE,
     progress: Callable[[int, int], None] | None = None,
 ) -> int:
-    """Load folders in one distributed write, or ``per_write`` folders at a time.
+    """Load ``per_write`` folders at a time, or all in one distributed write if it is None.
 
     Each write is one scan over all its folders. The last batch is written even when short.
     Returns the number of folders loaded.

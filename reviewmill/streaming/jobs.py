@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from reviewmill.plans.bronze import bronze_events
 from reviewmill.plans.silver import silver_events
-from reviewmill.sources.positions import save_position
+from reviewmill.sources.positions import save_position, stored_position
 from reviewmill.sources.readers import from_position, stream_table
 from reviewmill.sources.writers import stream_append
 
-# Files per micro-batch and the longest run of a scheduled stream.
+# Files per micro-batch, interval of a running stream, longest run of a scheduled one.
 FILES_PER_TRIGGER = 2500
+STREAM_INTERVAL = "30 seconds"
 RUN_SECONDS = 300
 
 
@@ -29,6 +33,14 @@ def run_until_done(writer: DataStreamWriter, seconds: float = RUN_SECONDS) -> bo
         query.stop()
 
 
+def run_to_end(make_writer: Callable[[], DataStreamWriter], seconds: float = RUN_SECONDS) -> int:
+    """Run a stream again and again until it has caught up; returns the number of runs."""
+    runs = 1
+    while not run_until_done(make_writer(), seconds):
+        runs += 1
+    return runs
+
+
 def stream_bronze_events(
     events: DataFrame,
     table: str,
@@ -61,5 +73,13 @@ def stream_silver_events(
 
 
 def save_daily_position(spark: SparkSession, bronze: str, positions: str, source: str) -> None:
-    """Scheduled task: store the high-water mark of the bronze events."""
-    save_position(spark.read.parquet(bronze), positions, source)
+    """Scheduled task: store the high-water mark of the bronze events.
+
+    Only the days from the last stored position on are read.
+    """
+    events = spark.read.parquet(bronze)
+    stored = stored_position(spark, positions, source)
+    if stored:
+        first = F.lit(stored[:10]).cast(events.schema["date_utc"].dataType)
+        events = events.where(F.col("date_utc") >= first)
+    save_position(events, positions, source)

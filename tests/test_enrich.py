@@ -160,3 +160,21 @@ print("LABEL", scoring.classify_texts(rows, lambda: lambda t: ["Z"] * len(t)).fi
 """
     run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=180)
     assert "ANSWER y" in run.stdout and "LABEL Z" in run.stdout, run.stderr[-2000:]
+
+
+def test_backfill_does_not_shuffle_gold_and_scores_null_dates_once(spark, tmp_path):
+    gold, table = str(tmp_path / "gold"), str(tmp_path / "enriched")
+    rows = spark.createDataFrame([(1, DAY, "good"), (2, OTHER, "bad"), (3, None, "good")], "n int, date date, review_text string")
+    rows.write.parquet(gold)
+    label = lambda frame: enrich.label_by_rule(frame, ["good"], ["bad"])
+    enrich.backfill(spark, gold, table, label, first_run=True)
+    left = enrich.not_yet_enriched(spark.read.parquet(gold), spark.read.parquet(table))
+    assert left.count() == 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        left = enrich.not_yet_enriched(spark.read.parquet(gold), spark.read.parquet(table))
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewmill.functions import dates, nested, rating, text
-from reviewmill.schemas import ANSWER, EVENT_BODY, EVENT_BODY_JSON, METADATA
+from reviewmill.schemas import ANSWER, EVENT_BODY, METADATA, METADATA_JSON
 
 
 def applied(spark, function, values, kind="string"):
@@ -184,7 +184,7 @@ def test_event_body(spark, ansi):
 
 def test_schemas_from_dicts():
     assert len(METADATA.fields) == 18 and METADATA["also_buy"].dataType.simpleString() == "array<string>"
-    assert EVENT_BODY.jsonValue() == EVENT_BODY_JSON and len(EVENT_BODY.fields) == 12
+    assert METADATA.jsonValue() == METADATA_JSON and len(EVENT_BODY.fields) == 12
     assert ANSWER.names == ["sentiment", "actionable", "keywords", "response"]
 
 
@@ -200,3 +200,19 @@ def test_keyword_sentiment(spark, ansi):
     )
     found = rows.select(rating.keyword_sentiment(F.col("keyword"), F.col("overall")).alias("s")).collect()
     assert [r.s for r in found] == ["positive", "positive", "negative", "negative", None, None, None]
+
+
+def test_seconds_out_of_range(spark, ansi):
+    found = applied(spark, dates.unix_date, [10**18, -(10**18), 86400, None], "bigint")
+    assert found == [None, None, dt.date(1970, 1, 2), None]
+
+
+@pytest.mark.parametrize("written", ["2023-12-31", "2023-12-31 00:00:00", "2023-12-31T00:00:00Z", "2023-12-31 01:00:00.000000+01:00"])
+def test_moments(written):
+    assert dates.parse_moment(written) == dt.datetime(2023, 12, 31, tzinfo=dt.timezone.utc)
+
+
+@pytest.mark.parametrize("written", ["", "soon", "2023-13-01", "31.12.2023"])
+def test_moments_that_are_none(written):
+    with pytest.raises(ValueError, match="is not a moment"):
+        dates.parse_moment(written)

@@ -4,8 +4,12 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from reviewmill.functions.rating import POSITIVE
 from reviewmill.operators import columns, counts, dedupe, filters, profile, sets
 from reviewmill.plans import dashboards, quality
 
@@ -159,8 +163,38 @@ def test_lift_struct(spark):
 def test_union_keeps_duplicates_and_fills_columns(spark):
     one = spark.createDataFrame([(1,), (1,)], "a int")
     two = spark.createDataFrame([("x", 1)], "b string, a int")
-    found = sorted((tuple(r) for r in sets.union_all(one, two).collect()), key=str)
+    found = sorted((tuple(r) for r in sets.union_all(one, two, allow_missing=True).collect()), key=str)
     assert found == [(1, "x"), (1, None), (1, None)]
+    with pytest.raises(AnalysisException):
+        sets.union_all(one, two)
+
+
+def test_feeds_need_their_columns(spark):
+    schema = StructType().add("overall", "double").add("vote", "string")
+    feed = spark.createDataFrame([(5.0, "2")], "Overal double, vote string")
+    with pytest.raises(ValueError, match="overall"):
+        sets.union_feeds(schema, feed)
+    assert sets.union_feeds(schema, feed, optional=["overall"]).collect() == [Row(overall=None, vote="2")]
+
+
+def test_quality_sections_in_one_scan(spark, tmp_path):
+    rows = [("good", 5.0, dt.date(2024, 1, 3)), ("good", 1.0, dt.date(2024, 2, 3)), ("two words", 3.0, None)]
+    spark.createDataFrame(rows, "text string, overall double, day date").write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    report = quality.quality_profile(frame, day="day", keys=["overall"], text="text", rating="overall")
+    found = {(r.section, r.value): r.amount for r in report.collect()}
+    assert found["rows", None] == 3 and found["month", "2024-01-01"] == 1 and found["year", "2024-01-01"] == 2
+    assert found["key", "groups"] == 3 and found["key", "skew"] == 1
+    # A keyword, its rating and the sentiment they imply; empty where there is none.
+    assert found["keyword", f"good|5.0|{POSITIVE}"] == 1 and found["keyword", "|3.0|"] == 1
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+
+
+def test_keywords_are_trimmed(spark):
+    named = spark.createDataFrame([("a", " screen"), ("a", "screen , battery")], "asin string, keywords string")
+    found = {r.keyword: r.n for r in dashboards.product_keywords(named, 5).collect()}
+    assert found == {"screen": 2, "battery": 1}
 
 
 # --- dashboards -----------------------------------------------------------------------------

@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewmill.plans import bronze
-from reviewmill.schemas import METADATA, POSITIONS
-from reviewmill.session import build_session, keep, scratch_path, shuffle_partitions
+from reviewmill.schemas import METADATA, POSITIONS, RAW_REVIEWS
+from reviewmill.session import build_session, keep, scratch_path, shuffle_partitions, size_shuffles
 from reviewmill.sources import layout, positions, readers, writers
+from reviewmill.streaming import jobs
 
 
 def data_files(path):
@@ -182,7 +183,7 @@ def test_compact_partitioned(spark, tmp_path):
     frame.write.partitionBy("k").parquet(str(tmp_path / "small"))
     found = layout.compact(spark, str(tmp_path / "small"), str(tmp_path / "few"), by="k")
     assert len(data_files(tmp_path / "few")) < len(data_files(tmp_path / "small")) == 60
-    assert sorted((r.id, r.k) for r in found.collect()) == [(i, i % 3) for i in range(1000)]
+    assert sorted((r.id, r.k) for r in found.collect()) == [(i, str(i % 3)) for i in range(1000)]
 
 
 def test_cluster_gives_ranges_and_splits_a_hot_key(spark, tmp_path):
@@ -261,8 +262,8 @@ def test_bronze_reviews(spark, tmp_path):
     path = tmp_path / "in"
     path.mkdir()
     (path / "a.json").write_text('{"asin":"a","reviewerID":"r","unixReviewTime":1577836800,"overall":5.0,"verified":true}\n')
-    assert bronze.load_bronze_reviews(spark, [str(path)], str(tmp_path / "declared")) == 1
-    assert bronze.load_bronze_reviews(spark, [str(path)], str(tmp_path / "inferred"), infer_schema=True) == 1
+    assert bronze.load_bronze_reviews(spark, [str(path)], str(tmp_path / "declared"), schema=RAW_REVIEWS) == 1
+    assert bronze.load_bronze_reviews(spark, [str(path)], str(tmp_path / "inferred")) == 1
     for table in ("declared", "inferred"):
         row = spark.read.parquet(str(tmp_path / table)).first()
         assert (row.asin, row.reviewer_id, row.unix_review_time_date) == ("a", "r", dt.date(2020, 1, 1))
@@ -285,3 +286,78 @@ def test_session_settings(spark):
     assert build_session(settings={}).conf.get("spark.sql.session.timeZone") == "UTC"
     assert shuffle_partitions(10) == 200
     assert shuffle_partitions(100 * 1024**4) == 819_200
+
+
+@pytest.mark.parametrize(
+    "start", ["2023-12-31", "2023-12-31 00:00:00", "2023-12-31T00:00:00Z", "2023-12-31 00:00:00.000000"]
+)
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_any_written_start_reads_all_events(spark, start, kind):
+    events = spark.sql(f"SELECT {kind}'2024-01-01 00:00:00' AS enqueuedTime UNION ALL SELECT {kind}'2024-01-02 00:00:00'")
+    assert readers.from_position(events, start).count() == 2
+    with pytest.raises(ValueError):
+        readers.from_position(events, "yesterday")
+
+
+def test_positions_are_utc_in_any_session_zone(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        events = spark.sql(
+            "SELECT 1L AS sequenceNumber, 1L AS offset, timestamp'2024-01-01 12:00:00Z' AS enqueuedTime "
+            "UNION ALL SELECT 2L, 2L, timestamp'2024-01-01 14:00:00Z'"
+        )
+        path = str(tmp_path / "positions")
+        assert positions.stored_position(spark, path, "hub") is None
+        positions.save_position(events.where("offset = 1"), path, "hub")
+        stored = positions.stored_position(spark, path, "hub")
+        assert stored == "2024-01-01 12:00:00.000000"
+        assert readers.from_position(events, stored).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_published_columns_are_not_dropped(spark):
+    day = dt.date(2024, 1, 1)
+    with_tables = spark.createDataFrame([(1, day)], "n int, date date")
+    writers.publish_day(with_tables, "published_strict", day)
+    with pytest.raises(ValueError, match="extra"):
+        writers.publish_day(with_tables.withColumn("extra", F.lit(1)), "published_strict", day)
+    spark.sql("DROP TABLE published_strict")
+
+
+def test_compaction_keeps_partition_text(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "007"), (2, "1e3"), (3, "10")], "n int, k string")
+    rows.write.partitionBy("k").parquet(str(tmp_path / "many"))
+    found = layout.compact(spark, str(tmp_path / "many"), str(tmp_path / "few"), by="k")
+    assert sorted((r.n, r.k) for r in found.collect()) == [(1, "007"), (2, "1e3"), (3, "10")]
+    assert sorted(p.name for p in (tmp_path / "few").glob("k=*")) == ["k=007", "k=10", "k=1e3"]
+
+
+def test_raw_fields_nobody_declared_are_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text('{"asin":"a","unixReviewTime":1577836800,"starsOfTen":9}\n')
+    bronze.load_bronze_reviews(spark, [str(tmp_path / "in")], str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).first().stars_of_ten == 9
+
+
+def test_daily_position_prunes_days(spark, tmp_path):
+    rows = [(i, i, dt.datetime(2024, 1, 1 + i, 12), f"2024-01-0{1 + i}") for i in range(4)]
+    events = spark.createDataFrame(rows, "sequenceNumber long, offset long, enqueuedTime timestamp_ntz, date_utc string")
+    bronze_path, path = str(tmp_path / "bronze"), str(tmp_path / "positions")
+    events.where("offset < 2").write.partitionBy("date_utc").parquet(bronze_path)
+    jobs.save_daily_position(spark, bronze_path, path, "hub")
+    events.where("offset >= 2").write.mode("append").partitionBy("date_utc").parquet(bronze_path)
+    jobs.save_daily_position(spark, bronze_path, path, "hub")
+    assert positions.stored_position(spark, path, "hub") == "2024-01-04 12:00:00.000000"
+
+
+def test_shuffles_follow_the_input(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    try:
+        assert size_shuffles(spark, str(tmp_path / "t")) == 200
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "200"
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
