@@ -6,7 +6,8 @@ sequence of tokens is the encoding of its bytes exactly if every two neighbours
 window is wide enough once its first and last token agree with the tokens outside; until then that side doubles.
 Joining is associative, its neutral element is the empty sequence, and decoding is concatenation.
 
-Defined results: a null or empty text has no ids; repeated rows are encoded alike; other columns pass through.
+Defined results: a null or empty text has no ids; repeated rows are encoded alike; other columns pass through;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType
 
 #: Bytes of a leaf of the tree.
 LEAF = 64
@@ -144,15 +146,15 @@ class _Written(dict):
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: bool = False) -> DataFrame:
     """``docs`` without the text, with ``n_tokens`` and the SHA-256 of the written ids and of the decoded bytes.
 
-    With ``ids`` also the ids themselves. The rank file is read by the driver and sent to the tasks: its
+    Columns of those names are replaced. With ``ids`` also the ids themselves. The rank file is read by the driver and sent to the tasks: its
     size is that of the vocabulary, whatever the number of documents.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(path))
-    others = [c for c in docs.columns if c != text]
+    others = [c for c in docs.columns if c not in (text, "n_tokens", "ids_sha256", "decoded_sha256", "ids")]
     schema = docs.select(*(f"`{c}`" for c in others)).schema
     schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(ranks.value, pattern)

@@ -187,7 +187,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     Rows are told apart by id and digest; where several rows share both, one of them stays.
     """
-    digest, gone, gone_digest = (unused(docs.columns, name) for name in ("digest", "gone", "gone_digest"))
+    digest, gone, gone_digest, twin = (unused(docs.columns, name) for name in ("digest", "gone", "gone_digest", "twin"))
     narrow = digests(docs, first_half(docs, key), key, text)
     groups = keep(groups_of(narrow), "groups")
     keep(bytes_agree(docs, groups, text).select(
@@ -198,9 +198,9 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     dropped = keep(marked.filter(F.col("row") != F.col("first.row")).select("id", "digest", "twin").distinct(), "dropped")
     # The keys of the dropped rows are few and narrow; the text side is shuffled only if they measure large.
     hashed = docs.withColumn(digest, F.unhex(F.sha2(normal(text_of(text)), 256)))
-    dropped = dropped.select(F.col("id").alias(gone), F.col("digest").alias(gone_digest), F.col("twin").alias("_twin"))
+    dropped = dropped.select(F.col("id").alias(gone), F.col("digest").alias(gone_digest), F.col("twin").alias(twin))
     same = F.col(key).eqNullSafe(F.col(gone)) & (F.col(digest) == F.col(gone_digest))
-    stay = hashed.join(dropped.filter("not _twin"), same, "left_anti")
-    single = stay.join(dropped.filter("_twin"), same, "left_anti")
-    twins = stay.join(dropped.filter("_twin"), same, "left_semi").dropDuplicates([digest])
+    stay = hashed.join(dropped.filter(~F.col(twin)), same, "left_anti")
+    single = stay.join(dropped.filter(F.col(twin)), same, "left_anti")
+    twins = stay.join(dropped.filter(F.col(twin)), same, "left_semi").dropDuplicates([digest])
     return single.unionByName(twins).drop(digest)

@@ -21,11 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import text_of, word_count
+from reviewmill.llm.common import text_of, unused, word_count
 from reviewmill.session import keep
 
 #: Rows of one source and size that one task numbers, at most about.
-PART_ROWS = 10_000
+PART_ROWS = 500
 #: Starts of the running sums that are tried for each source.
 PHASES = 32
 
@@ -111,8 +111,16 @@ def mix(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), total: float = 1.5, most: float = 2.0,
     text: str = "text", key: str = "doc_id",
 ) -> DataFrame:
-    """``docs`` with a struct ``mix``: size, source_size, target, copies and taken words of each row."""
-    sized = docs.withColumn("_size", word_count(text_of(text))).withColumn("_spread", F.xxhash64(key))
+    """``docs`` with a struct ``mix``: size, source_size, target, copies and taken words of each row.
+
+    A column of that name is replaced.
+    """
+    whole = [F.col(f"`{c}`") for c in docs.columns if c != "mix"]
+    # Packed, so that no column of the caller meets a working column.
+    sized = docs.select(
+        F.struct(*whole).alias("row"), "source", F.col(key).alias("key"),
+        word_count(text_of(text)).alias("_size"), F.xxhash64(key).alias("_spread"),
+    )
     counts = keep(
         sized.groupBy("source", F.col("_size").alias("size")).agg(F.count("*").alias("n")).repartition("source", "size"), "sizes"
     )
@@ -145,13 +153,13 @@ def mix(
         plan,
         F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_size") == F.col("_z2")) & (F.col("_part") == F.col("_p2")),
     )
-    order = Window.partitionBy("_s2", "_z2", "_p2").orderBy("_spread", key)
+    order = Window.partitionBy("_s2", "_z2", "_p2").orderBy("_spread", "key")
     nth = F.col("_plan.offset") + F.row_number().over(order)
     start = F.col("_plan.before") + F.col("_plan.phase")
     copies = (F.floor(start + F.col("_plan.rate") * F.col("_nth")) - F.floor(start + F.col("_plan.rate") * (F.col("_nth") - 1))).cast("long")
     met = met.withColumn("_nth", nth).withColumn("_copies", F.least(copies, F.lit(int(most)).cast("long")))
     return met.select(
-        *(F.col(f"`{c}`") for c in docs.columns),
+        "row.*",
         F.struct(
             F.col("_plan.size").alias("size"), F.col("_plan.source_size").alias("source_size"),
             F.col("_plan.target").alias("target"), F.col("_copies").alias("copies"),
@@ -162,5 +170,8 @@ def mix(
 
 def repeated(docs: DataFrame, **how) -> DataFrame:
     """Each row of ``docs`` as often as the mix takes it."""
-    mixed = mix(docs, **how).filter("mix.copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.expr("sequence(1L, mix.copies)"))).drop("_copy", "mix")
+    key, text = how.get("key", "doc_id"), how.get("text", "text")
+    whole = unused(["source", key, text], "whole")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(whole), "source", key, text)
+    mixed = mix(rows, **how).filter("mix.copies > 0")
+    return mixed.select(whole, F.explode(F.expr("sequence(1L, mix.copies)"))).select(f"{whole}.*")

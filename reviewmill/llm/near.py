@@ -12,8 +12,8 @@ similarity is computed on the whole sets. A block returns each member's number o
 root in the block; stars of roots then become classes.
 
 Defined results: a text of one to four words is one n-gram; a null or empty text, or a row without an id, has no
-links and its id as class; equal sets are one member with a count, their rows link to each other; rows that
-share an id are one document with the texts of all; an empty table gives no rows.
+links and its id as class; equal sets are one member with a count, their rows link to each other, also those that
+share an id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -141,11 +141,18 @@ def _members(group: pa.Table, column: str) -> list[np.ndarray]:
 
 
 def _ordered(group: pa.Table) -> tuple[pa.Table, int]:
-    """Members of the first block before those of the second, and how many those are (0: one block)."""
+    """Members, each once, those of the first block before those of the second, and how many those are.
+
+    0 says that there is one block; an empty table, that one of two blocks has no member.
+    """
+    _, first = np.unique(group.column("id").to_numpy(), return_index=True)
+    if len(first) < group.num_rows:
+        group = group.take(first)
     if group.column("left_block")[0] == group.column("right_block")[0]:
         return group, 0
     group = group.sort_by("block")
-    return group, int(np.sum(group.column("block").to_numpy() == group.column("left_block")[0].as_py()))
+    left = int(np.sum(group.column("block").to_numpy() == group.column("left_block")[0].as_py()))
+    return (group, left) if 0 < left < group.num_rows else (group.slice(0, 0), 0)
 
 
 def chosen_path_join(
@@ -173,18 +180,23 @@ def chosen_path_join(
     summary = keep(named.mapInArrow(summarise, f"id {id_type}, print binary, size long, sketch binary"), "sketches")
     # Copies meet first: a member is a distinct set with its number of rows.
     members = summary.filter("id is not null and print is not null").groupBy("print").agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch")
+        F.min("id").alias("first_id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch")
     )
-    members = keep(members, "members")
+    # From here on an id is that of a member.
+    members = keep(members.withColumn("id", F.monotonically_increasing_id()), "members")
     asked = keep(_requests(members, runs, similarity), "requests")
     found = keep(_compare(named, members, asked, similarity), "links")
     classes = _classes(found.select(F.col("id").alias("u"), F.col("root").alias("v")).filter("u > v"))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     about = members.join(links, "id", "left").join(classes, F.col("id") == F.col("u"), "left").select(
         "print",
-        F.coalesce("v", "id").alias("class_id"),
+        "first_id",
+        F.coalesce("v", "id").alias("root"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
+    about = keep(about, "about")
+    named_classes = about.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    about = about.join(named_classes, "root").select("print", "class_id", "n_links")
     return summary.filter("id is not null and print is not null").select("id", "print").join(about, "print").select(
         F.col("id").alias(key), "class_id", "n_links"
     ).unionByName(
@@ -266,6 +278,8 @@ def _requests(members: DataFrame, runs: int, similarity: float) -> DataFrame:
         wanted = ["path", "tokens", "left_block", "right_block", "block", "id"]
         for rows in _grouped(batches, group):
             rows, left = _ordered(rows)
+            if not rows.num_rows:
+                continue
             path = np.frombuffer(rows.column("tokens")[0].as_py(), np.uint64).tolist()
             i, j = _candidates(_members(rows, "sketch"), rows.column("size").to_numpy(), path, left, similarity)
             if len(i):
@@ -277,8 +291,9 @@ def _requests(members: DataFrame, runs: int, similarity: float) -> DataFrame:
 def _compare(named: DataFrame, members: DataFrame, asked: DataFrame, similarity: float) -> DataFrame:
     """Rows (id, links, root): what each block found, from the whole sets that it asked for."""
     places = F.collect_list(F.struct("path", "tokens", "left_block", "right_block", "block")).alias("places")
-    wanted = asked.groupBy("id").agg(places).join(members.select("id", "copies", "print"), "id")
-    texts = named.join(wanted, "id")
+    wanted = asked.groupBy("id").agg(places).join(members.select("id", "first_id", "copies", "print"), "id")
+    texts = named.withColumnRenamed("id", "_id").join(wanted, F.col("_id") == F.col("first_id"))
+    texts = texts.select("id", "copies", "print", "places", "text")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,7 +305,7 @@ def _compare(named: DataFrame, members: DataFrame, asked: DataFrame, similarity:
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays([*arrays, column], names=[*names, "set"]).filter(pa.array(same))
 
-    kind = named.schema["id"].dataType.simpleString()
+    kind = "long"
     place = wanted.schema["places"].dataType.simpleString()
     whole = texts.mapInArrow(fetch, f"id {kind}, copies long, places {place}, set binary")
     group = ["path", "left_block", "right_block"]
@@ -299,6 +314,8 @@ def _compare(named: DataFrame, members: DataFrame, asked: DataFrame, similarity:
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches, group):
             rows, left = _ordered(rows)
+            if not rows.num_rows:
+                continue
             ids, copies = rows.column("id").to_numpy(), rows.column("copies").to_numpy()
             sets = _members(rows, "set")
             sizes = np.array([len(s) for s in sets])

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, StructType
 
 from reviewmill.llm.common import unused
 
@@ -203,8 +204,8 @@ def find_private(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the text, with ``spans``: array of (kind, start, end, base) in code points, end exclusive."""
     name = unused(docs.columns, "spans")
     others = [c for c in docs.columns if c != text]
-    item = "array<struct<kind:string,start:int,end:int,base:boolean>>"
-    schema = docs.select(*(f"`{c}`" for c in others)).schema.add(name, item)
+    span = StructType().add("kind", "string").add("start", "integer").add("end", "integer").add("base", "boolean")
+    schema = docs.select(*(f"`{c}`" for c in others)).schema.add(name, ArrayType(span))
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,9 +41,11 @@ SIGNALS = (
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one struct column ``q`` in place of the text: counts that the rules use."""
-    body = unused(docs.columns, "body")
-    frame = docs.withColumn(body, text_of(text))
+    """``docs`` with one struct column ``q`` in place of the text (and of a ``q`` it had): counts that the rules use."""
+    body = "body"
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    # Packed, so that no column of the caller meets a working column.
+    frame = docs.select(F.struct(*rest, F.lit(None).alias(unused(docs.columns, "nothing"))).alias("rest"), text_of(text).alias(body))
     frame = frame.withColumns({"_w": words(F.col(body)), "_lines": _lines_with_word(F.col(body))})
     frame = frame.withColumn("_n", F.size("_w"))
     frame = frame.withColumn("_bits", F.expr("int(coalesce(ceil(log2(_n + 1)), 1))"))
@@ -82,7 +84,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"),
     )
-    kept = [F.col(c) for c in docs.columns if c != text]
+    kept = [F.col(f"rest.`{c}`") for c in docs.columns if c not in (text, "q")]
     return frame.select(*kept, counts.alias("q"))
 
 

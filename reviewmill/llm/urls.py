@@ -116,10 +116,12 @@ def filter_urls(
 ) -> DataFrame:
     """``pages`` with a struct ``judged``: host, path, rule, verdict, and the path's template with its purity.
 
-    The purity of a template is (blocked + smoothing) / (labelled + 2 * smoothing).
+    The purity of a template is (blocked + smoothing) / (labelled + 2 * smoothing). A column named ``judged``
+    is replaced.
     """
     host, path = split_url(F.col(url))
-    named = pages.withColumn("_host", host).withColumn("_path", path)
+    whole = F.struct(*(F.col(f"`{c}`") for c in pages.columns if c != "judged"))
+    named = pages.select(whole.alias("row"), host.alias("_host"), path.alias("_path"))
     text, verdict = matching_rule(rules, F.col("_host"), F.col("_path"))
     named = named.withColumn("_rule", text).withColumn("_verdict", verdict)
     paths = named.groupBy(F.col("_host").alias("host"), F.col("_path").alias("path")).agg(
@@ -136,7 +138,7 @@ def filter_urls(
     met = named.join(keep(judged, "purity"), (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")))
     final = F.coalesce("_verdict", F.when(F.col("purity") >= purity, "block").otherwise("allow"))
     return met.select(
-        *(F.col(f"`{c}`") for c in pages.columns),
+        "row.*",
         F.struct(
             F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), final.alias("verdict"),
             "template", "purity",
