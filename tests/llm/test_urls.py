@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from reviewmill.llm import urls
+from reviewmill.llm.queries import URL_RULES
+
+
+def by_definition(url):
+    if url is None or "://" not in url:
+        host = path = ""
+    else:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    fitting = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fitting, key=lambda r: len(r.host + r.path), default=None)
+    return host, path, best and best.host + best.path, best and best.verdict
+
+
+URLS = [
+    None, "", "no scheme", "http://", "HTTPS://WWW.Example.NET/en/1", "http://example.net/en/2?x=1#y", "http://example.net",
+    "http://x.example.com/de/3", "http://notexample.com/de/3", "http://a.org/fr/", "http://a.org/fr", "http://É.org/fr/x",
+    "http://net/x", "a://b://c.net/d", "http://a.net?x=/en/", "http://a.com//de//x", "http://e.com/" + "s/" * 500, "http://a.net/x\ny",
+]
+
+
+def pages(spark, listed):
+    rows = [(i, url, "b", 1) for i, url in enumerate(listed)]
+    return spark.createDataFrame(rows, "page_id long, url string, _host string, judged int")
+
+
+def test_rules(spark, ansi):
+    rows = urls.filter_urls(pages(spark, URLS + URLS[:3]), URL_RULES).collect()
+    assert len(rows) == len(URLS) + 3
+    for r in rows:
+        host, path, rule, verdict = by_definition((URLS + URLS[:3])[r.page_id])
+        assert (r.judged.host, r.judged.path, r.judged.rule) == (host, path, rule)
+        assert r.judged.verdict == (verdict or r.judged.verdict) and r.judged.verdict in ("allow", "block")
+        assert r._host == "b"
+
+
+def test_templates_generalise_identifiers(spark):
+    listed = [f"http://shop.com/item/{i}" for i in range(50)] + [f"http://shop.com/a/{w}.html" for w in ("2024-01-02", "77")]
+    found = {r.judged.path: r.judged.template for r in urls.filter_urls(pages(spark, listed), URL_RULES).collect()}
+    assert {found[f"/item/{i}"] for i in range(50)} == {"/item/*"}
+    assert found["/a/77.html"] == "/a/*.html"
+
+
+def test_rare_values_become_variable(spark):
+    listed = [f"http://h.com/{'user' + chr(97 + i % 26) + chr(97 + i // 26)}/page" for i in range(100)] + ["http://h.com/about/page"] * 100
+    found = {r.judged.path: r.judged.template for r in urls.filter_urls(pages(spark, listed), URL_RULES).collect()}
+    assert found["/about/page"] == "/about/page" and found["/userab/page" if "/userab/page" in found else "/useraa/page"] == "/*/page"
+
+
+def test_impure_templates_are_rejected(spark):
+    """Blocked pages of one template speak for its others; a template of mixed labels stays."""
+    rules = [urls.Rule("block", "bad.com", "/spam/1"), urls.Rule("allow", "bad.com", "/news/1")]
+    listed = [f"http://bad.com/spam/{i}" for i in range(100, 200)] + [f"http://bad.com/news/{i}" for i in range(100, 200)]
+    listed += ["http://bad.com/spam/9", "http://bad.com/news/9", "http://bad.com/other/9"]
+    found = {r.url: r.judged.verdict for r in urls.filter_urls(pages(spark, listed), rules).collect()}
+    assert found["http://bad.com/spam/9"] == "block"
+    assert found["http://bad.com/news/9"] == found["http://bad.com/other/9"] == "allow"
+
+
+def test_similar_branches_merge(spark):
+    rules = [urls.Rule("block", "h.com", f"/{b}/1") for b in ("x", "y")] + [urls.Rule("allow", "h.com", "/z/1")]
+    listed = [f"http://h.com/{b}/{i}" for b in "xyz" for i in range(100, 160)]
+    found = {r.judged.path: r.judged.template for r in urls.filter_urls(pages(spark, listed), rules).collect()}
+    assert found["/z/100"] == "/z/*" and found["/x/100"] == found["/y/100"] == "/+/*"
+
+
+def test_empty_table(spark):
+    assert urls.filter_urls(pages(spark, ["http://a.net/"]).limit(0), URL_RULES).count() == 0
+
+
+@pytest.mark.parametrize("segment, is_id", [("123", True), ("2024-01-02.html", True), ("deadbeef00112233", True), ("en", False), ("about-us", False), ("a1b2c3d4e5f6", True)])
+def test_identifiers(spark, segment, is_id):
+    frame = spark.createDataFrame([(segment,)], "s string")
+    assert frame.select(urls._identifier(frame.s)).first()[0] is is_id
