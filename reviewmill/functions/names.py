@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,19 +15,20 @@ DOUBLE_MARK = "__"
 ACCENTED = "áéíóúâêîôãõç"
 UNACCENTED = "aeiouaeioaoc"
 
-# Applied in order once the words are split and lower-cased.
-_SIGN_PATTERNS = (BLANKS, OTHER_SIGNS, DOUBLE_MARK)
-
 
 def snake_name(name: str) -> str:
     """A column name in snake case without the listed accents."""
     lowered = re.sub(WORD_START, r"\1_\2", name).lower()
-    marked = reduce(lambda text, pattern: re.sub(pattern, "_", text), _SIGN_PATTERNS, lowered)
-    return marked.translate(str.maketrans(ACCENTED, UNACCENTED)).strip("_")
+    joined = re.sub(BLANKS, "_", lowered)
+    plain = re.sub(OTHER_SIGNS, "_", joined)
+    single = re.sub(DOUBLE_MARK, "_", plain)
+    return single.translate(str.maketrans(ACCENTED, UNACCENTED)).strip("_")
 
 
 def snake_label(value: Column) -> Column:
     """The same rule for values, evaluated in the JVM."""
     lowered = F.lower(F.regexp_replace(value, WORD_START, "$1_$2"))
-    marked = reduce(lambda text, pattern: F.regexp_replace(text, pattern, "_"), _SIGN_PATTERNS, lowered)
-    return F.trim(F.translate(marked, ACCENTED, UNACCENTED), F.lit("_"))
+    joined = F.regexp_replace(lowered, BLANKS, "_")
+    plain = F.regexp_replace(joined, OTHER_SIGNS, "_")
+    single = F.regexp_replace(plain, DOUBLE_MARK, "_")
+    return F.trim(F.translate(single, ACCENTED, UNACCENTED), F.lit("_"))

@@ -113,17 +113,14 @@ def test_run_date():
 
 def test_date_columns(spark, ansi):
     frame = spark.createDataFrame(
-        [("Alice", "2020-01-01", 1577836800), ("Bob", "2020-02-01", 1580515200)],
-        ["Name", "Registration Date", "Registration Unix"],
+        [(1, "2019-12-31", 1577750400), (2, "2024-02-29", 1709164800)], ["n", "Joined On", "Seen At"]
     )
-    found = dates.unix_to_date(frame, "Registration Unix")
-    found = dates.extract_year(dates.extract_year_month(found, "Registration Date"), "Registration Date")
-    assert [tuple(r)[3:] for r in found.orderBy("Name").collect()] == [
-        (dt.date(2020, 1, 1), "2020-01", "2020"), (dt.date(2020, 2, 1), "2020-02", "2020"),
-    ]
-    assert found.columns[3:] == [
-        "Registration Unix_date", "Registration Date_year_month", "Registration Date_year",
+    found = dates.unix_to_date(frame, "Seen At")
+    found = dates.extract_year(dates.extract_year_month(found, "Joined On"), "Joined On")
+    assert [tuple(r)[3:] for r in found.orderBy("n").collect()] == [
+        (dt.date(2019, 12, 31), "2019-12", "2019"), (dt.date(2024, 2, 29), "2024-02", "2024"),
     ]
+    assert found.columns[3:] == ["Seen At_date", "Joined On_year_month", "Joined On_year"]
 
 
 @pytest.mark.parametrize("extract", [dates.extract_year_month, dates.extract_year])
