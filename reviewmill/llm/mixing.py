@@ -103,7 +103,7 @@ def _phases(rated: DataFrame) -> DataFrame:
     start = F.col("before") + F.col("phase")
     taken = F.col("size") * (F.floor(start + F.col("n") * F.col("rate")) - F.floor(start))
     sums = rows.groupBy("source", "phase").agg(F.sum(taken).alias("taken"), F.max("target").alias("target"))
-    off = F.struct(F.abs(F.col("taken") - F.col("target")), F.abs(F.col("phase") - 0.5))
+    off = F.struct(F.abs(F.col("taken") - F.col("target")), F.abs(F.col("phase") - 0.5), "phase")
     return sums.groupBy("source").agg(F.min_by("phase", off).alias("phase"))
 
 
@@ -126,6 +126,8 @@ def mix(
     )
     sources = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     state = solve(counts, water_level(sources, weights, total, most), most)
+    # Sums of floats depend on the order of tasks in their last digits; the rates must not.
+    state = state.withColumn("lam", F.round("lam", 9))
     rated = counts.join(
         state.select(F.col("source").alias("_s"), "source_size", "target", "lam", "mean"), F.col("source").eqNullSafe(F.col("_s"))
     ).drop("_s")
