@@ -74,10 +74,11 @@ def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{kind}")
-        for kind in private.KINDS
-    ]
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in private.KINDS]
     added = (F.size("spans") - F.size(base)).cast("long").alias("n_added")
     return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"), added)
 
