@@ -2,8 +2,9 @@
 
 The longest rule that fits decides, and its verdicts label the tree. Level by level, the segments that follow
 one template of a host are counted. A segment that looks like an identifier, or that is one rare
-value among many, becomes ``*``; the other branches of the node stay apart only if their labelled share of blocks
-differs from their siblings' by more than chance, else they merge into one branch ``+``. A finished
+value among many, becomes ``*``. Of the other branches of the node, those with more blocks than the node's average
+merge into one branch ``+`` and those with fewer into ``-``, but for branches whose labelled share differs from the
+rest of their side by more than chance, or that have no label. A finished
 template is blocked if its labelled purity, smoothed towards one half, reaches a threshold. All of this is grouping and
 joining of narrow rows; a host with any number of pages sends one row per task and branch.
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.session import keep
@@ -89,17 +90,22 @@ def templates(paths: DataFrame) -> DataFrame:
         rare = (F.col("fan") > FAN) & (F.col("n") < COMMON * F.col("all"))
         seen = keep(seen.withColumn("variable", (F.col("segment") != "") & (_identifier(F.col("segment")) | rare)), "branches")
         words = seen.filter("not variable")
-        siblings = words.groupBy("host", "template").agg(
-            F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"), F.count("*").alias("words")
+        # A node has few words: at most FAN, or 1 / COMMON where it has more values. Those above its share
+        # of blocks are compared with each other, and so are those below.
+        share, node = F.try_divide("blocked", "labelled"), Window.partitionBy("host", "template")
+        words = words.withColumn("side", F.when(share >= F.try_divide(F.sum("blocked").over(node), F.sum("labelled").over(node)), "+").otherwise("-"))
+        side = Window.partitionBy("host", "template", "side")
+        words = words.withColumns(
+            {"all_labelled": F.sum("labelled").over(side), "all_blocked": F.sum("blocked").over(side)}
         )
         rest, rest_blocked = F.col("all_labelled") - F.col("labelled"), F.col("all_blocked") - F.col("blocked")
-        pooled = F.col("all_blocked") / F.col("all_labelled")
-        error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / rest))
-        gap = F.abs(F.col("blocked") / F.col("labelled") - rest_blocked / rest)
+        pooled = F.try_divide("all_blocked", "all_labelled")
+        error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), "labelled") + F.try_divide(F.lit(1), rest)))
+        gap = F.abs(share - F.try_divide(rest_blocked, rest))
         # Without labels on both sides nothing says that two branches are alike.
         alike = F.when((F.col("labelled") > 0) & (rest > 0), gap <= APART * error).otherwise(F.lit(False))
-        named = words.join(siblings, ["host", "template"]).select(
-            "host", "template", "segment", F.when(alike & (F.col("words") > 1) & (F.col("segment") != ""), "+").otherwise(F.col("segment")).alias("branch")
+        named = words.select(
+            "host", "template", "segment", F.when(alike & (F.col("segment") != ""), F.col("side")).otherwise(F.col("segment")).alias("branch")
         )
         ending = F.regexp_extract("segment", r"\.[a-z]{1,5}$", 0)
         variable = seen.filter("variable").select("host", "template", "segment", F.concat(F.lit("*"), ending).alias("branch"))
