@@ -200,7 +200,8 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     hashed = docs.withColumn(digest, F.unhex(F.sha2(normal(text_of(text)), 256)))
     dropped = dropped.select(F.col("id").alias(gone), F.col("digest").alias(gone_digest), F.col("twin").alias(twin))
     same = F.col(key).eqNullSafe(F.col(gone)) & (F.col(digest) == F.col(gone_digest))
-    stay = hashed.join(dropped.filter(~F.col(twin)), same, "left_anti")
-    single = stay.join(dropped.filter(F.col(twin)), same, "left_anti")
-    twins = stay.join(dropped.filter(F.col(twin)), same, "left_semi").dropDuplicates([digest])
+    single = hashed.join(dropped, same, "left_anti")
+    if dropped.filter(twin).isEmpty():  # no rows share id and text, so the texts move once
+        return single.drop(digest)
+    twins = hashed.join(dropped.filter(twin), same, "left_semi").dropDuplicates([digest])
     return single.unionByName(twins).drop(digest)
