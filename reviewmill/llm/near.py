@@ -375,5 +375,5 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) ->
     """The rows of ``docs`` whose id is the smallest of its class; rows without an id stay."""
     marked = chosen_path_join(docs, key=key, text=text, **how)
     gone = unused(docs.columns, "gone")
-    dropped = marked.filter(F.col("class_id") < F.col(key)).select(F.col(key).alias(gone)).distinct()
+    dropped = keep(marked.filter(F.col("class_id") < F.col(key)).select(F.col(key).alias(gone)).distinct(), "dropped")
     return docs.join(dropped, F.col(key) == F.col(gone), "left_anti")
