@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm.common import SPACE_CHARS, text_of, unused, words
+from reviewmill.session import keep
 
 #: Sketch size: quantiles are off by about 0.4 % of the ranks at most.
 SKETCH_K = 800
@@ -153,8 +154,10 @@ def judge(measured: DataFrame, least: int = 50, reach: float = 3.0, seen: DataFr
 
     ``seen`` is the measured table that the fences are learnt from, where that is not ``measured``.
     """
-    limits = fences(measured if seen is None else seen, least, reach).withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    # A few dozen bytes per language and source; Spark broadcasts it only if it measures small.
+    # A few dozen bytes per language and source, staged: Spark knows its size before it plans the join, and
+    # broadcasts it only if it is small. Else the wide rows would be on their way before it is known.
+    limits = keep(fences(measured if seen is None else seen, least, reach), "fences")
+    limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     outside = F.lit(False)
     for s in SIGNALS:
