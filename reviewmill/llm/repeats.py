@@ -33,7 +33,7 @@ LENGTH = 200
 GRAM = 32
 SYMBOL = 40
 #: Bytes that one transform indexes.
-INDEXED = 1_000_000
+INDEXED = 500_000
 #: Different segments of one anchor that are still indexed together.
 MANY = 2048
 #: Bytes that a task hashes at a time; their places fill the low bits of a hash.
@@ -340,6 +340,8 @@ def repeated_spans(docs: DataFrame, kind: str) -> DataFrame:
     shared = rows.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high")
     ).filter("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("alike"))
+    # Staged, so that the join stands alone and a hot anchor's rows can be split.
+    shared = keep(shared, "anchors")
     met = keep(rows.join(shared, "anchor"), "shared")
     mixed = met.filter("not alike")
     classes = mixed.groupBy("anchor", "content").agg(
