@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +54,7 @@ def _blocks(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame
 
         block = TaskContext.get().partitionId() << 32
         numbers, counts, tokens = _Numbers(), np.zeros(1 << 16, np.int64), 0
+        pack = zstandard.ZstdCompressor(level=1).compress
 
         def rows(length, **columns):
             names = ["block", "id", "held_out", "numbers", "number", "word", "n"]
@@ -84,7 +86,7 @@ def _blocks(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame
                         counts = np.concatenate([counts, np.zeros(len(numbers), np.int64)])
                     if len(own) and not batch.column(1)[at].as_py():
                         counts[: own.max() + 1] += np.bincount(own)
-                    found.append(own.tobytes())
+                    found.append(pack(own.tobytes()))
                     at += 1
                 if found:
                     yield rows(len(found), id=batch.column(0).slice(begin, at - begin), held_out=batch.column(1).slice(begin, at - begin), numbers=found)
@@ -211,6 +213,7 @@ def score_texts(
 
     def total_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, counts, marginals, base = None, np.zeros(0), np.zeros(0), np.zeros(0)
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             blocks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             change = np.flatnonzero((blocks[1:] != blocks[:-1]) | (kinds[1:] != kinds[:-1])) + 1
@@ -231,7 +234,7 @@ def score_texts(
                     block, counts, marginals, base = blocks[a], np.zeros(0, np.int64), np.zeros(0), None
                 if base is None:
                     base = np.log10((counts + 0.5) / (train_tokens + 0.5 * (distinct + 1)))
-                own = [np.frombuffer(x, np.int32) for x in part.column(7).to_pylist()]
+                own = [np.frombuffer(unpack(x), np.int32) for x in part.column(7).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(5), part.column(6),
