@@ -4,8 +4,8 @@ A page becomes a tree of nodes. What its tag, role or class names as menu, heade
 form, script, style or reader comments is cut off. Every other node gets a density: characters per tag, where links
 count against it by the shares of linked and unlinked characters and tags. Of the containers, the one
 whose children's densities have the largest sum holds the article. The smallest density on the path from it
-to the body is the threshold: what hangs from that path and reaches it belongs to the article as well; inside
-an article or main element the whole element does.
+to the body, or to a main element around it, is the threshold: what hangs from that path and reaches it belongs to
+the article as well. Of equal sums an article or main element wins. Blocks of links below the threshold are left out.
 
 Defined results: a null or empty page has an empty text; tags that are never closed end with their parent; a
 broken tag is text; repeated rows give the same text; other columns pass through.
@@ -171,27 +171,34 @@ def main_nodes(root: Node) -> list[Node]:
     """The nodes whose text is the article, in page order."""
     live = _measure(root)
     sums = [
-        (sum(item.density for item in node.items if isinstance(item, Node) and not item.cut) + _direct(node), -i, node)
+        (sum(item.density for item in node.items if isinstance(item, Node) and not item.cut) + _direct(node), node.tag in ("article", "main"), -i, node)
         for i, node in enumerate(live)
         if node.tag in _CONTAINER and node.chars
     ]
     if not sums:
         return [root]
-    best = max(sums, key=lambda s: s[:2])[2]
+    best = max(sums, key=lambda s: s[:3])[3]
     path = [best, *_up(best)]
-    for node in reversed(path):
-        if node.tag in ("article", "main"):
-            return [node]
-    named = [node for node in live if node.tag in ("article", "main") and node.chars]
-    if named:
-        return [max(named, key=lambda n: n.chars)]
-    least = min((node.density for node in path if node.tag != "html"), default=0.0)
+    bound = next((i for i, node in reversed(list(enumerate(path))) if node.tag == "main"), len(path) - 1)
+    path = path[: bound + 1]
+    least = min((node.density for node in path if node.tag != "html"), default=best.density)
     chosen = {id(best)}
     for above, below in zip(path[1:], path):
         chosen.update(
             id(item) for item in above.items if isinstance(item, Node) and item is not below and not item.cut and item.density >= least
         )
-    return [node for node in live if id(node) in chosen] if len(chosen) > 1 else [best]
+    found = [node for node in live if id(node) in chosen]
+    for node in found:
+        _cut_links(node, least)
+    return found
+
+
+def _cut_links(top: Node, least: float) -> None:
+    """Cuts lists of links in the article: blocks below the threshold whose text is links for the most part."""
+    for node in _walk(top)[1:]:
+        above = node.parent
+        links = node.tag in _CONTAINER and node.link_tags > 1 and 2 * node.link_chars > node.chars and node.density < least
+        node.cut = node.cut or above.cut or links
 
 
 def _direct(node: Node) -> float:

@@ -46,6 +46,31 @@ def test_density_finds_the_article_without_a_name():
     assert content.main_text(plain) == "\n".join(paragraphs)
 
 
+STORY = [f"This is paragraph {i} of the story, with many words and hardly a link in it." for i in range(8)]
+LINKS = "<ul>" + "".join(f'<li><a href="/{i}">Another story, number {i}</a></li>' for i in range(12)) + "</ul>"
+TEASERS = "".join(f'<article><h3><a href="/{i}">Teaser number {i}</a></h3><p>Read on.</p></article>' for i in range(6))
+
+
+def paragraphs(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<div><div>{paragraphs(STORY)}</div></div><div>{TEASERS}</div>",
+        f"<div>{TEASERS}</div><section>{paragraphs(STORY)}</section>{TEASERS}",
+        f"<article>{paragraphs(STORY[:4])}</article><article>{paragraphs(STORY[4:])}</article>",
+        f"<div><article>{paragraphs(STORY[:5])}</article><article>{paragraphs(STORY[5:])}</article></div><div>{TEASERS}</div>",
+        f"<main><div>{paragraphs(STORY)}</div>{LINKS}</main>",
+        f"<main>{paragraphs(STORY)}{LINKS}</main>",
+        f"<main>{LINKS}<div>{LINKS}</div><article>{paragraphs(STORY)}</article></main>",
+    ],
+)
+def test_density_decides_beside_articles_and_mains(body):
+    assert content.main_text(page(body)) == "\n".join(STORY)
+
+
 @pytest.mark.parametrize("text", [None, "", " ", "<", "<p", "</p>", "<a href='x", "<p><p><p>", "<b></i></b>", "<script>", "<!-- x", "plain", "<p>x" * 3000])
 def test_broken_pages(text):
     assert isinstance(content.main_text(text), str)
