@@ -1,7 +1,9 @@
 """Main text of a page by composite text density.
 
-A page becomes a tree of nodes. What its tag, role or class names as menu, header, footer, sidebar, notice, advert,
-form, script, style or reader comments is cut off. Every other node gets a density: characters per tag, where links
+A page becomes a tree of nodes. What its tag names as menu, header, footer, aside, form, script or style is cut off,
+unless it holds an article. A role, class or id that names such a thing, or reader comments, or an advert, is evidence:
+the node's density counts by a tenth, or by a little less for words that articles use as well, and it is cut only
+where that falls short beside the densest node. Every node gets a density: characters per tag, where links
 count against it by the shares of linked and unlinked characters and tags. Of the containers, the one
 whose children's densities have the largest sum holds the article. The smallest density on the path from it
 to the body, or to a main element around it, is the threshold: what hangs from that path and reaches it belongs to
@@ -41,6 +43,12 @@ _CONTAINER = frozenset("article body center dd div dl fieldset figure html li ma
 #: A start tag ends these open elements, looked for up to the nearest container.
 _ENDS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 _CUT_TAGS = frozenset("nav header footer aside form button select input label dialog menu head".split()) | _RAW
+#: Words of a menu or box that an article's own parts may have as well.
+_WEAK_WORDS = frozenset("notice alert form related recommended promotion response responses reply replies".split())
+#: Parts of a name that say where a thing stands, not what it is.
+_PLACES = frozenset("site page main top bottom left right list box bar area block section container wrapper slot links item items".split())
+#: How much of a density counts after strong and weak evidence, and the share of the threshold it must reach in the article.
+STRONG, WEAK, ENOUGH = 0.1, 0.7, 0.35
 _CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _CUT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
@@ -51,22 +59,36 @@ _CUT_WORDS = frozenset(
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "hint", "holds", "chars", "tags", "link_chars", "link_tags", "density", "cut")
+    __slots__ = ("tag", "parent", "items", "hint", "holds", "chars", "tags", "link_chars", "link_tags", "density", "trust", "cut")
 
-    def __init__(self, tag: str, parent: Node | None, hint: bool = False):
+    def __init__(self, tag: str, parent: Node | None, hint: float = 1.0):
         self.tag, self.parent, self.hint = tag, parent, hint
         self.items: list = []  # texts and nodes in page order
         self.holds = tag in ("article", "main")
         self.chars = self.tags = self.link_chars = self.link_tags = 0
-        self.density, self.cut = 0.0, False
+        self.density, self.trust, self.cut = 0.0, 1.0, False
 
 
-def _hinted(attributes: str) -> bool:
+def _hinted(tag: str, attributes: str) -> float:
+    """How much of the node's density counts after what its role, classes and id say."""
+    hint = 1.0
+    if tag in ("html", "body", "article", "main"):
+        return hint
     for name, *values in _ATTRIBUTE.findall(attributes):
-        words = _PARTS.split("".join(values).lower())
-        if not (_CUT_ROLES if name.lower() == "role" else _CUT_WORDS).isdisjoint(words):
-            return True
-    return False
+        for word in "".join(values).lower().split():
+            if name.lower() == "role":
+                hint = min(hint, STRONG if word in _CUT_ROLES else 1.0)
+                continue
+            # A compound counts only as a whole: with-sidebar, no-comments and long-form name something else.
+            parts = {part for part in _PARTS.split(word) if part and not part.isdigit()}
+            named = parts & _CUT_WORDS
+            if not named or parts - named - _PLACES:
+                continue
+            if not named <= _WEAK_WORDS:
+                hint = min(hint, STRONG)
+            elif tag in _CONTAINER:
+                hint = min(hint, WEAK)
+    return hint
 
 
 def parse(page: str) -> Node:
@@ -111,7 +133,7 @@ def parse(page: str) -> Node:
                 found = found.parent
             if found is not None and found.tag in ends and found.parent is not None:
                 node = found.parent
-        child = Node(tag, node, bool(match["attributes"]) and _hinted(match["attributes"]))
+        child = Node(tag, node, _hinted(tag, match["attributes"]) if match["attributes"] else 1.0)
         node.items.append(child)
         if tag not in _VOID and not match["attributes"].endswith("/"):
             node = child
@@ -132,12 +154,13 @@ def _measure(root: Node) -> list[Node]:
         if node.parent is not None:
             node.parent.holds |= node.holds
     for node in nodes:
-        named = node.tag in _CUT_TAGS or node.hint
         above = node.parent
-        inside = above is not None and above.cut
-        # A wrapper that holds the article is kept whatever it is called; so is a heading's header inside it.
-        heading = node.tag == "header" and any(n.tag in ("article", "main") for n in _up(node))
-        node.cut = inside or (named and not node.holds and not heading)
+        # A heading's header inside the article is kept; another wrapper that holds the article only counts for less.
+        named = node.tag in _CUT_TAGS and not (node.tag == "header" and any(n.tag in ("article", "main") for n in _up(node)))
+        if named and node.holds:
+            node.hint = min(node.hint, STRONG)
+        node.trust = node.hint * (above.trust if above is not None else 1.0)
+        node.cut = (above is not None and above.cut) or (named and not node.holds)
     live = [node for node in nodes if not node.cut]
     for node in reversed(live):
         own = sum(len(_SPACES.sub(" ", item).strip()) for item in node.items if isinstance(item, str))
@@ -171,7 +194,7 @@ def main_nodes(root: Node) -> list[Node]:
     """The nodes whose text is the article, in page order."""
     live = _measure(root)
     sums = [
-        (sum(item.density for item in node.items if isinstance(item, Node) and not item.cut) + _direct(node), node.tag in ("article", "main"), -i, node)
+        (_sum(node), node.tag in ("article", "main"), -i, node)
         for i, node in enumerate(live)
         if node.tag in _CONTAINER and node.chars
     ]
@@ -185,20 +208,26 @@ def main_nodes(root: Node) -> list[Node]:
     chosen = {id(best)}
     for above, below in zip(path[1:], path):
         chosen.update(
-            id(item) for item in above.items if isinstance(item, Node) and item is not below and not item.cut and item.density >= least
+            id(item) for item in above.items if isinstance(item, Node) and item is not below and not item.cut and item.density * item.hint >= least
         )
     found = [node for node in live if id(node) in chosen]
     for node in found:
-        _cut_links(node, least)
+        _cut_inside(node, least)
     return found
 
 
-def _cut_links(top: Node, least: float) -> None:
-    """Cuts lists of links in the article: blocks below the threshold whose text is links for the most part."""
+def _sum(node: Node) -> float:
+    """The densities of the children and of the node's own text, by what their names leave of them."""
+    return sum(item.density * item.trust for item in node.items if isinstance(item, Node) and not item.cut) + _direct(node) * node.trust
+
+
+def _cut_inside(top: Node, least: float) -> None:
+    """Cuts what the article holds of lists of links, below the threshold, and of blocks whose names speak against them."""
     for node in _walk(top)[1:]:
         above = node.parent
         links = node.tag in _CONTAINER and node.link_tags > 1 and 2 * node.link_chars > node.chars and node.density < least
-        node.cut = node.cut or above.cut or links
+        named = node.hint < 1 and node.density * node.hint < ENOUGH * least
+        node.cut = node.cut or above.cut or links or named
 
 
 def _direct(node: Node) -> float:

@@ -71,6 +71,25 @@ def test_density_decides_beside_articles_and_mains(body):
     assert content.main_text(page(body)) == "\n".join(STORY)
 
 
+@pytest.mark.parametrize(
+    "plain",
+    [
+        f"<body class='has-sidebar'><div>{paragraphs(STORY)}</div></body>",
+        f"<body class='sidebar'><div>{paragraphs(STORY)}</div></body>",
+        f"<body>{LINKS}<div class='content-with-sidebar'>{paragraphs(STORY)}</div></body>",
+        f"<body>{LINKS}<div id='post' class='no-comments'>{paragraphs(STORY)}</div></body>",
+        f"<body>{LINKS}<div class='form'><div class='comments'>{paragraphs(STORY)}</div></div></body>",
+        f"<body><article>{paragraphs(STORY[:6])}<section class='related-work'>{paragraphs(STORY[6:])}</section></article></body>",
+        f"<body><article>{paragraphs(STORY[:7])}<p class='notice'>{STORY[7]}</p></article></body>",
+        f"<body><article>{paragraphs(STORY[:6])}<div class='long-form'>{paragraphs(STORY[6:])}</div></article></body>",
+        f"<body><article>{paragraphs(STORY[:6])}<div class='notice'>{paragraphs(STORY[6:])}</div></article></body>",
+        f"<body><div>{paragraphs(STORY)}</div><div class='sidebar-left'><p>Elsewhere on this site, more or less.</p></div></body>",
+    ],
+)
+def test_names_are_evidence(plain):
+    assert content.main_text(f"<html>{plain}</html>") == "\n".join(STORY)
+
+
 @pytest.mark.parametrize("text", [None, "", " ", "<", "<p", "</p>", "<a href='x", "<p><p><p>", "<b></i></b>", "<script>", "<!-- x", "plain", "<p>x" * 3000])
 def test_broken_pages(text):
     assert isinstance(content.main_text(text), str)
