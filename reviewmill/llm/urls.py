@@ -4,8 +4,11 @@ The longest rule that fits decides, and its verdicts label the tree. Level by le
 one template of a host are counted. A segment that looks like an identifier, or that is one rare
 value among many, becomes ``*``. Of the other branches of the node, those with more blocks than the node's average
 merge into one branch ``+`` and those with fewer into ``-``, but for branches whose labelled share differs from the
-rest of their side by more than chance, or that have no label. A finished
-template is blocked if its labelled purity, smoothed towards one half, reaches a threshold. All of this is grouping and
+rest of their side by more than chance. A branch without labels joins the side whose child segments are spread like
+its own, if one side is nearer than the other. A finished template is blocked if its purity reaches a threshold: the
+labelled share of blocks, shrunk towards that of the host's other templates by the template's pages without label, which
+is shrunk towards one half by those of the host. So a template without labels has its host's purity, and a few labels
+do not speak for many pages without. All of this is grouping and
 joining of narrow rows; a host with any number of pages sends one row per task and branch.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed unless
@@ -36,6 +39,10 @@ LEVELS = 5
 FAN = 20
 #: A value that at least this share of a node's pages has is a word, not a variable.
 COMMON = 0.02
+#: Child segments are told apart by so many buckets: identifiers, the path's end, and the others by hash.
+SHAPE = 16
+#: What a page without label weighs beside a labelled one.
+UNKNOWN = 0.25
 #: Standard errors from which two shares differ.
 APART = 1.96
 
@@ -67,6 +74,25 @@ def _identifier(segment: Column) -> Column:
     return segment.rlike(r"^[0-9][0-9._,-]*(\.[a-z]{1,5})?$|^[0-9a-fA-F-]{12,}(\.[a-z]{1,5})?$|^(?=.*[0-9].*[0-9].*[0-9])(?=.*[A-Za-z]).{10,}$")
 
 
+def _side_shape(sign: str, node: Window) -> Column:
+    """The child segments of the node's labelled branches of one side; null where there are none."""
+    mine = (F.col("labelled") > 0) & (F.col("side") == sign)
+    # A node has few words, so their counts fit into one list.
+    shapes = F.collect_list(F.when(mine, F.col("shape"))).over(node)
+    return F.when(F.size(shapes) > 0, F.aggregate(shapes, F.array_repeat(F.lit(0).cast("long"), SHAPE), lambda a, b: F.zip_with(a, b, lambda x, y: x + y)))
+
+
+def _distance(mine: str, other: str) -> Column:
+    """Half the summed differences of two spreads, and what chance leaves of it; null where the other is empty."""
+    return F.expr(
+        f"if({other} is null, null, aggregate(zip_with({mine}, {other}, (x, y) -> struct(x, y)), "
+        "named_struct('x', 0L, 'y', 0L), (a, c) -> named_struct('x', a.x + c.x, 'y', a.y + c.y), "
+        f"t -> aggregate(zip_with({mine}, {other}, (x, y) -> struct(x, y)), named_struct('far', 0D, 'error', 0D), "
+        "(a, c) -> named_struct('far', a.far + abs(c.x / t.x - c.y / t.y) / 2, 'error', a.error + "
+        f"{APART} * sqrt((c.x + c.y) / (t.x + t.y) * (1 - (c.x + c.y) / (t.x + t.y)) * (1 / t.x + 1 / t.y)) / 2))))"
+    )
+
+
 def templates(paths: DataFrame) -> DataFrame:
     """``paths`` (host, path, n, labelled, blocked) with ``template``.
 
@@ -78,10 +104,16 @@ def templates(paths: DataFrame) -> DataFrame:
         segment = F.get("parts", F.lit(level))
         # What is left after the last level is one tail.
         rows = rows.withColumn("segment", segment if level < LEVELS else F.when(segment.isNotNull(), F.lit("**")))
+        following = F.get("parts", F.lit(level + 1))
+        child = (
+            F.when(following.isNull(), 1).when((following != "") & _identifier(following), 0).otherwise(2 + F.pmod(F.xxhash64(following), F.lit(SHAPE - 2)))
+        )
+        rows = rows.withColumn("child", child)
         going = rows.filter("segment is not null")
-        ended = rows.filter("segment is null").drop("segment")
+        ended = rows.filter("segment is null").drop("segment", "child")
         branches = going.groupBy("host", "template", "segment").agg(
-            F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
+            F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"),
+            F.array(*(F.coalesce(F.sum(F.when(F.col("child") == i, F.col("n"))), F.lit(0)) for i in range(SHAPE))).alias("shape"),
         )
         nodes = branches.groupBy("host", "template").agg(
             F.count("*").alias("fan"), F.sum("n").alias("all"),
@@ -102,17 +134,31 @@ def templates(paths: DataFrame) -> DataFrame:
         pooled = F.try_divide("all_blocked", "all_labelled")
         error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), "labelled") + F.try_divide(F.lit(1), rest)))
         gap = F.abs(share - F.try_divide(rest_blocked, rest))
-        # Without labels on both sides nothing says that two branches are alike.
         alike = F.when((F.col("labelled") > 0) & (rest > 0), gap <= APART * error).otherwise(F.lit(False))
+        words = words.withColumn("alike", alike).withColumns(
+            {f"{name}_shape": _side_shape(sign, node) for name, sign in (("more", "+"), ("fewer", "-"))}
+        )
+        # A branch without labels goes where its children are alike; between two such sides nothing tells.
+        near = {sign: _distance("shape", f"{name}_shape") for name, sign in (("more", "+"), ("fewer", "-"))}
+        words = words.withColumns({"to_more": near["+"], "to_fewer": near["-"]})
+        fits = {sign: F.coalesce(F.col(f"{name}.far") <= F.col(f"{name}.error"), F.lit(False)) for sign, name in (("+", "to_more"), ("-", "to_fewer"))}
+        nearer = F.coalesce(F.col("to_more.far") < F.col("to_fewer.far"), F.lit(True))
+        level_off = F.coalesce(F.col("to_more.far") == F.col("to_fewer.far"), F.lit(False))
+        joins = F.when((F.col("labelled") == 0) & (F.col("segment") != "") & ~level_off, F.when(fits["+"] & nearer, "+").when(fits["-"] & (~nearer | F.col("to_more").isNull()), "-"))
+        words = words.withColumn("joins", joins).withColumn("joined", F.collect_set("joins").over(node))
+        # A labelled branch that is alone on its side shares the side's name with those that joined it.
+        met = (F.col("labelled") > 0) & (rest == 0) & F.array_contains("joined", F.col("side"))
         named = words.select(
-            "host", "template", "segment", F.when(alike & (F.col("segment") != ""), F.col("side")).otherwise(F.col("segment")).alias("branch")
+            "host", "template", "segment",
+            F.when(F.col("joins").isNotNull(), F.col("joins"))
+            .when((F.col("alike") | met) & (F.col("segment") != ""), F.col("side")).otherwise(F.col("segment")).alias("branch"),
         )
         ending = F.regexp_extract("segment", r"\.[a-z]{1,5}$", 0)
         variable = seen.filter("variable").select("host", "template", "segment", F.concat(F.lit("*"), ending).alias("branch"))
         choice = named.unionByName(variable)
         rows = going.join(choice, ["host", "template", "segment"]).withColumn(
             "template", F.concat("template", F.lit("/"), "branch")
-        ).drop("segment", "branch").unionByName(ended)
+        ).drop("segment", "branch", "child").unionByName(ended)
         rows = keep(rows, "templates")
     return rows.drop("parts")
 
@@ -122,8 +168,10 @@ def filter_urls(
 ) -> DataFrame:
     """``pages`` with a struct ``judged``: host, path, rule, verdict, and the path's template with its purity.
 
-    The purity of a template is (blocked + smoothing) / (labelled + 2 * smoothing). A column named ``judged``
-    is replaced.
+    The purity of a template is (blocked + weight * prior) / (labelled + weight), where the weight is 2 * smoothing and
+    ``UNKNOWN`` for each page without label, and the prior is the same share over the host's other templates, with one half
+    as its prior and all the host's pages without label. Where fewer paths than pages are labelled, the paths count.
+    A column named ``judged`` is replaced.
     """
     host, path = split_url(F.col(url))
     whole = F.struct(*(F.col(f"`{c}`") for c in pages.columns if c != "judged"))
@@ -136,10 +184,22 @@ def filter_urls(
         F.count(F.when(F.col("_verdict") == "block", 1)).alias("blocked"),
     )
     shaped = templates(keep(paths, "paths"))
-    sums = shaped.groupBy("host", "template").agg(F.sum("labelled").alias("_l"), F.sum("blocked").alias("_b"))
-    share = (F.col("_b") + smoothing) / (F.col("_l") + 2 * smoothing)
-    judged = shaped.select("host", "path", "template").join(sums, ["host", "template"]).select(
-        F.col("host").alias("_h"), F.col("path").alias("_p"), "template", share.alias("purity")
+    labelled_path = F.when(F.col("labelled") > 0, 1).otherwise(0)
+    sums = shaped.groupBy("host", "template").agg(
+        F.sum("labelled").alias("_l"), F.sum("blocked").alias("_b"), F.sum(F.col("n") - F.col("labelled")).alias("_u"),
+        F.sum(labelled_path).alias("_lp"), F.sum(1 - labelled_path).alias("_up"),
+    )
+    # Pages without label; or, where that is more, as many beside the labelled pages as paths beside the labelled paths.
+    sums = keep(sums.withColumn("_u", F.greatest(F.col("_u"), F.coalesce(F.col("_l") * F.try_divide("_up", "_lp"), F.lit(0.0)))), "template sums")
+    hosts = sums.groupBy("host").agg(F.sum("_l").alias("_hl"), F.sum("_b").alias("_hb"), F.sum("_u").alias("_hu"))
+    others = F.col("_hl") - F.col("_l"), F.col("_hb") - F.col("_b")
+    prior = (others[1] + smoothing + UNKNOWN * F.col("_hu") / 2) / (others[0] + 2 * smoothing + UNKNOWN * F.col("_hu"))
+    weight = 2 * smoothing + UNKNOWN * F.col("_u")
+    shares = sums.join(hosts, "host").select(
+        "host", "template", ((F.col("_b") + weight * prior) / (F.col("_l") + weight)).alias("purity")
+    )
+    judged = shaped.select("host", "path", "template").join(shares, ["host", "template"]).select(
+        F.col("host").alias("_h"), F.col("path").alias("_p"), "template", "purity"
     )
     met = named.join(keep(judged, "purity"), (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")))
     final = F.coalesce("_verdict", F.when(F.col("purity") >= purity, "block").otherwise("allow"))

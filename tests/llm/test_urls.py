@@ -73,6 +73,23 @@ def test_similar_branches_merge(spark):
     assert found["/z/100"] == "/z/*" and found["/x/100"] == found["/y/100"] == "/+/*"
 
 
+def verdicts(spark, listed):
+    return {r.url: r.judged for r in urls.filter_urls(pages(spark, listed), URL_RULES).collect()}
+
+
+def test_branches_without_labels_learn_from_the_tree(spark):
+    """By the contract's rules: /en/ is spread like /de/, /about/ is not; hosts without labels stay at one half."""
+    spam = [f"http://spam.example.com/de/{i}" for i in range(300)] + [f"http://spam.example.com/en/{i}" for i in range(40)]
+    odd = [f"http://spam.example.com/about/{w}/{i}" for w in ("us", "press") for i in range(3)]
+    good = [f"http://a.org/fr/{i}" for i in range(100)] + [f"http://a.org/en/{i}" for i in range(30)]
+    free = [f"http://b.info/en/{i}" for i in range(30)]
+    found = verdicts(spark, spam + odd + good + free)
+    assert {found[u].template for u in spam} == {"/+/*"} and {found[u].verdict for u in spam} == {"block"}
+    assert {found[u].template for u in odd} == {"/about/us/*", "/about/press/*"}
+    assert {found[u].verdict for u in good + free} == {"allow"}
+    assert max(found[u].purity for u in good) < 0.2 and {found[u].purity for u in free} == {0.5}
+
+
 def test_empty_table(spark):
     assert urls.filter_urls(pages(spark, ["http://a.net/"]).limit(0), URL_RULES).count() == 0
 
