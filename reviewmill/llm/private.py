@@ -3,7 +3,7 @@
 Base patterns run over the source. Then transducers rewrite it: look-alike letters and digits become plain ones and
 invisible characters go, runs of spelled digits become digits, and written-out at and dot become signs. Each
 transducer keeps the places of its edits, so that a span found in the last text is carried back through
-all of them to source characters. Such a span is added where no base span of its kind overlaps it.
+all of them to source characters. Such a span is added unless a base span of its kind covers it; base spans stay.
 
 Plain " at " counts only before a host with a written-out dot, so that prose such as "look at example.com" stays.
 Defined results: a null or empty text has no spans; repeated rows are searched alike; other columns pass through.
@@ -194,7 +194,7 @@ def find_spans(text: str) -> list[tuple[str, int, int, bool]]:
         for kind, start, end in base_spans(steps[-1].text):
             for step in reversed(steps):
                 start, end = step.back(start, end)
-            if not any(k == kind and s < end and start < e for k, s, e in base):
+            if not any(k == kind and s <= start and end <= e for k, s, e in base):
                 spans.append((kind, start, end, False))
         spans.sort(key=lambda span: (KINDS.index(span[0]), span[1], span[2]))
     return spans

@@ -71,6 +71,23 @@ def test_disguises(text, kind, span):
     assert found == [(kind, span or text)]
 
 
+@pytest.mark.parametrize(
+    "text, kind, span",
+    [
+        ("to jоhn@example.com now", "email", "jоhn@example.com"),
+        ("to jo​hn@example.com now", "email", "jo​hn@example.com"),
+        ("to john [dot] smith@example.com now", "email", "john [dot] smith@example.com"),
+        ("to john@example.cоm now", "email", "john@example.cоm"),
+        ("ip 10.0.0.1２ now", "ip", "10.0.0.1２"),
+        ("call +1 202 555 014３ now", "phone", "+1 202 555 014３"),
+    ],
+)
+def test_disguises_in_one_part(text, kind, span):
+    spans = private.find_spans(text)
+    assert (kind, span) in [(k, text[s:e]) for k, s, e, base in spans if not base]
+    assert [s[:3] for s in spans if s[3]] == by_definition(text)
+
+
 @pytest.mark.parametrize(
     "text", ["look at example.com.", "we met at noon, dot by dot", "one two three", "at the dot of ten", "m² at 5 dots", "seven of nine"]
 )
