@@ -1,7 +1,8 @@
 """Personal data in disguise, found in a normalised copy and mapped back to the source.
 
 Base patterns run over the source. Then transducers rewrite it: look-alike letters and digits become plain ones and
-invisible characters go, runs of spelled digits become digits, and written-out at and dot become signs. Each
+invisible characters go, runs of spelled digits become digits, and written-out at and dot become signs. A second copy
+turns every spelled digit into a digit, also alone or next to digits, and adds what only it shows. Each
 transducer keeps the places of its edits, so that a span found in the last text is carried back through
 all of them to source characters. Such a span is added unless a base span of its kind covers it; base spans stay.
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -80,6 +81,7 @@ _DIGIT_OF = {word: str(i) for words in _DIGIT_WORDS for i, word in enumerate(wor
 _ONE = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
 _SPELLED = re.compile(rf"(?<!\w){_ONE}(?:[ ,\-]{{1,3}}{_ONE}){{2,}}(?!\w)", re.IGNORECASE)
 _DIGIT_WORD = re.compile(_ONE, re.IGNORECASE)
+_UNIT = re.compile(rf"(?<!\w)(?:{_ONE}|[0-9]+)(?!\w)", re.IGNORECASE)
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT = rf"(?: *{_OPEN} *(?:at|@|arroba|arobase) *{_CLOSE} *)"
 _DOT = rf"(?: *{_OPEN} *(?:dot|\.|punto|point|punkt) *{_CLOSE} *| +dot +)"
@@ -153,7 +155,37 @@ class Trace:
         )
 
 
-def normalise(text: str) -> list[Trace]:
+def _spelled(text: str) -> list[tuple[int, int, str]]:
+    """Edits for runs of three or more spelled digits."""
+    edits = []
+    words = text.lower().replace(",", " ").replace("-", " ").split()
+    # The first and last word of a run may hold other signs, so two plain neighbours are enough to look closer.
+    likely = b"\1\1" in bytes(map(_DIGIT_OF.__contains__, words))
+    for run in _SPELLED.finditer(text) if likely else ():
+        last = run.start()
+        for word in _DIGIT_WORD.finditer(text, *run.span()):
+            # What stands between two digits of a run goes with the digit after it.
+            edits.append((last, word.end(), _DIGIT_OF[word[0].lower()]))
+            last = word.end()
+    return edits
+
+
+def _spelled_anywhere(text: str) -> list[tuple[int, int, str]]:
+    """Edits for every spelled digit, which joins the digits on either side of it."""
+    edits, last, word_before = [], -1, False
+    for unit in _UNIT.finditer(text):
+        start, end = unit.span()
+        word = not unit[0][0].isdigit()
+        joined = last >= 0 and (word or word_before) and 1 <= start - last <= 3 and not text[last:start].strip(" ,-")
+        if word:
+            edits.append((last if joined else start, end, _DIGIT_OF[unit[0].lower()]))
+        elif joined:
+            edits.append((last, start, ""))
+        last, word_before = end, word
+    return edits
+
+
+def normalise(text: str, spelled: Callable[[str], list[tuple[int, int, str]]] = _spelled) -> list[Trace]:
     """The transducers that change the text, in order; none if it has no disguise."""
     steps = []
 
@@ -169,17 +201,7 @@ def normalise(text: str) -> list[Trace]:
         hidden = [(*m.span(), "") for m in _HIDDEN.finditer(shown)]
         steps.append(Trace(shown, hidden))
         text = steps[-1].text
-    edits = []
-    words = text.lower().replace(",", " ").replace("-", " ").split()
-    # The first and last word of a run may hold other signs, so two plain neighbours are enough to look closer.
-    likely = b"\1\1" in bytes(map(_DIGIT_OF.__contains__, words))
-    for run in _SPELLED.finditer(text) if likely else ():
-        last = run.start()
-        for word in _DIGIT_WORD.finditer(text, *run.span()):
-            # What stands between two digits of a run goes with the digit after it.
-            edits.append((last, word.end(), _DIGIT_OF[word[0].lower()]))
-            last = word.end()
-    then(edits)
+    then(spelled(text))
     if _SIGN_HINT.search(text):
         then([(*m.span(), "@" if m["at"] else ".") for m in _SIGNS.finditer(text)])
     return steps
@@ -189,14 +211,19 @@ def find_spans(text: str) -> list[tuple[str, int, int, bool]]:
     """All spans (kind, start, end, whether the base patterns found it), by kind as listed, then by start."""
     base = base_spans(text)
     spans = [(*span, True) for span in base]
-    steps = normalise(text)
-    if steps:
-        for kind, start, end in base_spans(steps[-1].text):
+    seen = None
+    # Runs of spelled digits first; then the copy where every spelled digit counts, whose spans must find more.
+    for spelled in (_spelled, _spelled_anywhere):
+        steps = normalise(text, spelled)
+        if not steps or steps[-1].text == seen:
+            continue
+        seen, found = steps[-1].text, list(spans)
+        for kind, start, end in base_spans(seen):
             for step in reversed(steps):
                 start, end = step.back(start, end)
-            if not any(k == kind and s <= start and end <= e for k, s, e in base):
+            if not any(k == kind and s <= start and end <= e for k, s, e, _ in found):
                 spans.append((kind, start, end, False))
-        spans.sort(key=lambda span: (KINDS.index(span[0]), span[1], span[2]))
+    spans.sort(key=lambda span: (KINDS.index(span[0]), span[1], span[2]))
     return spans
 
 

@@ -88,6 +88,25 @@ def test_disguises_in_one_part(text, kind, span):
     assert [s[:3] for s in spans if s[3]] == by_definition(text)
 
 
+@pytest.mark.parametrize(
+    "text, kind, span",
+    [
+        ("ip one nine two dot one six eight dot one dot two zero", "ip", "one nine two dot one six eight dot one dot two zero"),
+        ("ip one zero dot zero dot zero dot one now", "ip", "one zero dot zero dot zero dot one"),
+        ("ip 10.zero.0.one now", "ip", "10.zero.0.one"),
+        ("call +49 one 7 two 3 four 5 six 7 eight now", "phone", "+49 one 7 two 3 four 5 six 7 eight"),
+        ("card 4539 1488 zero three 43 6467 end", "card", "4539 1488 zero three 43 6467"),
+    ],
+)
+def test_short_runs_of_spelled_digits(text, kind, span):
+    assert [(k, text[s:e]) for k, s, e, base in private.find_spans(text) if not base] == [(kind, span)]
+
+
+@pytest.mark.parametrize("text", ["one or two of ten, three at most", "in 2024 one of 12 had two", "un deux, 3 trois. eins zwei."])
+def test_digit_words_in_prose(text):
+    assert private.find_spans(text) == []
+
+
 @pytest.mark.parametrize(
     "text", ["look at example.com.", "we met at noon, dot by dot", "one two three", "at the dot of ten", "m² at 5 dots", "seven of nine"]
 )
