@@ -2,7 +2,8 @@
 
 The longest rule that fits decides, and its verdicts label the tree. Level by level, the segments that follow
 one template of a host are counted. A segment that looks like an identifier, or that is one rare
-value among many, becomes ``*``. Of the other branches of the node, those with more blocks than the node's average
+value among many, becomes ``*``; rare values with labels, where the node's pages are not all labelled alike, become
+``*+`` or ``*-``. Of the other branches of the node, those with more blocks than the node's average
 merge into one branch ``+`` and those with fewer into ``-``, but for branches whose labelled share differs from the
 rest of their side by more than chance. A branch without labels joins the side whose child segments are spread like
 its own, if one side is nearer than the other. A finished template is blocked if its purity reaches a threshold: the
@@ -116,7 +117,7 @@ def templates(paths: DataFrame) -> DataFrame:
             F.array(*(F.coalesce(F.sum(F.when(F.col("child") == i, F.col("n"))), F.lit(0)) for i in range(SHAPE))).alias("shape"),
         )
         nodes = branches.groupBy("host", "template").agg(
-            F.count("*").alias("fan"), F.sum("n").alias("all"),
+            F.count("*").alias("fan"), F.sum("n").alias("all"), F.sum("labelled").alias("node_labelled"), F.sum("blocked").alias("node_blocked"),
         )
         seen = branches.join(nodes, ["host", "template"])
         rare = (F.col("fan") > FAN) & (F.col("n") < COMMON * F.col("all"))
@@ -153,8 +154,14 @@ def templates(paths: DataFrame) -> DataFrame:
             F.when(F.col("joins").isNotNull(), F.col("joins"))
             .when((F.col("alike") | met) & (F.col("segment") != ""), F.col("side")).otherwise(F.col("segment")).alias("branch"),
         )
+        # Rare values share a wildcard only with values of like labels: a node's labels must not speak for values without.
+        of_node = F.try_divide("node_blocked", "node_labelled")
+        mixed = (F.col("node_labelled") < F.col("all")) | ((F.col("node_blocked") > 0) & (F.col("node_blocked") < F.col("node_labelled")))
+        sign = F.when(
+            ~_identifier(F.col("segment")) & (F.col("labelled") > 0) & mixed, F.when(share >= of_node, "+").otherwise("-")
+        ).otherwise("")
         ending = F.regexp_extract("segment", r"\.[a-z]{1,5}$", 0)
-        variable = seen.filter("variable").select("host", "template", "segment", F.concat(F.lit("*"), ending).alias("branch"))
+        variable = seen.filter("variable").select("host", "template", "segment", F.concat(F.lit("*"), sign, ending).alias("branch"))
         choice = named.unionByName(variable)
         rows = going.join(choice, ["host", "template", "segment"]).withColumn(
             "template", F.concat("template", F.lit("/"), "branch")

@@ -90,6 +90,15 @@ def test_branches_without_labels_learn_from_the_tree(spark):
     assert max(found[u].purity for u in good) < 0.2 and {found[u].purity for u in free} == {0.5}
 
 
+def test_rare_labels_do_not_speak_for_other_rare_sections(spark):
+    """By the contract's rules: /de/ is one of 61 rare sections; those without labels stay as on a host of few."""
+    rare = [f"http://big.example.com/s{chr(97 + i % 26)}{chr(97 + i // 26)}/{k}" for i in range(60) for k in range(20)]
+    blocked = [f"http://big.example.com/de/{k}" for k in range(12)]
+    found = verdicts(spark, rare + blocked)
+    assert {found[u].template for u in rare} == {"/*/*"} and {found[u].verdict for u in rare} == {"allow"}
+    assert {found[u].template for u in blocked} == {"/*+/*"} and {found[u].verdict for u in blocked} == {"block"}
+
+
 def test_empty_table(spark):
     assert urls.filter_urls(pages(spark, ["http://a.net/"]).limit(0), URL_RULES).count() == 0
 
