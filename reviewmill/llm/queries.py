@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, content, exact, lattice, mixing, near, private, quality, repeats, urls
+from reviewmill.llm import bpe, content, exact, lattice, mixing, near, private, quality, repeats, tokens, urls
 from reviewmill.llm.common import table
 from reviewmill.session import keep
 
@@ -116,3 +116,10 @@ def op10_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query()
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokens.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+    return counted.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
