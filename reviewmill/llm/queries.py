@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, content, exact, lattice, mixing, near, private, quality, repeats, tokens, urls
+from reviewmill.llm import bpe, content, exact, lattice, mixing, near, private, quality, repeats, tokens, urls, whiten
 from reviewmill.llm.common import table
 from reviewmill.session import keep
 
@@ -123,3 +123,22 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = tokens.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
     return counted.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
+
+
+@_query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    fitted = whiten.fit_whitening(rows, "embedding", components=16)
+    explained = F.array(*map(F.lit, fitted.explained.tolist())) if len(fitted.explained) else F.array().cast("array<double>")
+    white = whiten.whiten(rows, fitted, "embedding").select(
+        "vec_id", F.col("white.deviation").cast("long").alias("deviation"), F.posexplode("white.whitened").alias("place", "whitened")
+    )
+    return white.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(fitted.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(fitted.identity_error).alias("identity_error"),
+    )
