@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, content, exact, lattice, mixing, near, private, quality, repeats, tokens, urls, whiten
+from reviewmill.llm import bpe, content, exact, lattice, mixing, near, negatives, private, quality, repeats, tokens, urls, whiten
 from reviewmill.llm.common import table
 from reviewmill.session import keep
 
@@ -142,3 +142,35 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(explained, F.col("place")).alias("explained"),
         F.lit(fitted.identity_error).alias("identity_error"),
     )
+
+
+@_query(
+    """
+    WITH usable AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+            CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+        FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+        WHERE a.vec_id % 100 = 0
+    ), positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+    )
+    SELECT p.anchor_id, p.positive_id,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+        n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+        AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+    QUALIFY rank <= 10
+    """
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    number = F.col("label").cast("long")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (number + 1) % 10).otherwise(number))
+    return negatives.hard_negatives(rows, anchors=F.col("vec_id") % 100 == 0)
