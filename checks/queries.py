@@ -17,7 +17,7 @@ from reviewmill.operators import sets, skew
 from reviewmill.plans import bronze, dashboards, enrich, gold, quality, silver
 from reviewmill.schemas import GOLD_COLUMNS, RAW_REVIEWS, REVIEWS
 from reviewmill.session import keep, scratch_path
-from reviewmill.sources import layout, positions, readers, writers
+from reviewmill.sources import layout, ledger, positions, readers, writers
 from reviewmill.streaming import jobs
 
 DAY = dt.date(2024, 1, 15)
@@ -1083,10 +1083,9 @@ SELECT asin, raw_image AS image, overall, review_text, reviewer_id, raw_name AS
   true AS has_file, year_month"""
 
 
-def loaded_reviews(spark: SparkSession, sf_dir: str, label: str, schema=None, extra=()) -> DataFrame:
-    """Reviews as JSON folders with their raw names, loaded into the bronze table."""
-    base = scratch_path(spark, label)
-    raw = data.bronze_reviews(spark, sf_dir).select(
+def raw_reviews(spark: SparkSession, sf_dir: str, *extra) -> DataFrame:
+    """Reviews with the names of the raw feed."""
+    return data.bronze_reviews(spark, sf_dir).select(
         "asin", "image", "overall", "summary", "verified", "vote",
         F.col("review_text").alias("reviewText"),
         F.col("reviewer_id").alias("reviewerID"),
@@ -1094,6 +1093,12 @@ def loaded_reviews(spark: SparkSession, sf_dir: str, label: str, schema=None, ex
         (F.unix_date("unix_review_time_date").cast("bigint") * 86400).alias("unixReviewTime"),
         *extra,
     )
+
+
+def loaded_reviews(spark: SparkSession, sf_dir: str, label: str, schema=None, extra=()) -> DataFrame:
+    """Reviews as JSON folders with their raw names, loaded into the bronze table."""
+    base = scratch_path(spark, label)
+    raw = raw_reviews(spark, sf_dir, *extra)
     raw.withColumn("part", F.expr("pmod(xxhash64(asin), 3)")).write.partitionBy("part").json(
         f"{base}/raw"
     )
@@ -1116,6 +1121,66 @@ def bronze_reviews_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_reviews(spark, sf_dir, "bronze-inferred", extra=extra)
 
 
+@query(f"{BRONZE_REVIEWS_SQL}, overall * 2 AS stars_of_ten FROM br")
+def bronze_reviews_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders that disagree on types, loaded by two runs: votes and stars start as whole numbers, and widen."""
+    base = scratch_path(spark, "bronze-moved")
+    raw = raw_reviews(spark, sf_dir, (F.col("overall") * 2).alias("starsOfTen"))
+    part = F.expr("pmod(xxhash64(asin), 3)")
+    narrow = raw.where(part == 0).withColumns({c: F.col(c).cast("long") for c in ("vote", "starsOfTen")})
+    for name, rows in (("0", narrow), ("1", raw.where(part == 1)), ("2", raw.where(part == 2))):
+        rows.write.json(f"{base}/raw/part={name}")
+    folders = readers.list_folders(spark, f"{base}/raw")
+    bronze.load_bronze_reviews(spark, folders[:1], f"{base}/bronze")
+    bronze.load_bronze_reviews(spark, folders, f"{base}/bronze", per_write=1)
+    rows = readers.read_table(spark, f"{base}/bronze")
+    return rows.withColumn("has_file", F.col("file_source").contains(f"{base}/raw")).drop("file_source")
+
+
+@query(
+    """SELECT p_partkey, p_size::DOUBLE + CASE WHEN p_size > 25 THEN 0.5 ELSE 0 END AS size_number,
+  CASE WHEN p_size > 25 THEN 'size ' ELSE '' END || p_size AS size_text,
+  CASE WHEN p_size > 25 THEN p_retailprice END AS p_retailprice, p_brand FROM part"""
+)
+def grown_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers, to which a later append adds fractions in one column and text in another."""
+    path = scratch_path(spark, "grown-types")
+    part, size = data.table(spark, sf_dir, "part"), F.col("p_size").cast("long")
+    first = part.where("p_size <= 25").select(
+        "p_partkey", size.alias("size_number"), size.alias("size_text"), "p_brand"
+    )
+    later = part.where("p_size > 25").select(
+        "p_partkey", (size + F.lit(0.5).cast("double")).alias("size_number"),
+        F.concat(F.lit("size "), F.col("p_size")).alias("size_text"), "p_retailprice", "p_brand",
+    )
+    for rows in (first, later):
+        ledger.grow_table(rows, path, "p_brand")
+    return readers.read_table(spark, path)
+
+
+@query(
+    f"""WITH {sql.BRONZE_METADATA} SELECT asin, similar_item, price,
+  strftime(try_strptime(raw_date, '%B %d, %Y'), '%Y') AS year FROM bm"""
+)
+def resumed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that stops after its second write, and is started again over all folders."""
+    base = scratch_path(spark, "resumed-load")
+    raw = data.bronze_metadata(spark, sf_dir).withColumn("part", F.expr("pmod(xxhash64(similar_item), 5)"))
+    raw.write.partitionBy("part").json(f"{base}/raw")
+    folders = readers.list_folders(spark, f"{base}/raw")
+
+    def stop(done: int, _: int) -> None:
+        if done == 2:
+            raise InterruptedError
+
+    try:
+        bronze.load_bronze_metadata(spark, folders, f"{base}/bronze", per_write=1, progress=stop)
+    except InterruptedError:
+        bronze.load_bronze_metadata(spark, folders, f"{base}/bronze", per_write=2)
+    rows = readers.read_table(spark, f"{base}/bronze")
+    return rows.select("asin", "similar_item", "price", F.col("year").cast("string").alias("year"))
+
+
 # --- Enrichment and dashboards ------------------------------------------------------------
 
 

@@ -15,16 +15,17 @@ from reviewmill.functions.dates import (
     extract_year_month,
     unix_to_date,
 )
+from reviewmill.functions.names import snake_name
 from reviewmill.functions.text import decode_bytes, text_to_long
 from reviewmill.operators.columns import add_file_source_column, get_formatted_column_names
 from reviewmill.schemas import METADATA
+from reviewmill.sources.evolution import feed_schema
+from reviewmill.sources.ledger import Ledger, load_folders
 from reviewmill.sources.readers import read_json
 from reviewmill.sources.writers import (
     FOLDERS_PER_WRITE,
     METADATA_RECORDS_PER_FILE,
     REVIEW_RECORDS_PER_FILE,
-    append_table,
-    load_folders,
 )
 
 
@@ -62,12 +63,14 @@ def load_bronze_metadata(
     per_write: int | None = FOLDERS_PER_WRITE,
     progress: Callable[[int, int], None] | None = None,
 ) -> int:
-    """Append the metadata folders to the bronze table, partitioned by year."""
+    """Append the metadata folders that the bronze table lacks, partitioned by year."""
     return load_folders(
         spark,
         folders,
         lambda session, paths: bronze_metadata(read_json(session, paths, METADATA)),
-        lambda rows: append_table(rows, table, "year", METADATA_RECORDS_PER_FILE),
+        table,
+        "year",
+        METADATA_RECORDS_PER_FILE,
         per_write,
         progress,
     )
@@ -81,15 +84,26 @@ def load_bronze_reviews(
     schema: StructType | None = None,
     progress: Callable[[int, int], None] | None = None,
 ) -> int:
-    """Append the review folders to the bronze table, partitioned by month.
+    """Append the review folders that the bronze table lacks, partitioned by month.
 
-    Without a schema it is inferred and every raw field is kept; a schema keeps its own fields only.
+    A schema keeps its own fields only. Without one every raw field is kept: types are inferred once over all folders to
+    load, as wide as the table has them already, and all writes share them. Where new folders need a wider type
+    than the table has, its older partitions are rewritten.
     """
+    if schema is None:
+        ledger = Ledger(spark, table)
+        ledger.recover()
+        pending = ledger.pending(folders)
+        if not pending:
+            return 0
+        schema = feed_schema(spark, read_json(spark, pending).schema, table, snake_name)
     return load_folders(
         spark,
         folders,
         lambda session, paths: bronze_reviews(read_json(session, paths, schema)),
-        lambda rows: append_table(rows, table, "year_month", REVIEW_RECORDS_PER_FILE),
+        table,
+        "year_month",
+        REVIEW_RECORDS_PER_FILE,
         per_write,
         progress,
     )

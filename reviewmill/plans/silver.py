@@ -32,6 +32,7 @@ from reviewmill.functions.text import (
 from reviewmill.operators.columns import lift_struct
 from reviewmill.operators.dedupe import distinct_rows, latest_per_key
 from reviewmill.schemas import EVENT_BODY
+from reviewmill.sources.readers import read_table
 from reviewmill.sources.writers import overwrite_table
 
 # Event body fields and their names in the tables.
@@ -119,9 +120,9 @@ def write_silver_metadata(
     spark: SparkSession, bronze: str, table: str, tiebreak: Sequence[str | Column] = ()
 ) -> None:
     """Silver job: the latest row per product of the bronze table, partitioned by ``year``."""
-    overwrite_table(silver_metadata(spark.read.parquet(bronze), tiebreak), table, "year")
+    overwrite_table(silver_metadata(read_table(spark, bronze), tiebreak), table, "year")
 
 
 def write_silver_reviews(spark: SparkSession, bronze: str, table: str) -> None:
     """Silver job: the distinct cleaned reviews of the bronze table, partitioned by ``year_month``."""
-    overwrite_table(silver_reviews(spark.read.parquet(bronze)), table, "year_month")
+    overwrite_table(silver_reviews(read_table(spark, bronze)), table, "year_month")

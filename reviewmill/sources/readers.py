@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewmill.functions.dates import parse_moment
+from reviewmill.sources.evolution import stored_schema
 
 
 def read_json(
@@ -37,7 +38,10 @@ def list_folders(spark: SparkSession, root: str, start: int = 0) -> list[str]:
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """Columnar table; ``merge_schema`` gathers columns that later appends added."""
+    """Columnar table in the schema stored with it; without one, ``merge_schema`` gathers columns that later appends added."""
+    stored = stored_schema(spark, path)
+    if stored is not None:
+        return spark.read.schema(stored).parquet(path)
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 

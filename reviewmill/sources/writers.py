@@ -7,9 +7,8 @@ files, and a hot one is split over many tasks instead of filling one.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -33,7 +32,10 @@ def _writer(dataframe: DataFrame, by: str | None, max_records: int | None):
 def append_table(
     dataframe: DataFrame, path: str, by: str | None = None, max_records: int | None = None
 ) -> None:
-    """Append rows; columns the table lacks are added, and read with ``merge_schema``."""
+    """Append rows; columns the table lacks are added, and read with ``merge_schema``.
+
+    Where types may move as well, ``ledger.grow_table`` keeps one schema for all files.
+    """
     _writer(dataframe, by, max_records).mode("append").parquet(path)
 
 
@@ -98,28 +100,6 @@ def publish_day(dataframe: DataFrame, name: str, day: dt.date, by: str = "date",
     )
 
 
-def load_folders(
-    spark: SparkSession,
-    folders: Sequence[str],
-    read: Callable[[SparkSession, Sequence[str]], DataFrame],
-    write: Callable[[DataFrame], None],
-    per_write: int | None = FOLDERS_PER_WRITE,
-    progress: Callable[[int, int], None] | None = None,
-) -> int:
-    """Load ``per_write`` folders at a time, or all in one distributed write if it is None.
-
-    Each write is one scan over all its folders. The last batch is written even when short.
-    Returns the number of folders loaded.
-    """
-    step = per_write or max(1, len(folders))
-    for start in range(0, len(folders), step):
-        batch = folders[start : start + step]
-        write(read(spark, batch))
-        if progress:
-            progress(start + len(batch), len(folders))
-    return len(folders)
-
-
 def stream_append(
     stream: DataFrame, path: str, checkpoint: str, by: str | None = None, interval: str | None = None
 ) -> DataStreamWriter:
