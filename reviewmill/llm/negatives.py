@@ -36,6 +36,8 @@ LAYERS = 5
 BITS = 8
 #: Bytes of the whole-number vectors in a shard.
 SHARD_BYTES = 1 << 27
+#: Rows below which a shard is not worth a visit of all anchors.
+SHARD_ROWS = 1024
 #: Estimates that a task holds at a time.
 ESTIMATES = 1 << 20
 #: Share of the product of two lengths that rounding in floating point may cost.
@@ -288,8 +290,9 @@ def hard_negatives(
 
     fields = f"id {id_type}, label {label_type}, vector binary, is_anchor boolean, codes binary, alignments binary, length double"
     rows = keep(distinct.mapInArrow(coded, fields), "codes")
-    # As many shards as tasks at least, more where a task could not hold one.
-    shards = max(least_shards or int(spark.conf.get("spark.sql.shuffle.partitions")), -(-many * width * 8 // SHARD_BYTES))
+    # As many shards as tasks unless they would be tiny, more where a task could not hold one.
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-many // SHARD_ROWS))
+    shards = max(1, least_shards or tasks, -(-many * width * 8 // SHARD_BYTES))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "vector"), F.lit(shards)).cast("int"))
     asked = rows.where("is_anchor").select("id", "label", "vector").withColumn("anchor", F.monotonically_increasing_id())
     asked = keep(asked, "anchors")
