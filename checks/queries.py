@@ -12,13 +12,13 @@ from checks import standins as data
 from checks.registry import query
 from reviewmill.functions import dates, nested, rating, text
 from reviewmill.functions.names import snake_label
-from reviewmill.operators import columns, counts, dedupe, filters, norms, profile, scoring
+from reviewmill.operators import answers, columns, counts, dedupe, filters, norms, profile, scoring
 from reviewmill.operators import sets, skew
 from reviewmill.plans import bronze, dashboards, enrich, gold, quality, silver
 from reviewmill.schemas import GOLD_COLUMNS, RAW_REVIEWS, REVIEWS
 from reviewmill.session import keep, scratch_path
-from reviewmill.sources import layout, ledger, positions, readers, writers
-from reviewmill.streaming import jobs
+from reviewmill.sources import eventlog, fileindex, layout, ledger, positions, readers, writers
+from reviewmill.streaming import jobs, quarantine
 
 DAY = dt.date(2024, 1, 15)
 POSITIVE_WORDS = ("the", "and", "der", "que")
@@ -387,6 +387,79 @@ def resume_from_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EVENT_LOG_SQL = """SELECT event_id, strftime(ts, '%Y-%m-%d') AS date_utc,
+  octet_length(encode(props))::BIGINT AS body_bytes FROM events"""
+
+
+def logged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = data.table(spark, sf_dir, "events")
+    return events.select(F.col("props").alias("body"), F.col("event_id").alias("sequenceNumber"), F.col("ts").alias("enqueuedTime"))
+
+
+def from_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select(
+        F.col("sequenceNumber").alias("event_id"),
+        F.col("date_utc").cast("string").alias("date_utc"),
+        F.octet_length("body").cast("bigint").alias("body_bytes"),
+    )
+
+
+@query(EVENT_LOG_SQL)
+def event_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log without a broker, streamed into bronze; the second run reads what was appended after the first."""
+    base = scratch_path(spark, "event-source")
+    events = logged_events(spark, sf_dir)
+    late = F.col("enqueuedTime") >= F.lit(DAY)
+    for part in (events.where(~late), events.where(late)):
+        eventlog.append_events(part, f"{base}/log", partitions=3, segment_rows=20_000)
+        jobs.run_to_end(
+            lambda: jobs.stream_bronze_events(eventlog.read_log(spark, f"{base}/log"), f"{base}/bronze", f"{base}/checks")
+        )
+    return from_log(spark, f"{base}/bronze")
+
+
+@query(f"{EVENT_LOG_SQL} WHERE ts >= TIMESTAMP '2024-01-15 06:00:00'")
+def event_source_from_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log from a start time on: segments that end before it are passed over, the rest is filtered."""
+    base = scratch_path(spark, "event-time")
+    eventlog.append_events(logged_events(spark, sf_dir), f"{base}/log", segment_rows=5_000)
+    start = "2024-01-15T06:00:00Z"
+    events = eventlog.read_log(spark, f"{base}/log", startingPosition=start)
+    jobs.run_to_end(lambda: jobs.stream_bronze_events(events, f"{base}/bronze", f"{base}/checks", position=start))
+    return from_log(spark, f"{base}/bronze")
+
+
+@query(f"{EVENT_LOG_SQL} WHERE ts >= TIMESTAMP '2024-01-15 06:00:00'")
+def position_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read from a position by its index of times; files written after the index was made are read too."""
+    path = scratch_path(spark, "position-pruned")
+    events = logged_events(spark, sf_dir).withColumn("date_utc", dates.day_text(F.col("enqueuedTime")))
+    late = F.col("enqueuedTime") >= F.lit(DAY + dt.timedelta(days=3))
+    writers.append_table(events.where(~late), path, "date_utc")
+    fileindex.index_files(spark, path, events.schema)
+    writers.append_table(events.where(late), path, "date_utc")
+    found = fileindex.read_from(spark, path, events.schema, "2024-01-15T06:00:00Z")
+    return found.select(
+        F.col("sequenceNumber").alias("event_id"), "date_utc", F.octet_length("body").cast("bigint").alias("body_bytes")
+    )
+
+
+@query("SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'not json' END AS reason FROM events")
+def quarantined_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stream in two tables: clean events, and bodies that do not parse, with their positions."""
+    base = scratch_path(spark, "quarantined")
+    schema = data.table(spark, sf_dir, "events").schema
+    envelopes = data.envelopes(readers.stream_table(spark, f"{sf_dir}/events.parque[t]", schema))
+    jobs.run_to_end(
+        lambda: quarantine.stream_split_events(
+            bronze.bronze_events(envelopes), f"{base}/clean", f"{base}/bad", f"{base}/checks"
+        )
+    )
+    event = F.col("sequenceNumber").alias("event_id")
+    clean = spark.read.parquet(f"{base}/clean").select(event, F.lit(None).cast("string").alias("reason"))
+    return clean.unionByName(spark.read.parquet(f"{base}/bad").select(event, "reason"))
+
+
 @query(
     """SELECT event_type AS event_source, max(event_id) AS sequence_number,
   max(event_id) AS max_offset, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS enqueued_time
@@ -1252,6 +1325,38 @@ def enrich_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("review_text")
 
 
+def failing_scorer():
+    """The scorer above, whose tenth call in every task fails, and every tenth after it."""
+
+    def make_scorer():
+        score, calls = make_length_scorer(), [0]
+
+        def sometimes(texts):
+            calls[0] += 1
+            if calls[0] % 10 == 0:
+                raise ConnectionError("busy")
+            return score(texts)
+
+        return sometimes
+
+    make_length_scorer = length_scorer()
+    return make_scorer
+
+
+@query(
+    """SELECT doc_id, CASE WHEN length(text) % 7 > 0 THEN
+    CASE length(text) % 3 WHEN 0 THEN 'Neutral' WHEN 1 THEN 'Positive' ELSE 'Negative' END
+  END AS sentiment, length(text) AS tokens FROM documents"""
+)
+def enrich_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scorer that fails on every tenth call: first without a second try, then again for what is missing."""
+    store = scratch_path(spark, "answers")
+    rows, how = review_texts(spark, sf_dir), {"texts_per_call": 8, "tasks": 4, "backoff": 0.0}
+    answers.fill_answers(rows, store, failing_scorer(), attempts=1, **how)
+    scored = answers.score_stored(rows, store, failing_scorer(), attempts=3, **how)
+    return scoring.parse_answer(scored).select("doc_id", "sentiment", "tokens")
+
+
 @query("SELECT sum(length(text))::BIGINT AS total_tokens FROM documents")
 def token_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scoring.score_texts(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.dates import default_run_date
 from reviewmill.functions.text import one_word, word_count
+from reviewmill.operators.answers import score_stored
 from reviewmill.operators.columns import typed_null
 from reviewmill.operators.dedupe import distinct_rows
 from reviewmill.operators.filters import on_day
@@ -48,17 +49,23 @@ def enrich_day(
     publish_as: str | None = None,
     calls_per_minute: float | None = CALLS_PER_MINUTE,
     tasks: int = SCORING_TASKS,
+    answers: str | None = None,
     **limits,
 ) -> int:
     """Daily job: score one day's reviews, replace that day in the table, publish that day.
 
     The scorer runs once: the table is read back for everything after it. One day is small in
     bytes but slow to score, so it is spread over ``tasks`` tasks, which share the call limit; None
-    lifts the limit. Returns the row count.
+    lifts the limit. With ``answers``, a store of answers by text, failed calls are tried again, equal
+    texts are scored once, and a rerun pays only for what the store lacks. Returns the row count.
     """
     day = day or default_run_date()
     limits |= {"calls_per_minute": calls_per_minute, "tasks": tasks}
-    scored = score_reviews(reviews_to_score(spark.read.parquet(gold), day), make_scorer, **limits)
+    reviews = reviews_to_score(spark.read.parquet(gold), day)
+    if answers:
+        scored = parse_answer(score_stored(reviews, answers, make_scorer, **limits))
+    else:
+        scored = score_reviews(reviews, make_scorer, **limits)
     rows = replace_day(scored, table, day)
     if publish_as:
         publish_day(spark.read.parquet(table), publish_as, day)

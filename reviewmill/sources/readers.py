@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -87,6 +87,19 @@ def start_position(
     return (manual or "").strip() or stored
 
 
+def moment_column(position: str | dt.datetime, kind: str) -> Column:
+    """A time, UTC unless it says otherwise, as a literal of a timestamp type."""
+    if isinstance(position, str):
+        position = parse_moment(position)
+    elif position.tzinfo is None:
+        position = position.replace(tzinfo=dt.timezone.utc)
+    utc = position.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    if kind == "timestamp_ntz":
+        return F.lit(utc.isoformat(" ")).cast("timestamp_ntz")
+    micros = (utc - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros))
+
+
 def from_position(
     events: DataFrame, position: str | dt.datetime | None, moment: str = "enqueuedTime"
 ) -> DataFrame:
@@ -96,16 +109,7 @@ def from_position(
     """
     if position is None:
         return events
-    if isinstance(position, str):
-        position = parse_moment(position)
-    elif position.tzinfo is None:
-        position = position.replace(tzinfo=dt.timezone.utc)
-    utc = position.astimezone(dt.timezone.utc).replace(tzinfo=None)
-    if events.schema[moment].dataType.simpleString() == "timestamp_ntz":
-        start = F.lit(utc.isoformat(" ")).cast("timestamp_ntz")
-    else:
-        micros = (utc - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
-        start = F.timestamp_micros(F.lit(micros))
+    start = moment_column(position, events.schema[moment].dataType.simpleString())
     return events.where(F.col(moment) >= start)
 
 
