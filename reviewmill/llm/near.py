@@ -5,7 +5,8 @@ tokens: in run r a set chooses its r-th smallest token and enters the bucket of
 s share the smallest token of their union with probability s, so after ``runs`` runs a pair with s >= 0.8 is missed
 with probability 0.2 ** runs; ``runs`` follows from the target recall. A bucket that stays too large and
 whose sets are not alike on average is split again: each set goes on along its next tokens, ``runs`` of them, to
-longer paths. Small, dense and deepest buckets are compared by brute force, in pairs of blocks where they are large.
+longer paths. Small, dense and deepest buckets are compared by brute force, in pairs of blocks where they are large; a
+block travels as one row, so that no row is repeated for each member and block.
 A pair is compared only in the one bucket whose path is its smallest shared tokens, so that links
 are counted once and no list of pairs is ever made. Sketches decide which sets a bucket needs; only those are fetched, and
 similarity is computed on the whole sets. A block returns each member's number of links and its
@@ -140,19 +141,91 @@ def _members(group: pa.Table, column: str) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in group.column(column).to_pylist()]
 
 
-def _ordered(group: pa.Table) -> tuple[pa.Table, int]:
-    """Members, each once, those of the first block before those of the second, and how many those are.
+def _once(group: pa.Table) -> pa.Table:
+    """Members, each once, in order of their ids."""
+    _, first = np.unique(group.column("id").to_numpy(), return_index=True)
+    return group.take(first)
+
+
+def _to_bytes(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_bytes(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(packed).read_all()
 
-    0 says that there is one block; an empty table, that one of two blocks has no member.
+
+#: What says where a member meets others.
+PLACE = "path long, tokens binary, blocks int, block int"
+PACKED = "path long, tokens binary, blocks int, block int, packed binary"
+
+
+def _met(rows: DataFrame, work, merge, schema: str) -> DataFrame:
+    """``work`` on every bucket of ``rows``, on every pair of blocks of a large one.
+
+    ``work(tokens, members, left)`` compares the first ``left`` members with the others, or all with all if it is 0, and returns
+    a table with ``id``; ``merge`` makes one table of those of a bucket's or block's members. The members of a block travel as
+    one row, so that a large bucket costs a row per pair of blocks, and what its pairs say is merged by block first.
     """
-    _, first = np.unique(group.column("id").to_numpy(), return_index=True)
-    if len(first) < group.num_rows:
-        group = group.take(first)
-    if group.column("left_block")[0] == group.column("right_block")[0]:
-        return group, 0
-    group = group.sort_by("block")
-    left = int(np.sum(group.column("block").to_numpy() == group.column("left_block")[0].as_py()))
-    return (group, left) if 0 < left < group.num_rows else (group.slice(0, 0), 0)
+    place = ["path", "tokens", "blocks", "block"]
+
+    def placed(table: pa.Table, of: dict) -> pa.Table:
+        table = merge(table)
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32())
+        for name, kind in zip(place, kinds):
+            table = table.append_column(name, pa.array([of[name]] * table.num_rows, kind))
+        return table
+
+    def first(group: pa.Table) -> dict:
+        return group.select(place).slice(0, 1).to_pylist()[0]
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, ["path"]):
+            of, members = first(group), _once(group)
+            if members.num_rows > 1 and (found := work(of["tokens"], members, 0)) is not None:
+                yield from placed(found, of).select(names).to_batches()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, ["path", "block"]):
+            yield packed_row(first(group), _once(group).drop_columns(place))
+
+    def packed_row(of: dict, table: pa.Table) -> pa.RecordBatch:
+        arrays = [pa.array([of["path"]], pa.int64()), pa.array([of["tokens"]], pa.binary()), pa.array([of["blocks"]], pa.int32())]
+        arrays += [pa.array([of["block"]], pa.int32()), pa.array([_to_bytes(table)], pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, names=[*place, "packed"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pair in _grouped(batches, ["path", "left_block", "right_block"]):
+            of = pair.select([*place, "left_block", "right_block"]).to_pylist()
+            if len({x["block"] for x in of}) == 1 and of[0]["left_block"] != of[0]["right_block"]:
+                continue  # the other block has no member
+            blocks = [_from_bytes(x) for x in pair.column("packed").to_pylist()]
+            members, left = pa.concat_tables(blocks), blocks[0].num_rows if len(blocks) > 1 else 0
+            if (found := work(of[0]["tokens"], members, left)) is None:
+                continue
+            own = np.isin(found.column("id").to_numpy(), blocks[0].column("id").to_numpy())
+            for x, mine in zip(of, (own, ~own)):
+                if mine.any():
+                    yield packed_row(x, found.filter(pa.array(mine)))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, ["path", "block"]):
+            parts = pa.concat_tables([_from_bytes(x) for x in group.column("packed").to_pylist()])
+            yield from placed(parts, first(group)).select(names).to_batches()
+
+    names = [field.split()[0] for field in f"{schema}, {PLACE}".split(", ")]
+    single = rows.where("blocks = 1").repartition("path").sortWithinPartitions("path")
+    blocks = rows.where("blocks > 1").repartition("path", "block").sortWithinPartitions("path", "block").mapInArrow(pack, PACKED)
+    pairs = blocks.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    pairs = pairs.withColumns({"left_block": F.least("block", "other"), "right_block": F.greatest("block", "other")}).drop("other")
+    sides = ["path", "left_block", "right_block"]
+    pairs = pairs.repartition(*sides).sortWithinPartitions(*sides, "block").mapInArrow(meet, PACKED)
+    large = pairs.repartition("path", "block").sortWithinPartitions("path", "block")
+    full = f"{schema}, {PLACE}"
+    return single.mapInArrow(alone, full).unionByName(large.mapInArrow(gather, full))
 
 
 def chosen_path_join(
@@ -232,7 +305,7 @@ def _paths(rows: DataFrame, runs: int) -> DataFrame:
 
 
 def _requests(members: DataFrame, runs: int, similarity: float) -> DataFrame:
-    """Rows (path, tokens, blocks, id): the sets that each brute-force block needs in whole."""
+    """Rows (id, path, tokens, blocks, block): the sets that each bucket needs in whole."""
     start = members.withColumn("at", F.lit(0)).withColumn("tokens", F.unhex(F.lit("")))
     rows, done = keep(_paths(start, runs), "paths"), []
     for depth in range(1, DEPTH + 1):
@@ -267,30 +340,19 @@ def _requests(members: DataFrame, runs: int, similarity: float) -> DataFrame:
         ready = ready.unionByName(part)
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
     ready = ready.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    ready = ready.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    ready = ready.withColumns({"left_block": F.least("block", "other"), "right_block": F.greatest("block", "other")})
-    ready = ready.select("path", "tokens", "left_block", "right_block", "block", "id")
-    ready = ready.join(members.select("id", "size", "sketch"), "id")
-    group = ["path", "left_block", "right_block"]
-    fields = "path long, tokens binary, left_block int, right_block int, block int, id " + members.schema["id"].dataType.simpleString()
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = ["path", "tokens", "left_block", "right_block", "block", "id"]
-        for rows in _grouped(batches, group):
-            rows, left = _ordered(rows)
-            if not rows.num_rows:
-                continue
-            path = np.frombuffer(rows.column("tokens")[0].as_py(), np.uint64).tolist()
-            i, j = _candidates(_members(rows, "sketch"), rows.column("size").to_numpy(), path, left, similarity)
-            if len(i):
-                yield from rows.select(wanted).take(np.unique(np.concatenate([i, j]))).to_batches()
+    ready = ready.select("path", "tokens", "blocks", "block", "id").join(members.select("id", "size", "sketch"), "id")
+
+    def ask(tokens: bytes, rows: pa.Table, left: int) -> pa.Table | None:
+        path = np.frombuffer(tokens, np.uint64).tolist()
+        i, j = _candidates(_members(rows, "sketch"), rows.column("size").to_numpy(), path, left, similarity)
+        return rows.select(["id"]).take(np.unique(np.concatenate([i, j]))) if len(i) else None
 
-    return ready.repartition(*group).sortWithinPartitions(*group).mapInArrow(ask, fields)
+    return _met(ready, ask, _once, "id " + members.schema["id"].dataType.simpleString())
 
 
 def _compare(named: DataFrame, members: DataFrame, asked: DataFrame, similarity: float) -> DataFrame:
     """Rows (id, links, root): what each block found, from the whole sets that it asked for."""
-    places = F.collect_list(F.struct("path", "tokens", "left_block", "right_block", "block")).alias("places")
+    places = F.collect_list(F.struct("path", "tokens", "blocks", "block")).alias("places")
     wanted = asked.groupBy("id").agg(places).join(members.select("id", "first_id", "copies", "print"), "id")
     texts = named.withColumnRenamed("id", "_id").join(wanted, F.col("_id") == F.col("first_id"))
     texts = texts.select("id", "copies", "print", "places", "text")
@@ -308,44 +370,52 @@ def _compare(named: DataFrame, members: DataFrame, asked: DataFrame, similarity:
     kind = "long"
     place = wanted.schema["places"].dataType.simpleString()
     whole = texts.mapInArrow(fetch, f"id {kind}, copies long, places {place}, set binary")
-    group = ["path", "left_block", "right_block"]
-    dealt = whole.select("id", "copies", "set", F.inline("places")).repartition(*group).sortWithinPartitions(*group, "id")
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _grouped(batches, group):
-            rows, left = _ordered(rows)
-            if not rows.num_rows:
-                continue
-            ids, copies = rows.column("id").to_numpy(), rows.column("copies").to_numpy()
-            sets = _members(rows, "set")
-            sizes = np.array([len(s) for s in sets])
-            path = np.frombuffer(rows.column("tokens")[0].as_py(), np.uint64).tolist()
-            i, j = _candidates([s[:SKETCH] for s in sets], sizes, path, left, similarity)
-            if not len(i):
-                continue
-            if len(i) > 8 * len(sets):
-                common = _common(sets, left)[i, j - left]
-            else:
-                common = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)])
-            near = common >= similarity * (sizes[i] + sizes[j] - common) - 1e-9
-            i, j = i[near], j[near]
-            if not len(i):
-                continue
-            links = np.bincount(i, copies[j], len(sets)) + np.bincount(j, copies[i], len(sets))
-            root = ids.copy()
-            while True:  # every member takes the smallest root among its neighbours, until none changes
-                low = np.minimum(root[i], root[j])
-                before = root.copy()
-                np.minimum.at(root, i, low)
-                np.minimum.at(root, j, low)
-                if (root == before).all():
-                    break
-            linked = links > 0
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[linked]), pa.array(links[linked].astype(np.int64)), pa.array(root[linked])], names=["id", "links", "root"]
-            )
-
-    return dealt.mapInArrow(link, f"id {kind}, links long, root {kind}")
+    dealt = whole.select("id", "copies", "set", F.inline("places"))
+
+    def link(tokens: bytes, rows: pa.Table, left: int) -> pa.Table | None:
+        ids, copies = rows.column("id").to_numpy(), rows.column("copies").to_numpy()
+        sets = _members(rows, "set")
+        sizes = np.array([len(s) for s in sets])
+        path = np.frombuffer(tokens, np.uint64).tolist()
+        i, j = _candidates([s[:SKETCH] for s in sets], sizes, path, left, similarity)
+        if not len(i):
+            return None
+        if len(i) > 8 * len(sets):
+            common = _common(sets, left)[i, j - left]
+        else:
+            common = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)])
+        near = common >= similarity * (sizes[i] + sizes[j] - common) - 1e-9
+        i, j = i[near], j[near]
+        if not len(i):
+            return None
+        links = np.bincount(i, copies[j], len(sets)) + np.bincount(j, copies[i], len(sets))
+        root = _roots(ids, i, j)
+        linked = links > 0
+        return pa.table({"id": ids[linked], "links": links[linked].astype(np.int64), "root": root[linked]})
+
+    return _met(dealt, link, _merged_links, f"id {kind}, links long, root {kind}").select("id", "links", "root")
+
+
+def _roots(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each id the smallest that the pairs of places connect it with."""
+    root = ids.copy()
+    while True:  # every member takes the smallest root among its neighbours, until none changes
+        low = np.minimum(root[i], root[j])
+        before = root.copy()
+        np.minimum.at(root, i, low)
+        np.minimum.at(root, j, low)
+        if (root == before).all():
+            return root
+
+
+def _merged_links(rows: pa.Table) -> pa.Table:
+    """Each id once with all its links; roots that it joins are rows without links."""
+    ids, place = np.unique(np.concatenate([rows.column("id").to_numpy(), rows.column("root").to_numpy()]), return_inverse=True)
+    n = rows.num_rows
+    links = np.bincount(place[:n], rows.column("links").to_numpy(), len(ids)).astype(np.int64)
+    root = _roots(ids, place[:n], place[n:])
+    told = (links > 0) | (root < ids)
+    return pa.table({"id": ids[told], "links": links[told], "root": root[told]})
 
 
 def _classes(edges: DataFrame) -> DataFrame:

@@ -92,3 +92,36 @@ def test_one_of_each_class_stays(make):
     classes = by_definition(list(enumerate(texts)))
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c, _ in classes})
     assert near.keep_one(docs.limit(0)).count() == 0 and near.chosen_path_join(docs.limit(0)).count() == 0
+
+
+def test_rows_do_not_grow_with_the_square_of_a_group(make, monkeypatch):
+    """600 near copies in blocks of 20: what is staged grows with the members, not with members times blocks."""
+    monkeypatch.setattr(near, "BLOCK", 20)
+    pick = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(600):
+        copy = list(base)
+        for _ in range(i % 4):
+            copy[pick.randrange(len(copy))] = f"x{pick.randrange(500)}"
+        texts.append(" ".join(copy))
+    staged, real = {}, near.keep
+
+    def counted(frame, label):
+        kept = real(frame, label)
+        staged[label] = max(staged.get(label, 0), kept.count())
+        return kept
+
+    monkeypatch.setattr(near, "keep", counted)
+    docs = make(texts)
+    assert found(near.chosen_path_join(docs)) == by_definition(list(enumerate(texts)))
+    members, runs = staged["members"], near.runs_for(0.999999, 0.8)
+    assert members > 300 and staged["requests"] <= runs * members and staged["links"] <= 2 * runs * members
+
+
+def test_links_of_pairs_of_blocks_add_up():
+    import pyarrow as pa
+
+    rows = pa.table({"id": [5, 7, 5, 9], "links": [2, 1, 3, 1], "root": [5, 5, 3, 7]})
+    merged = near._merged_links(rows).to_pylist()
+    assert {r["id"]: (r["links"], r["root"]) for r in merged} == {5: (5, 3), 7: (1, 3), 9: (1, 3)}
