@@ -9,11 +9,11 @@ text is read in symbols of ``SYMBOL`` bytes at every phase, suffixes are sorted,
 prefix are extended backward by one symbol per round, breadth first. An interval of one suffix has found
 its longest common prefix and is dropped, so rounds derive common prefixes by increasing value; they stop at
 LENGTH bytes, where the intervals left are the repeated strings. A hash with more than ``MANY`` different segments is
-not indexed: its strings are hashed and counted one by one, as exactly, and spread over tasks.
+indexed in groups: by distance of the anchor, and by the bytes that all strings of a range of distances share.
 
 Hashes have 64 bits, of which at least two must agree for a wrong match. Defined results: a null text is empty;
 texts shorter than LENGTH keep all bytes; of repeated rows all copies are removed, as the strings are judged on the
-input; rows that share an id are told apart by their place in the staged table; an empty table gives no rows.
+input; rows that share an id are told apart by a hash of their text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ GRAM = 32
 SYMBOL = 40
 #: Bytes that one transform indexes.
 INDEXED = 500_000
-#: Different segments of one anchor that are still indexed together.
+#: Different segments that are indexed together; an anchor with more is divided.
 MANY = 2048
 #: Bytes that a task hashes at a time; their places fill the low bits of a hash.
 CHUNK = 1 << 18
@@ -313,25 +314,74 @@ def _indexed(segments_: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "anchor long, content long, offset int, length int")
 
 
-def _counted(segments_: DataFrame) -> DataFrame:
-    """The same runs, one string each, for anchors with too many segments: strings are counted by two hashes."""
+def _halves(data: bytes, place: int, low: int, high: int) -> Iterator[tuple[int, int, int, int]]:
+    """Of the strings of a segment whose anchor, at ``place``, lies ``low`` to ``high`` bytes behind their start, the two
+    halves by that distance: (low, high, nearest, farthest) with the distances that the segment has of each."""
+    middle = (low + high) // 2
+    for a, b in ((low, middle), (middle + 1, high)):
+        nearest, farthest = max(a, place - (len(data) - LENGTH)), min(b, place)
+        if nearest <= farthest:
+            yield a, b, nearest, farthest
+
+
+def _divided(classes: DataFrame) -> DataFrame:
+    """Runs (anchor, content, offset, length) for anchors with too many segments to index at a time.
+
+    Equal strings have their anchor at equal distance. All strings of a range of distances share the bytes around the anchor that the
+    range's nearest and farthest string have in common, so segments are dealt anew by half the range and those bytes, and equal
+    parts of segments become one class. Groups that are still too large are halved again; a range of one distance is one
+    class. A segment is two rows a round, and only as long as its group is too large.
+    """
+
+    def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                data, place = row["bytes"], row["place"]
+                for low, high, nearest, farthest in _halves(data, place, row["low"], row["high"]):
+                    core = data[place - low : place - high + LENGTH]
+                    part = data[place - farthest : place - nearest + LENGTH]
+                    group = xxhash.xxh3_64_intdigest(core + b"%d,%d,%d" % (row["anchor"], low, high)) - 2**63
+                    own = xxhash.xxh3_64_intdigest(part + b"%d" % farthest, 1) - 2**63
+                    rows.append((row["anchor"], row["content"], place - farthest, group, own, row["copies"], farthest, low, high, part))
+            columns = zip(*rows) if rows else [[]] * len(fields)
+            arrays = [pa.array(list(c), field.type) for c, field in zip(columns, fields)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=fields)
+
+    kinds = {"base": pa.int32(), "place": pa.int32(), "low": pa.int32(), "high": pa.int32(), "bytes": pa.binary()}
+    names = ["anchor", "content", "base", "group", "own", "copies", "place", "low", "high", "bytes"]
+    fields = pa.schema([pa.field(n, kinds.get(n, pa.int64())) for n in names])
+    schema = "anchor long, content long, base int, group long, own long, copies long, place int, low int, high int, bytes binary"
+    halves = keep(classes.select("anchor", "content", "copies", "place", "low", "high", "bytes").mapInArrow(halve, schema), "halves")
+    parts = halves.groupBy("group", "own").agg(
+        F.sum("copies").alias("copies"), F.min(F.struct("place", "low", "high", "bytes")).alias("one")
+    )
+    parts = keep(parts.select(F.col("group").alias("anchor"), F.col("own").alias("content"), "copies", "one.*"), "parts")
+    sizes = parts.groupBy("anchor").agg(F.count("*").alias("many"))
+    sized = keep(parts.join(sizes, "anchor").filter("many > 1 or copies > 1"), "sized")
+    runs = _indexed(sized.filter(F.col("many") <= MANY))
+    large = sized.filter(F.col("many") > MANY)
+    if not large.isEmpty():
+        runs = runs.unionByName(_divided(large))
+    runs = keep(runs.withColumnsRenamed({"anchor": "group", "content": "own"}), "part-runs")
+    back = halves.select("anchor", "content", "base", "group", "own").join(runs, ["group", "own"])
+    return back.select("anchor", "content", (F.col("base") + F.col("offset")).alias("offset"), "length")
+
+
+def _anchored(segments_: DataFrame) -> DataFrame:
+    """Segments, each once, with the place of their anchor and all distances that an anchor can have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                data = np.frombuffer(batch.column(3)[i].as_py(), np.uint8)
-                one, two = window_hashes(data, LENGTH, 3).view(np.int64), window_hashes(data, LENGTH, 4).view(np.int64)
-                same = [pa.array(np.full(len(one), batch.column(c)[i].as_py(), np.int64)) for c in range(3)]
-                yield pa.RecordBatch.from_arrays(
-                    [*same, pa.array(np.arange(len(one), dtype=np.int32)), pa.array(one), pa.array(two)],
-                    names=["anchor", "content", "copies", "offset", "one", "two"],
-                )
+            places = []
+            for anchor, data in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+                grams = _mixed(window_hashes(np.frombuffer(data, np.uint8), GRAM)).view(np.int64)
+                places.append(int(np.argmax(grams == anchor)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int32())], names=[*batch.schema.names, "place"])
 
-    strings = segments_.select("anchor", "content", "copies", "bytes").dropDuplicates(["anchor", "content"]).mapInArrow(
-        run, "anchor long, content long, copies long, offset int, one long, two long"
-    )
-    often = strings.groupBy("one", "two").agg(F.sum("copies").alias("times")).filter("times > 1")
-    return strings.join(often, ["one", "two"], "left_semi").select("anchor", "content", "offset", F.lit(1).alias("length"))
+    once = segments_.select("anchor", "content", "copies", "bytes").dropDuplicates(["anchor", "content"])
+    placed = once.mapInArrow(run, "anchor long, content long, copies long, bytes binary, place int")
+    return placed.withColumns({"low": F.lit(0), "high": F.lit(LENGTH - GRAM)})
 
 
 def repeated_spans(docs: DataFrame, kind: str) -> DataFrame:
@@ -350,10 +400,12 @@ def repeated_spans(docs: DataFrame, kind: str) -> DataFrame:
     classes = keep(classes, "classes")
     sizes = classes.groupBy("anchor").agg(F.count("*").alias("many"))
     fetched = keep(_fetch(_packed(docs, kind), classes.join(sizes, "anchor")), "bytes")
-    runs = _indexed(fetched.filter(F.col("many") <= MANY)).unionByName(_counted(fetched.filter(F.col("many") > MANY)))
+    runs, large = _indexed(fetched.filter(F.col("many") <= MANY)), fetched.filter(F.col("many") > MANY)
+    if not large.isEmpty():
+        runs = runs.unionByName(_divided(_anchored(large)))
     answers = keep(runs, "runs")
-    # One row per segment class, so that the rows of a class meet one row.
-    by_class = answers.groupBy("anchor", "content").agg(F.collect_list(F.struct("offset", "length")).alias("runs"))
+    # One row per segment class, so that the rows of a class meet one row; staged, so that a hot class can be split.
+    by_class = keep(answers.groupBy("anchor", "content").agg(F.collect_list(F.struct("offset", "length")).alias("runs")), "by-class")
     begin = F.col("start")
     told = mixed.join(by_class, ["anchor", "content"]).select(
         "id", "part",

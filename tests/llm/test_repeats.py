@@ -101,3 +101,40 @@ def test_odd_ids(make):
     rows = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in repeats.remove_repeats(docs).collect())
     assert rows == [(0, 0, 0), (0, 18, 0), (1, 18, 0), (1, 450, 450), (1, 450, 450)]
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("place, length", [(0, 200), (168, 200), (168, 368), (100, 250), (60, 240)])
+def test_halves_hold_each_distance_once(place, length):
+    """Down to single distances every string of a segment is in one part, and parts hold the bytes they share."""
+    own = range(max(0, place - (length - repeats.LENGTH)), min(place, 168) + 1)
+    data, found = bytes(i % 251 for i in range(length)), []
+
+    def divide(low, high, place, data, base):
+        for a, b, nearest, farthest in repeats._halves(data, place, low, high):
+            start = place - farthest
+            part = data[start : place - nearest + repeats.LENGTH]
+            assert len(data[place - a : place - b + repeats.LENGTH]) == repeats.LENGTH - (b - a)
+            if a == b:
+                assert len(part) == repeats.LENGTH
+                found.append(base + start)
+            else:
+                divide(a, b, farthest, part, base + start)
+
+    divide(0, 168, place, data, 0)
+    assert sorted(found) == sorted(place - distance for distance in own)
+
+
+@pytest.mark.parametrize("many", [1, 20])
+def test_a_line_in_every_text(make, monkeypatch, many):
+    """Texts around one frequent line: some share more of what stands beside it, some enough for a string."""
+    monkeypatch.setattr(repeats, "MANY", many)
+    pick = random.Random(9)
+    word = lambda n: "".join(pick.choice("abcdefghij ") for _ in range(n))
+    line, left, right = word(60), word(300), word(300)
+    texts = []
+    for i in range(90):
+        before = word(200) + left[len(left) - pick.choice([0, 0, 10, 70, 130, 200]) :] if i % 2 else word(250)
+        after = right[: pick.choice([0, 0, 10, 70, 130, 200])] + word(200) if i % 3 else word(250)
+        texts.append(before + line + after)
+    texts += texts[:4]
+    assert removed(repeats.remove_repeats(make(texts)), texts) == cut(texts)
