@@ -288,6 +288,24 @@ def daily_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions.latest_positions(spark, f"{base}/positions").drop("last_modification")
 
 
+@query(
+    """SELECT 'events' AS event_source, max(event_id) AS sequence_number, max(event_id) AS max_offset,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS enqueued_time FROM events"""
+)
+def observed_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same position from what the bronze writes of two runs have seen, without reading bronze."""
+    base = scratch_path(spark, "observed-position")
+    events = data.table(spark, sf_dir, "events")
+    late = F.col("ts") >= F.lit(DAY)
+    for rows in (events.where(~late), events.where(late)):
+        rows.write.mode("append").parquet(f"{base}/events")
+        envelopes = data.envelopes(readers.stream_table(spark, f"{base}/events", events.schema))
+        jobs.run_bronze_with_position(
+            spark, envelopes, f"{base}/bronze", f"{base}/checks", f"{base}/positions", "events"
+        )
+    return positions.latest_positions(spark, f"{base}/positions").drop("last_modification")
+
+
 def flat_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("sequenceNumber").alias("sequence_number"),
@@ -641,6 +659,23 @@ def partition_key_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SKETCHED = ("l_returnflag", "l_linestatus", "l_linenumber", "l_discount")
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{key}' AS column_name, count(*) AS groups, max(n)::BIGINT AS largest_group, avg(n) AS mean_group,
+  max(n) / avg(n) AS skew FROM (SELECT {key}, count(*) AS n FROM lineitem GROUP BY 1)"""
+        for key in SKETCHED
+    )
+)
+def partition_key_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate keys from sketches, exact for keys of few values; errors for many are tested apart."""
+    lines = data.table(spark, sf_dir, "lineitem")
+    found = profile.partition_key_sketch(lines, {key: F.col(key) for key in SKETCHED})
+    return found.drop("groups_error", "largest_error")
+
+
 def _report_sql() -> str:
     one = "CAST(count(*) AS DOUBLE)"
     parts = [f"SELECT 'rows' AS section, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS VARCHAR) AS value, {one} AS amount FROM br"]
@@ -1027,6 +1062,18 @@ def clustered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.cluster(spark, f"{base}/plain", f"{base}/clustered", "o_custkey", files=4)
 
 
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate::DATE AS o_orderdate, o_orderpriority FROM orders")
+def curve_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders along a curve over a number, a date and a text."""
+    base = scratch_path(spark, "curve")
+    orders = data.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority"
+    )
+    writers.append_table(orders, f"{base}/plain")
+    keys = ["o_custkey", "o_orderdate", "o_orderpriority"]
+    return layout.cluster_by_curve(spark, f"{base}/plain", f"{base}/clustered", keys, files=16)
+
+
 @query("SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS date FROM events")
 def replaced_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day replaced by a wrong version and then by the right one: the table is whole again."""
@@ -1448,6 +1495,71 @@ def product_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.product_dashboard(enrich.label_by_rule(rows, POSITIVE_WORDS, NEGATIVE_WORDS))
 
 
+def dated_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled reviews with one keyword each, by the month they are from."""
+    rows = data.bronze_reviews(spark, sf_dir).select(
+        "asin", "overall", F.col("summary").alias("keywords"),
+        F.when(F.col("vote").isNull(), "Neutral").when(F.col("verified"), "Positive").otherwise("Negative").alias("sentiment"),
+        dates.month_start(F.col("unix_review_time_date")).alias("date"),
+    )
+    return rows
+
+
+def rolled_days(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """Both partial tables: all days but the last in one load, which then comes as the daily job's."""
+    base = scratch_path(spark, label)
+    rows = keep(dated_labels(spark, sf_dir), f"{label}-rows")
+    last = rows.agg(F.max("date")).first()[0]
+    writers.overwrite_table(rows, f"{base}/enriched", "date")
+    dashboards.write_dashboard_days(rows.where(F.col("date") < F.lit(last)), f"{base}/days")
+    dashboards.add_dashboard_day(spark, f"{base}/enriched", f"{base}/days", last)
+    return f"{base}/days"
+
+
+DATED_LABELS = """WITH s AS (SELECT CAST(l_partkey AS VARCHAR) AS asin, (l_quantity - 1) % 5 + 1 AS overall,
+  lower(o_orderpriority) AS keyword,
+  CASE WHEN l_linenumber <= 3 THEN 'Neutral' WHEN l_linestatus = 'F' THEN 'Positive' ELSE 'Negative' END AS sentiment
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+@query(
+    f"""{DATED_LABELS} SELECT asin, count(*) AS reviews, avg(overall) AS mean_rating,
+  avg(CASE WHEN sentiment = 'Positive' THEN 1.0::DOUBLE ELSE 0.0 END) AS positive_share,
+  avg(CASE WHEN sentiment = 'Neutral' THEN 1.0::DOUBLE ELSE 0.0 END) AS neutral_share,
+  avg(CASE WHEN sentiment = 'Negative' THEN 1.0::DOUBLE ELSE 0.0 END) AS negative_share FROM s GROUP BY asin"""
+)
+def product_dashboard_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product dashboard rolled up from daily sums."""
+    return dashboards.product_totals(spark.read.parquet(f"{rolled_days(spark, sf_dir, 'product-days')}/products"))
+
+
+@query(
+    f"""{DATED_LABELS}, c AS (SELECT asin, keyword, count(*) AS n FROM s GROUP BY ALL)
+SELECT asin, keyword, n, CAST(row_number() OVER (PARTITION BY asin ORDER BY n DESC, keyword) AS INTEGER) AS place
+FROM c QUALIFY row_number() OVER (PARTITION BY asin ORDER BY n DESC, keyword) <= 3"""
+)
+def product_keyword_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent keywords per product from daily sketches, exact for so few keywords."""
+    days = spark.read.parquet(f"{rolled_days(spark, sf_dir, 'keyword-days')}/keywords")
+    return dashboards.keyword_totals(days, 3)
+
+
+@query(
+    f"""WITH {sql.JOINED},
+g AS (SELECT DISTINCT j.*, {sql.label("overall", "overall_brand")} AS bt,
+        {sql.label("overall", "overall_reviewer")} AS rt
+      FROM j LEFT JOIN b ON j.brand = b.brand LEFT JOIN v ON j.reviewer_id = v.reviewer_id),
+o AS (SELECT brand, reviewer_id, count(*) AS reviews,
+  avg(CASE bt WHEN 'better' THEN 1.0::DOUBLE WHEN 'worse' THEN -1.0 ELSE 0.0 END) AS against_brand,
+  avg(CASE rt WHEN 'better' THEN 1.0::DOUBLE WHEN 'worse' THEN -1.0 ELSE 0.0 END) AS against_own
+FROM g WHERE brand IS NOT NULL AND reviewer_id IS NOT NULL GROUP BY ALL)
+SELECT *, against_brand - against_own AS singled_out FROM o"""
+)
+def brand_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviewers beside each brand they rated."""
+    return dashboards.brand_outliers(gold_reviews(spark, sf_dir))
+
+
 @query(
     """WITH w AS (SELECT p_brand AS asin, unnest(string_split(p_name, ' ')) AS keyword FROM part),
 c AS (SELECT asin, keyword, count(*) AS n FROM w GROUP BY ALL)

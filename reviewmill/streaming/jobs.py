@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from reviewmill.plans.bronze import bronze_events
 from reviewmill.plans.silver import silver_events
-from reviewmill.sources.positions import save_position, stored_position
+from reviewmill.sources.positions import observed_marks, save_observed, save_position, stored_position
 from reviewmill.sources.readers import from_position, stream_table
 from reviewmill.sources.writers import stream_append
 
@@ -57,6 +57,33 @@ def stream_bronze_events(
     return stream_append(rows, table, checkpoint, "date_utc", interval)
 
 
+def run_bronze_with_position(
+    spark: SparkSession,
+    events: DataFrame,
+    table: str,
+    checkpoint: str,
+    positions: str,
+    source: str,
+    *,
+    position: str | None = None,
+    seconds: float = RUN_SECONDS,
+) -> bool:
+    """Stream envelopes into bronze until caught up, and store the position from what the writes have seen.
+
+    The high-water mark of each micro-batch comes with its progress, so nothing is read again. A run that is killed before the
+    position is stored leaves the older one, which the next start passes over by its checkpoint. True if it caught up.
+    """
+    rows = observed_marks(bronze_events(from_position(events, position)))
+    query = stream_append(rows, table, checkpoint, "date_utc").start()
+    try:
+        done = bool(query.awaitTermination(seconds))
+    finally:
+        query.stop()
+    marks = [p["observedMetrics"].get("position") for p in query.recentProgress if p.get("observedMetrics")]
+    save_observed(spark, [m.asDict() if hasattr(m, "asDict") else m for m in marks if m], positions, source)
+    return done
+
+
 def stream_silver_events(
     spark: SparkSession,
     bronze: str,
