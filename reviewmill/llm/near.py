@@ -183,14 +183,18 @@ def _met(rows: DataFrame, work, merge, schema: str) -> DataFrame:
         return group.select(place).slice(0, 1).to_pylist()[0]
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _grouped(batches, ["path"]):
-            of, members = first(group), _once(group)
-            if members.num_rows > 1 and (found := work(of["tokens"], members, 0)) is not None:
-                yield from placed(found, of).select(names).to_batches()
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A bucket of one block is compared at once; of a larger one each block is packed."""
         for group in _grouped(batches, ["path", "block"]):
-            yield packed_row(first(group), _once(group).drop_columns(place))
+            of, members = first(group), _once(group)
+            if of["blocks"] > 1:
+                row = pa.Table.from_batches([packed_row(of, members.drop_columns(place))])
+                for name in names[: -len(place)]:
+                    row = row.append_column(name, pa.nulls(1, fields.field(name).type))
+                yield from row.select(fields.names).cast(fields).to_batches()
+            elif members.num_rows > 1 and (found := work(of["tokens"], members, 0)) is not None:
+                table = placed(found, of)
+                table = table.append_column("packed", pa.nulls(table.num_rows, pa.binary()))
+                yield from table.select(fields.names).cast(fields).to_batches()
 
     def packed_row(of: dict, table: pa.Table) -> pa.RecordBatch:
         arrays = [pa.array([of["path"]], pa.int64()), pa.array([of["tokens"]], pa.binary()), pa.array([of["blocks"]], pa.int32())]
@@ -216,16 +220,23 @@ def _met(rows: DataFrame, work, merge, schema: str) -> DataFrame:
             parts = pa.concat_tables([_from_bytes(x) for x in group.column("packed").to_pylist()])
             yield from placed(parts, first(group)).select(names).to_batches()
 
-    names = [field.split()[0] for field in f"{schema}, {PLACE}".split(", ")]
-    single = rows.where("blocks = 1").repartition("path").sortWithinPartitions("path")
-    blocks = rows.where("blocks > 1").repartition("path", "block").sortWithinPartitions("path", "block").mapInArrow(pack, PACKED)
+    full = f"{schema}, {PLACE}"
+    names = [field.split()[0] for field in full.split(", ")]
+    kinds = {"binary": pa.binary(), "int": pa.int32()}
+    fields = pa.schema([(f.split()[0], kinds.get(f.split()[1], pa.int64())) for f in f"{full}, packed binary".split(", ")])
+    dealt = rows.repartition("path", "block").sortWithinPartitions("path", "block")
+    # Staged, so that what leads here is worked out once for both kinds of buckets.
+    first_met = keep(dealt.mapInArrow(alone, f"{full}, packed binary"), "met")
+    done = first_met.where("packed is null").drop("packed")
+    blocks = first_met.where("packed is not null").select(*place, "packed")
+    if blocks.isEmpty():
+        return done
     pairs = blocks.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     pairs = pairs.withColumns({"left_block": F.least("block", "other"), "right_block": F.greatest("block", "other")}).drop("other")
     sides = ["path", "left_block", "right_block"]
     pairs = pairs.repartition(*sides).sortWithinPartitions(*sides, "block").mapInArrow(meet, PACKED)
     large = pairs.repartition("path", "block").sortWithinPartitions("path", "block")
-    full = f"{schema}, {PLACE}"
-    return single.mapInArrow(alone, full).unionByName(large.mapInArrow(gather, full))
+    return done.unionByName(large.mapInArrow(gather, full))
 
 
 def chosen_path_join(
