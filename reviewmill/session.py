@@ -59,7 +59,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def _scratch_base(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+        one_machine = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
+        if scheme == "file" and not one_machine:
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines share: {base} may be one machine's own")
     return f"{base.rstrip('/')}/reviewmill/{spark.sparkContext.applicationId}"
 
 
