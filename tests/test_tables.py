@@ -330,7 +330,7 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     unset = {"spark.checkpoint.dir": None, "spark.sql.warehouse.dir": "file:/tmp/warehouse"}
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *default: unset[key])
     assert scratch_path(spark, "x").startswith("file:/tmp/warehouse/")
-    monkeypatch.setattr(type(spark.sparkContext), "master", "spark://host:7077")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(spark, "x")
 
