@@ -1492,7 +1492,9 @@ FROM s GROUP BY asin"""
 )
 def product_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = data.bronze_reviews(spark, sf_dir).select("asin", "overall", "review_text")
-    return dashboards.product_dashboard(enrich.label_by_rule(rows, POSITIVE_WORDS, NEGATIVE_WORDS))
+    # The lines of an order share its text.
+    labelled = enrich.label_once(rows, lambda texts: enrich.label_by_rule(texts, POSITIVE_WORDS, NEGATIVE_WORDS))
+    return dashboards.product_dashboard(labelled)
 
 
 def dated_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

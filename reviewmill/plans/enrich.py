@@ -96,6 +96,19 @@ def label_by_rule(
     return with_placeholders(reviews.withColumn("sentiment", sentiment))
 
 
+def label_once(
+    reviews: DataFrame, label: Callable[[DataFrame], DataFrame], text: str = "review_text"
+) -> DataFrame:
+    """Labels worked out once per distinct text and joined back by its digest, for feeds whose texts repeat.
+
+    ``label`` adds its columns to a frame of texts. Where the texts are not needed any more, only digests are shuffled
+    on the reviews' side.
+    """
+    keyed = reviews.withColumn("_digest", F.sha2(F.col(text), 256))
+    texts = keyed.where(F.col(text).isNotNull()).groupBy("_digest").agg(F.first(text).alias(text))
+    return keyed.join(label(texts).drop(text), "_digest", "left").drop("_digest")
+
+
 def not_yet_enriched(gold: DataFrame, enriched: DataFrame) -> DataFrame:
     """Gold rows of the dates that the enriched table lacks; rows without a date are a date of their own.
 

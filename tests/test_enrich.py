@@ -178,3 +178,17 @@ def test_backfill_does_not_shuffle_gold_and_scores_null_dates_once(spark, tmp_pa
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_labels_once_per_text(spark, ansi):
+    rows = spark.createDataFrame([(1, "good"), (2, "bad bad"), (3, None), (4, "good"), (5, "")], "i int, review_text string")
+    seen = []
+
+    def label(texts):
+        seen.append(texts.count())
+        return enrich.label_by_rule(texts, ["good"], ["bad"])
+
+    once = enrich.label_once(rows, label)
+    plain = enrich.label_by_rule(rows, ["good"], ["bad"])
+    assert seen == [3] and once.columns == plain.columns
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
