@@ -63,7 +63,7 @@ def test_stages_take_an_empty_table(spark, documents):
 
 def test_registered(spark):
     names = {n.split("_")[0] for n in queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in queries()
     assert set(LLM_ORACLES) <= set(oracle_sql())
 
 
