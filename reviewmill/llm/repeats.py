@@ -333,7 +333,8 @@ def _divided(classes: DataFrame) -> DataFrame:
     class. A segment is two rows a round, and only as long as its group is too large.
     """
 
-    def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def halve(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+        wanted = fields if whole else narrow
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
@@ -343,27 +344,42 @@ def _divided(classes: DataFrame) -> DataFrame:
                     part = data[place - farthest : place - nearest + LENGTH]
                     group = xxhash.xxh3_64_intdigest(core + b"%d,%d,%d" % (row["anchor"], low, high)) - 2**63
                     own = xxhash.xxh3_64_intdigest(part + b"%d" % farthest, 1) - 2**63
-                    rows.append((row["anchor"], row["content"], place - farthest, group, own, row["copies"], farthest, low, high, part))
-            columns = zip(*rows) if rows else [[]] * len(fields)
-            arrays = [pa.array(list(c), field.type) for c, field in zip(columns, fields)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=fields)
-
-    kinds = {"base": pa.int32(), "place": pa.int32(), "low": pa.int32(), "high": pa.int32(), "bytes": pa.binary()}
-    names = ["anchor", "content", "base", "group", "own", "copies", "place", "low", "high", "bytes"]
+                    strings = farthest - nearest + 1
+                    rows.append((row["anchor"], row["content"], place - farthest, group, own, row["copies"], strings, farthest, low, high, part))
+            columns = list(zip(*rows)) if rows else [[]] * len(fields)
+            arrays = [pa.array(list(c), field.type) for c, field in zip(columns, wanted)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=wanted)
+
+    names = ["anchor", "content", "base", "group", "own", "copies", "strings", "place", "low", "high", "bytes"]
+    kinds = {"base": pa.int32(), "strings": pa.int32(), "place": pa.int32(), "low": pa.int32(), "high": pa.int32(), "bytes": pa.binary()}
     fields = pa.schema([pa.field(n, kinds.get(n, pa.int64())) for n in names])
-    schema = "anchor long, content long, base int, group long, own long, copies long, place int, low int, high int, bytes binary"
-    halves = keep(classes.select("anchor", "content", "copies", "place", "low", "high", "bytes").mapInArrow(halve, schema), "halves")
+    narrow = pa.schema(list(fields)[:7])
+    schema = "anchor long, content long, base int, group long, own long, copies long, strings int"
+    given = classes.select("anchor", "content", "copies", "place", "low", "high", "bytes")
+    # Numbers only: the bytes are cut again for the few classes that have company.
+    halves = keep(given.mapInArrow(lambda batches: halve(batches, False), schema), "halves")
     parts = halves.groupBy("group", "own").agg(
-        F.sum("copies").alias("copies"), F.min(F.struct("place", "low", "high", "bytes")).alias("one")
+        F.sum("copies").alias("copies"), F.max("strings").alias("strings"), F.min(F.struct("anchor", "content")).alias("first")
     )
-    parts = keep(parts.select(F.col("group").alias("anchor"), F.col("own").alias("content"), "copies", "one.*"), "parts")
-    sizes = parts.groupBy("anchor").agg(F.count("*").alias("many"))
-    sized = keep(parts.join(sizes, "anchor").filter("many > 1 or copies > 1"), "sized")
-    runs = _indexed(sized.filter(F.col("many") <= MANY))
-    large = sized.filter(F.col("many") > MANY)
-    if not large.isEmpty():
-        runs = runs.unionByName(_divided(large))
-    runs = keep(runs.withColumnsRenamed({"anchor": "group", "content": "own"}), "part-runs")
+    sizes = parts.groupBy("group").agg(F.count("*").alias("many"))
+    told = keep(parts.join(sizes, "group").filter("many > 1 or copies > 1"), "parts")
+    # Alone in its group, a class repeats if it has copies, and then with all its strings.
+    alone = told.filter("many = 1").select("group", "own", F.lit(0).alias("offset"), F.col("strings").alias("length"))
+    company = told.filter("many > 1").select("group", "own", F.col("copies").alias("all"), "many", "first.anchor", "first.content")
+    if company.isEmpty():
+        runs = alone
+    else:
+        cut = given.join(company.select("anchor", "content").distinct(), ["anchor", "content"], "left_semi")
+        cut = cut.select(given.columns).mapInArrow(lambda batches: halve(batches, True), f"{schema}, place int, low int, high int, bytes binary")
+        cut = cut.join(company, ["anchor", "content", "group", "own"]).select(
+            F.col("group").alias("anchor"), F.col("own").alias("content"), F.col("all").alias("copies"), "many", "place", "low", "high", "bytes"
+        )
+        cut = keep(cut, "part-bytes")
+        found, large = _indexed(cut.filter(F.col("many") <= MANY)), cut.filter(F.col("many") > MANY)
+        if not large.isEmpty():
+            found = found.unionByName(_divided(large))
+        runs = alone.unionByName(found.withColumnsRenamed({"anchor": "group", "content": "own"}))
+    runs = keep(runs, "part-runs")
     back = halves.select("anchor", "content", "base", "group", "own").join(runs, ["group", "own"])
     return back.select("anchor", "content", (F.col("base") + F.col("offset")).alias("offset"), "length")
 

@@ -116,7 +116,7 @@ def test_empty_table(spark):
 
 
 def test_scores_beyond_a_long_raise(spark):
-    df = spark.createDataFrame([(i, 1, [5e6] * 4096) for i in range(3)], "vec_id long, label int, embedding array<double>")
+    df = spark.createDataFrame([(i, 1, [5e6] * 64) for i in range(3)], "vec_id long, label int, embedding array<double>")
     with pytest.raises(Exception, match="do not fit a long"):
         negatives.hard_negatives(df, F.col("vec_id") == 0).count()
 
