@@ -36,7 +36,7 @@ SYMBOL = 40
 #: Bytes that one transform indexes.
 INDEXED = 500_000
 #: Different segments that are indexed together; an anchor with more is divided.
-MANY = 2048
+MANY = 512
 #: Bytes that a task hashes at a time; their places fill the low bits of a hash.
 CHUNK = 1 << 18
 
@@ -335,9 +335,9 @@ def _divided(classes: DataFrame) -> DataFrame:
 
     def halve(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
         wanted = fields if whole else narrow
-        for batch in batches:
+        for piece in (batch.slice(at, 1000) for batch in batches for at in range(0, batch.num_rows, 1000)):
             rows = []
-            for row in batch.to_pylist():
+            for row in piece.to_pylist():
                 data, place = row["bytes"], row["place"]
                 for low, high, nearest, farthest in _halves(data, place, row["low"], row["high"]):
                     core = data[place - low : place - high + LENGTH]
