@@ -38,6 +38,12 @@ def joined_text(column: str, by: str = ","):
 # --- Gold: joins, averages, deviations -------------------------------------------------
 
 
+def compared_reviews(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
+    """Gold reviews; the feed is a table, as three steps read it."""
+    rows = keep(data.reviews(spark, sf_dir), "reviews")
+    return gold.compare_reviews(rows, data.products(spark, sf_dir), unique_products=True, **how)
+
+
 GOLD_REVIEWS_SQL = (
     f"""WITH {sql.JOINED}
 SELECT DISTINCT j.asin, j.reviewer_id, j.overall, j.date, j.brand, j.main_cat,
@@ -50,9 +56,7 @@ FROM j LEFT JOIN b ON j.brand = b.brand LEFT JOIN v ON j.reviewer_id = v.reviewe
 
 @query(GOLD_REVIEWS_SQL)
 def gold_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.compare_reviews(
-        data.reviews(spark, sf_dir), data.products(spark, sf_dir), unique_products=True
-    )
+    return compared_reviews(spark, sf_dir)
 
 
 @query(
@@ -1559,7 +1563,7 @@ SELECT *, against_brand - against_own AS singled_out FROM o"""
 )
 def brand_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviewers beside each brand they rated."""
-    return dashboards.brand_outliers(gold_reviews(spark, sf_dir))
+    return dashboards.brand_outliers(compared_reviews(spark, sf_dir, reviewer_last=True))
 
 
 @query(
@@ -1588,4 +1592,4 @@ SELECT reviewer_id, count(*) AS reviews,
 FROM g GROUP BY reviewer_id"""
 )
 def reviewer_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboards.reviewer_outliers(gold_reviews(spark, sf_dir))
+    return dashboards.reviewer_outliers(compared_reviews(spark, sf_dir, reviewer_last=True))

@@ -29,6 +29,7 @@ def compare_reviews(
     *,
     unique_products: bool = False,
     hot_rows: int = HOT_ROWS,
+    reviewer_last: bool = False,
 ) -> DataFrame:
     """Reviews with product columns, and better / worse / normal against brand and reviewer.
 
@@ -37,8 +38,9 @@ def compare_reviews(
     the joins: product columns are never part of the distinct. Brand averages
     ride on the product side, which leaves the wide reviews two joins, by reviewer and by product.
     The averages are kept as narrow tables: each is read for its sizes, which tell the hot
-    keys and choose the plan, and then joined. ``unique_products`` says that the metadata has one row per
-    product, as silver has.
+    keys and choose the plan, and then joined. Each average gives way to its label before the next shuffle. ``unique_products``
+    says that the metadata has one row per product, as silver has. ``reviewer_last`` joins the product first, which is for few
+    product columns: rows end dealt by reviewer, and a grouping by reviewer shuffles them no more.
     """
     totals = keep(product_totals(reviews), "product-totals")
     reviewer_average = (
@@ -57,19 +59,26 @@ def compare_reviews(
     products = with_average(products, by_brand, "brand", "overall_brand", hot_rows)
 
     hot_reviewers = hot_keys(by_reviewer, "reviewer_id", hot_rows=hot_rows)
-    if hot_reviewers is None:
-        # No reviewer is large, nor any group of copies: one shuffle by reviewer serves both
+    hot_products = hot_keys(totals, "asin", hot_rows=hot_rows)
+
+    def with_reviewer(rows: DataFrame) -> DataFrame:
+        placed = left_join_by_size(rows, by_reviewer.drop("rows"), "reviewer_id", hot_reviewers)
+        return with_deviation(placed, "overall_reviewer", "reviewer_deviation").drop("overall_reviewer", "reviewer_deviation")
+
+    def with_product(rows: DataFrame) -> DataFrame:
+        placed = attach_product(rows, products, hot=hot_products)
+        return with_deviation(placed, "overall_brand", "brand_deviation").drop("overall_brand", "brand_deviation")
+
+    named = ["asin", "reviewer_id", *(c for c in reviews.columns if c not in ("asin", "reviewer_id"))]
+    named += [c for c in products.columns if c not in ("asin", "overall_brand")]
+    if (hot_products if reviewer_last else hot_reviewers) is None:
+        # No key of the first join is large, nor any group of copies: one shuffle by it serves both
         # the distinct and the join. Else the distinct first combines copies on the map side.
-        reviews = reviews.repartition("reviewer_id")
-    placed = left_join_by_size(
-        distinct_rows(reviews), by_reviewer.drop("rows"), "reviewer_id", hot_reviewers
-    )
-    joined = attach_product(placed, products, hot=hot_keys(totals, "asin", hot_rows=hot_rows))
-    judged = with_deviation(joined, "overall_brand", "brand_deviation")
-    judged = with_deviation(judged, "overall_reviewer", "reviewer_deviation")
-    return judged.withColumn("year_month", month_start(F.col("date"))).drop(
-        "overall_brand", "overall_reviewer", "brand_deviation", "reviewer_deviation"
-    )
+        reviews = reviews.repartition("asin" if reviewer_last else "reviewer_id")
+    rows = distinct_rows(reviews)
+    judged = with_reviewer(with_product(rows)) if reviewer_last else with_product(with_reviewer(rows))
+    judged = judged.select(*named, "brand_deviation_text", "reviewer_deviation_text")
+    return judged.withColumn("year_month", month_start(F.col("date")))
 
 
 def streamed_reviews(silver_events: DataFrame) -> DataFrame:

@@ -280,3 +280,22 @@ def test_union_of_feeds_keeps_duplicates_and_declares_types(spark, ansi):
     rows = [(r.asin, r.overall, r.verified, r.date) for r in union.collect()]
     same = ("a", 5.0, True, dt.date(2020, 1, 1))
     assert rows == [same, same, same, ("b", None, None, None)]
+
+
+def test_reviewer_last(spark, ansi):
+    """The same rows, already dealt by reviewer."""
+    pick = random.Random(5)
+    rows = [(f"p{pick.randrange(6)}", f"r{pick.randrange(9)}", float(pick.randrange(1, 6)), None) for _ in range(200)]
+    reviews = spark.createDataFrame(rows + rows[:20] + [(None, None, 3.0, None)], REVIEW_DDL)
+    products = spark.createDataFrame([(f"p{i}", f"b{i % 2}", "t") for i in range(5)], PRODUCT_DDL)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        first = compare_reviews(reviews, products, unique_products=True)
+        last = compare_reviews(reviews, products, unique_products=True, reviewer_last=True)
+        assert first.columns == last.columns
+        assert sorted(map(str, first.collect())) == sorted(map(str, last.collect()))
+        plan = lambda rows: rows._jdf.queryExecution().executedPlan().toString()
+        assert plan(last.groupBy("brand", "reviewer_id").count()).count("Exchange") == plan(last).count("Exchange")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
