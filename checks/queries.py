@@ -1219,13 +1219,21 @@ def raw_reviews(spark: SparkSession, sf_dir: str, *extra) -> DataFrame:
     )
 
 
+def write_raw(raw: DataFrame, folder: str, **narrow: str) -> None:
+    """Three folders of compressed JSON, each written by itself, so that no wide row is sorted by its folder. The first has
+    the ``narrow`` columns in those types."""
+    part = F.expr("pmod(xxhash64(asin), 3)")
+    first = {name: F.col(name).cast(kind) for name, kind in narrow.items()}
+    for number in range(3):
+        rows = raw.where(part == number)
+        rows = rows.withColumns(first) if first and not number else rows
+        rows.write.option("compression", "gzip").json(f"{folder}/part={number}")
+
+
 def loaded_reviews(spark: SparkSession, sf_dir: str, label: str, schema=None, extra=()) -> DataFrame:
     """Reviews as JSON folders with their raw names, loaded into the bronze table."""
     base = scratch_path(spark, label)
-    raw = raw_reviews(spark, sf_dir, *extra)
-    raw.withColumn("part", F.expr("pmod(xxhash64(asin), 3)")).write.partitionBy("part").json(
-        f"{base}/raw"
-    )
+    write_raw(raw_reviews(spark, sf_dir, *extra), f"{base}/raw")
     folders = readers.list_folders(spark, f"{base}/raw")
     bronze.load_bronze_reviews(spark, folders, f"{base}/bronze", schema=schema)
     rows = readers.read_table(spark, f"{base}/bronze")
@@ -1250,10 +1258,7 @@ def bronze_reviews_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Folders that disagree on types, loaded by two runs: votes and stars start as whole numbers, and widen."""
     base = scratch_path(spark, "bronze-moved")
     raw = raw_reviews(spark, sf_dir, (F.col("overall") * 2).alias("starsOfTen"))
-    part = F.expr("pmod(xxhash64(asin), 3)")
-    narrow = raw.where(part == 0).withColumns({c: F.col(c).cast("long") for c in ("vote", "starsOfTen")})
-    for name, rows in (("0", narrow), ("1", raw.where(part == 1)), ("2", raw.where(part == 2))):
-        rows.write.json(f"{base}/raw/part={name}")
+    write_raw(raw, f"{base}/raw", vote="long", starsOfTen="long")
     folders = readers.list_folders(spark, f"{base}/raw")
     bronze.load_bronze_reviews(spark, folders[:1], f"{base}/bronze")
     bronze.load_bronze_reviews(spark, folders, f"{base}/bronze", per_write=1)

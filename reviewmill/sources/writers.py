@@ -18,6 +18,8 @@ from reviewmill.session import scratch_path
 METADATA_RECORDS_PER_FILE = 1_000_000
 REVIEW_RECORDS_PER_FILE = 500_000
 FOLDERS_PER_WRITE = 100
+#: Codec of the tables: about half the bytes of the default one on reviews.
+COMPRESSION = "zstd"
 
 
 def _writer(dataframe: DataFrame, by: str | None, max_records: int | None):
@@ -26,7 +28,7 @@ def _writer(dataframe: DataFrame, by: str | None, max_records: int | None):
         writer = writer.partitionBy(by)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
-    return writer
+    return writer.option("compression", COMPRESSION)
 
 
 def append_table(
