@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.session import keep
+
+#: Hashes of repeated rows that are broadcast at most; with more, all rows are compared.
+MOST_REPEATED = 1_000_000
+
 
 def latest_per_key(
     dataframe: DataFrame,
@@ -44,3 +49,23 @@ def distinct_rows(dataframe: DataFrame, columns: Sequence[str] | None = None) ->
     """
     rows = dataframe.select(*columns) if columns else dataframe
     return rows.dropDuplicates()
+
+
+def once_and_several(
+    dataframe: DataFrame, columns: Sequence[str], most: int = MOST_REPEATED
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows that no other row equals in ``columns``, and the rest, so that only the rest need be compared whole.
+
+    Only a hash of these columns is shuffled, with its count; the few that come more than once are kept as a table and broadcast.
+    A side without rows to look for is None; where more than ``most`` hashes are repeated, all rows are in the rest.
+    """
+    row_hash = F.xxhash64(F.lit(0), *(F.col(f"`{c}`") for c in columns))
+    counted = dataframe.groupBy(row_hash.alias("_hash")).agg(F.count("*").alias("_rows"))
+    repeated = keep(counted.where("_rows > 1").select("_hash"), "repeated")
+    found = repeated.count()
+    if not found:
+        return dataframe, None
+    if found > most:
+        return None, dataframe
+    same = row_hash == F.col("_hash")
+    return tuple(dataframe.join(F.broadcast(repeated), same, how) for how in ("left_anti", "left_semi"))

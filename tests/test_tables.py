@@ -8,7 +8,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from reviewmill.plans import bronze
+from checks import queries
+from reviewmill.operators import dedupe
+from reviewmill.plans import bronze, silver
 from reviewmill.schemas import METADATA, POSITIONS, RAW_REVIEWS
 from reviewmill.session import build_session, keep, scratch_path, shuffle_partitions, size_shuffles
 from reviewmill.sources import layout, positions, readers, writers
@@ -370,3 +372,46 @@ def test_shuffles_follow_the_input(spark, tmp_path):
     finally:
         if before is None:
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_silver_compares_only_rows_that_share_their_short_fields(spark, ansi):
+    ddl = "asin string, image string, overall double, review_text string, reviewer_id string, reviewer_name string, unix_review_time_date date"
+    rows = [
+        ("a", '["88"]', 1.0, "x y", "r", "A &amp; B", None),
+        ("a", "[]", 1.0, "x y", "r", "A & B", None),  # the same once it is clean
+        ("a", "[]", 2.0, "x y", "r", "A & B", None),
+        (None, None, None, None, None, None, None),
+        (None, None, None, None, None, None, None),
+    ]
+    found = silver.silver_reviews(spark.createDataFrame(rows + [("b", None, 1.0, "z", "q", "C", None)], ddl))
+    assert sorted((str(r.asin), str(r.overall), str(r.review_word_count)) for r in found.collect()) == [
+        ("None", "None", "None"), ("a", "1.0", "2"), ("a", "2.0", "2"), ("b", "1.0", "1"),
+    ]
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    alone = spark.createDataFrame([(str(i), None, 1.0, "text", "r", "n", None) for i in range(50)], ddl)
+    assert "Exchange" not in plan(silver.silver_reviews(alone)) and silver.silver_reviews(alone).count() == 50
+
+
+@pytest.mark.parametrize("most", [0, 1, 100])
+def test_once_and_several(spark, most):
+    rows = spark.createDataFrame([(i % 7, None if i % 7 else "t") for i in range(7)] + [(1, "u"), (2, None), (None, "v"), (None, "w")], "k int, t string")
+    once, several = dedupe.once_and_several(rows, ["k"], most)
+    if most < 3:  # three values of k are repeated
+        assert once is None and several.count() == 11
+    else:
+        assert sorted(r.k for r in once.collect()) == [0, 3, 4, 5, 6] and several.count() == 6
+
+
+def test_raw_feed_is_compressed_and_written_by_folder(spark, tmp_path):
+    raw = spark.range(300).select(F.col("id").cast("string").alias("asin"), F.lit("7").alias("vote"))
+    queries.write_raw(raw, str(tmp_path / "raw"), vote="long")
+    folders = readers.list_folders(spark, str(tmp_path / "raw"))
+    names = [n for f in folders for n in os.listdir(f.removeprefix("file:")) if n.startswith("part-")]
+    assert len(folders) == 3 and names and all(n.endswith(".json.gz") for n in names)
+    assert [readers.read_json(spark, f).schema["vote"].dataType.simpleString() for f in folders] == ["bigint", "string", "string"]
+    assert sum(readers.read_json(spark, f).count() for f in folders) == 300
+
+
+def test_tables_are_written_with_zstd(spark, tmp_path):
+    writers.append_table(days(spark, [(1, None)]), str(tmp_path / "t"))
+    assert all(name.endswith(".zstd.parquet") for name in data_files(tmp_path / "t")) and data_files(tmp_path / "t")
