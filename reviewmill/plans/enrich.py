@@ -102,11 +102,14 @@ def label_once(
     """Labels worked out once per distinct text and joined back by its digest, for feeds whose texts repeat.
 
     ``label`` adds its columns to a frame of texts. Where the texts are not needed any more, only digests are shuffled
-    on the reviews' side.
+    on the reviews' side. Reviews without a text have no label and take no part in the join, where they would all
+    meet in one task.
     """
-    keyed = reviews.withColumn("_digest", F.sha2(F.col(text), 256))
-    texts = keyed.where(F.col(text).isNotNull()).groupBy("_digest").agg(F.first(text).alias(text))
-    return keyed.join(label(texts).drop(text), "_digest", "left").drop("_digest")
+    keyed = reviews.where(F.col(text).isNotNull()).withColumn("_digest", F.sha2(F.col(text), 256))
+    labels = label(keyed.groupBy("_digest").agg(F.first(text).alias(text))).drop(text)
+    labelled = keyed.join(labels, "_digest", "left").drop("_digest")
+    none = {f.name: F.lit(None).cast(f.dataType) for f in labels.schema if f.name != "_digest"}
+    return labelled.unionByName(reviews.where(F.col(text).isNull()).withColumns(none))
 
 
 def not_yet_enriched(gold: DataFrame, enriched: DataFrame) -> DataFrame:
