@@ -326,11 +326,11 @@ def _requests(members: DataFrame, runs: int, similarity: float) -> DataFrame:
             break
         sizes = keep(sizes, "buckets")
         done.append(rows.join(sizes.filter(f"many <= {BLOCK}"), "path"))
+        # Staged, as three steps read it: a large group of near copies is looked up once.
         large = rows.join(sizes.filter(f"many > {BLOCK}"), "path").withColumnsRenamed({"path": "parent", "many": "parent_many"})
-        large = large.join(members.select("id", "sketch"), "id")
-        longer = keep(
-            _paths(large, runs).withColumn("parent", F.xxhash64(F.substring("tokens", F.lit(1), F.lit(8 * depth)))), "paths"
-        )
+        large = keep(large, "large")
+        longer = _paths(large.join(members.select("id", "sketch"), "id"), runs)
+        longer = keep(longer.withColumn("parent", F.xxhash64(F.substring("tokens", F.lit(1), F.lit(8 * depth)))), "paths")
         # Mean share of the members that have a sampled token, over the tokens sampled: high where sets are alike.
         counts = keep(longer.groupBy("parent", "path").agg(F.count("*").alias("n")), "counts")
         shares = counts.groupBy("parent").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("met"))
@@ -342,7 +342,8 @@ def _requests(members: DataFrame, runs: int, similarity: float) -> DataFrame:
             .select("hash", "path", "many", (F.coalesce("met", F.lit(0.0)) >= DENSE * F.col("many")).alias("dense")),
             "dense",
         )
-        done.append(rows.join(dense.filter("dense").select("path", "many"), "path"))
+        alike = dense.filter("dense").select(F.col("path").alias("parent"), "many")
+        done.append(large.drop("parent_many").join(alike, "parent").withColumnRenamed("parent", "path"))
         # A path of one member holds no pair: only shared ones are gone along.
         open_ = counts.filter("n > 1").join(dense.filter("not dense").select(F.col("hash").alias("parent")), "parent")
         rows = longer.join(open_.select("path"), "path").select("id", "path", "tokens", "at")
