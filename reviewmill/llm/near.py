@@ -291,11 +291,14 @@ def chosen_path_join(
 
 
 def _paths(rows: DataFrame, runs: int) -> DataFrame:
-    """Each member with its next ``runs`` tokens, from place ``at`` of the sketch on, as longer paths."""
+    """Each member with its next ``runs`` tokens, from place ``at`` of the sketch on, as longer paths.
+
+    ``skipped`` is the token that the longer path leaves out right before its last one, null if it leaves none out there.
+    """
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"id": [], "path": [], "tokens": [], "at": []}
+            out = {"id": [], "path": [], "tokens": [], "at": [], "skipped": []}
             ids, at = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             tokens, sketches = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for i in range(batch.num_rows):
@@ -306,47 +309,50 @@ def _paths(rows: DataFrame, runs: int) -> DataFrame:
                     out["path"].append(xxhash.xxh3_64_intdigest(longer) - 2**63)
                     out["tokens"].append(longer)
                     out["at"].append(k + 1)
+                    out["skipped"].append(int.from_bytes(sketches[i][8 * k - 8 : 8 * k], "little", signed=True) if k > at[i] else None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["id"], batch.schema.field(0).type), pa.array(out["path"], pa.int64()),
-                 pa.array(out["tokens"], pa.binary()), pa.array(out["at"], pa.int32())], names=list(out)
+                 pa.array(out["tokens"], pa.binary()), pa.array(out["at"], pa.int32()), pa.array(out["skipped"], pa.int64())],
+                names=list(out),
             )
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "at", "tokens", "sketch").mapInArrow(extend, f"id {id_type}, path long, tokens binary, at int")
+    return rows.select("id", "at", "tokens", "sketch").mapInArrow(extend, f"id {id_type}, path long, tokens binary, at int, skipped long")
 
 
 def _requests(members: DataFrame, runs: int, similarity: float) -> DataFrame:
     """Rows (id, path, tokens, blocks, block): the sets that each bucket needs in whole."""
     start = members.withColumn("at", F.lit(0)).withColumn("tokens", F.unhex(F.lit("")))
     rows, done = keep(_paths(start, runs), "paths"), []
-    for depth in range(1, DEPTH + 1):
-        sizes = rows.groupBy("path").agg(F.count("*").alias("many")).filter("many > 1")
-        if depth == DEPTH:
-            done.append(rows.join(sizes, "path"))
-            break
-        sizes = keep(sizes, "buckets")
-        done.append(rows.join(sizes.filter(f"many <= {BLOCK}"), "path"))
-        # Staged, as three steps read it: a large group of near copies is looked up once.
-        large = rows.join(sizes.filter(f"many > {BLOCK}"), "path").withColumnsRenamed({"path": "parent", "many": "parent_many"})
-        large = keep(large, "large")
+    # A path holds no pair if it has one member, or if all of its members skip the same token: they share it earlier.
+    alone = (F.count("*") == 1) | ((F.count("skipped") == F.count("*")) & (F.min("skipped") == F.max("skipped")))
+    alone = F.coalesce(alone, F.lit(False)).alias("alone")
+    sizes = rows.groupBy("path").agg(F.count("*").alias("many"), alone).filter("not alone").drop("alone")
+    # Staged at every depth, as the small, dense and split buckets all read it: a row is looked up by its path once.
+    rows = keep(rows.join(sizes, "path"), "shared")
+    for depth in range(1, DEPTH):
+        done.append(rows.filter(f"many <= {BLOCK}"))
+        large = rows.filter(f"many > {BLOCK}").withColumnRenamed("path", "parent")
         longer = _paths(large.join(members.select("id", "sketch"), "id"), runs)
         longer = keep(longer.withColumn("parent", F.xxhash64(F.substring("tokens", F.lit(1), F.lit(8 * depth)))), "paths")
         # Mean share of the members that have a sampled token, over the tokens sampled: high where sets are alike.
-        counts = keep(longer.groupBy("parent", "path").agg(F.count("*").alias("n")), "counts")
+        counts = keep(longer.groupBy("parent", "path").agg(F.count("*").alias("n"), alone), "counts")
         shares = counts.groupBy("parent").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("met"))
-        marked = large.select("parent", "tokens", "parent_many").groupBy(F.xxhash64("tokens").alias("hash")).agg(
-            F.first("parent").alias("path"), F.first("parent_many").alias("many")
+        marked = large.groupBy(F.xxhash64("tokens").alias("hash")).agg(
+            F.first("parent").alias("path"), F.first("many").alias("many")
         )
         dense = keep(
             marked.join(shares, F.col("hash") == F.col("parent"), "left")
-            .select("hash", "path", "many", (F.coalesce("met", F.lit(0.0)) >= DENSE * F.col("many")).alias("dense")),
+            .select("hash", "path", (F.coalesce("met", F.lit(0.0)) >= DENSE * F.col("many")).alias("dense")),
             "dense",
         )
-        alike = dense.filter("dense").select(F.col("path").alias("parent"), "many")
-        done.append(large.drop("parent_many").join(alike, "parent").withColumnRenamed("parent", "path"))
-        # A path of one member holds no pair: only shared ones are gone along.
-        open_ = counts.filter("n > 1").join(dense.filter("not dense").select(F.col("hash").alias("parent")), "parent")
-        rows = longer.join(open_.select("path"), "path").select("id", "path", "tokens", "at")
+        alike = dense.filter("dense").select(F.col("path").alias("parent"))
+        done.append(large.join(alike, "parent").withColumnRenamed("parent", "path"))
+        # Only paths that hold a pair are gone along, with the size that is already counted.
+        open_ = counts.filter("not alone").join(dense.filter("not dense").select(F.col("hash").alias("parent")), "parent")
+        sizes = open_.select("path", F.col("n").alias("many"))
+        rows = keep(longer.drop("parent").join(sizes, "path"), "shared")
+    done.append(rows)
     ready = done[0]
     for part in done[1:]:
         ready = ready.unionByName(part)

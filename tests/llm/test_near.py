@@ -125,3 +125,51 @@ def test_links_of_pairs_of_blocks_add_up():
     rows = pa.table({"id": [5, 7, 5, 9], "links": [2, 1, 3, 1], "root": [5, 5, 3, 7]})
     merged = near._merged_links(rows).to_pylist()
     assert {r["id"]: (r["links"], r["root"]) for r in merged} == {5: (5, 3), 7: (1, 3), 9: (1, 3)}
+
+
+def test_a_row_is_looked_up_by_its_path_once(make, monkeypatch):
+    """One join by path for each depth, whose rows double with a group of unlike texts around one line and one of near copies."""
+    monkeypatch.setattr(near, "BLOCK", 20)
+    real, made = near.keep, {}
+
+    def texts(size):
+        pick = random.Random(4)
+        line = [f"line{i}" for i in range(12)]
+        base = [f"w{i}" for i in range(60)]
+        unlike = [" ".join(line + [f"u{pick.randrange(10**6)}" for _ in range(20)]) for _ in range(size)]
+        alike = [list(base) for _ in range(size)]
+        for copy in alike:
+            copy[pick.randrange(60)] = f"x{pick.randrange(10**6)}"
+        return unlike + [" ".join(copy) for copy in alike]
+
+    def counted(frame, label):
+        joins = len(re.findall(r"Join Inner, \(path#\d+L? = path#\d+L?\)", frame._jdf.queryExecution().optimizedPlan().toString()))
+        kept = real(frame, label)
+        made.setdefault(size, []).extend([kept.count()] * joins)
+        return kept
+
+    monkeypatch.setattr(near, "keep", counted)
+    for size in (60, 120):
+        rows = texts(size)
+        assert found(near.chosen_path_join(make(rows))) == by_definition(list(enumerate(rows)))
+    assert len(made[60]) == len(made[120]) == near.DEPTH
+    assert made[60][1] > 0 and sum(made[120]) < 3 * sum(made[60])
+
+
+def test_near_copies_share_few_buckets(make, monkeypatch):
+    """Pairs of near copies: a pair that shares all of its smallest tokens is kept by one bucket, not by one for each token."""
+    pick = random.Random(9)
+    rows = []
+    for i in range(60):
+        words = [f"w{i}x{j}" for j in range(100)]
+        rows += [" ".join(words), " ".join(words[:-1] + [f"y{pick.randrange(10**6)}"])]
+    real, kept = near.keep, {}
+
+    def counted(frame, label):
+        made = real(frame, label)
+        kept[label] = kept.get(label, 0) + made.count()
+        return made
+
+    monkeypatch.setattr(near, "keep", counted)
+    assert found(near.chosen_path_join(make(rows))) == by_definition(list(enumerate(rows)))
+    assert 120 <= kept["shared"] <= 360
