@@ -95,7 +95,7 @@ def gold_reviews_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "gold")
     events = data.event_feed(spark, sf_dir)
     writers.overwrite_table(
-        silver.silver_reviews(data.bronze_reviews(spark, sf_dir)), f"{base}/reviews", "year_month"
+        silver.silver_reviews(data.bronze_reviews(spark, sf_dir)), f"{base}/reviews", "year_month", spread=False
     )
     writers.overwrite_table(
         silver.silver_events(bronze.bronze_events(events)), f"{base}/events", "date_utc"

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.session import keep
+from reviewmill.session import DROP_SHUFFLES, keep, settings_for
 
 #: Hashes of repeated rows that are broadcast at most; with more, all rows are compared.
 MOST_REPEATED = 1_000_000
@@ -61,7 +61,8 @@ def once_and_several(
     """
     row_hash = F.xxhash64(F.lit(0), *(F.col(f"`{c}`") for c in columns))
     counted = dataframe.groupBy(row_hash.alias("_hash")).agg(F.count("*").alias("_rows"))
-    repeated = keep(counted.where("_rows > 1").select("_hash"), "repeated")
+    with settings_for(dataframe.sparkSession, DROP_SHUFFLES):
+        repeated = keep(counted.where("_rows > 1").select("_hash"), "repeated")
     found = repeated.count()
     if not found:
         return dataframe, None

@@ -19,9 +19,12 @@ from reviewmill.operators.norms import (
 from reviewmill.operators.sets import union_feeds
 from reviewmill.operators.skew import HOT_ROWS, hot_keys, left_join_by_size
 from reviewmill.schemas import GOLD_COLUMNS, GOLD_METADATA_COLUMNS, REVIEWS
-from reviewmill.session import keep, size_shuffles
+from reviewmill.session import DROP_SHUFFLES, keep, settings_for, size_shuffles
 from reviewmill.sources.writers import overwrite_table, publish_table
 
+#: Rows that are dealt by one of the keys of a join stay where they are.
+BY_PRODUCT = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 
 def compare_reviews(
     reviews: DataFrame,
@@ -30,6 +33,7 @@ def compare_reviews(
     unique_products: bool = False,
     hot_rows: int = HOT_ROWS,
     reviewer_last: bool = False,
+    one_shuffle: bool = False,
 ) -> DataFrame:
     """Reviews with product columns, and better / worse / normal against brand and reviewer.
 
@@ -40,16 +44,20 @@ def compare_reviews(
     The averages are kept as narrow tables: each is read for its sizes, which tell the hot
     keys and choose the plan, and then joined. Each average gives way to its label before the next shuffle. ``unique_products``
     says that the metadata has one row per product, as silver has. ``reviewer_last`` joins the product first, which is for few
-    product columns: rows end dealt by reviewer, and a grouping by reviewer shuffles them no more.
+    product columns: rows end dealt by reviewer, and a grouping by reviewer shuffles them no more. ``one_shuffle`` moves the wide
+    rows once, by product: each reviewer's average goes to the products that the reviewer has reviewed, in narrow rows. Run it under
+    ``BY_PRODUCT``, else there is a second shuffle; with hot products it is not done.
     """
-    totals = keep(product_totals(reviews), "product-totals")
+    with settings_for(reviews.sparkSession, DROP_SHUFFLES):
+        totals = keep(product_totals(reviews), "product-totals")
     reviewer_average = (
         group_average(reviews, "reviewer_id", "overall", "overall_reviewer")
         if unique_products
         else average_over_products(reviews, metadata, "reviewer_id", "overall_reviewer")
     )
-    by_reviewer = keep(reviewer_average, "reviewer-average")
-    by_brand = keep(average_through_product(totals, metadata), "brand-average")
+    with settings_for(reviews.sparkSession, DROP_SHUFFLES):
+        by_reviewer = keep(reviewer_average, "reviewer-average")
+        by_brand = keep(average_through_product(totals, metadata), "brand-average")
 
     products = metadata.withColumnsRenamed(
         {c: f"{c}_met" for c in metadata.columns if c != "asin" and c in reviews.columns}
@@ -71,6 +79,18 @@ def compare_reviews(
 
     named = ["asin", "reviewer_id", *(c for c in reviews.columns if c not in ("asin", "reviewer_id"))]
     named += [c for c in products.columns if c not in ("asin", "overall_brand")]
+    if one_shuffle and hot_products is None:
+        # Dealt by a hash of the product that is null for none. Reviewers and products then join within the same deal.
+        place = F.xxhash64("asin").alias("_place")
+        pairs = reviews.select(place, "reviewer_id").distinct()
+        averages = left_join_by_size(pairs, by_reviewer.drop("rows"), "reviewer_id", hot_reviewers)
+        rows = distinct_rows(reviews.select("*", place).repartition("_place"))
+        rows = rows.join(averages, ["_place", "reviewer_id"], "left")
+        rows = with_deviation(rows, "overall_reviewer", "reviewer_deviation")
+        rows = rows.join(products.select("*", place), ["_place", "asin"], "left")
+        judged = with_deviation(rows, "overall_brand", "brand_deviation")
+        judged = judged.select(*named, "brand_deviation_text", "reviewer_deviation_text")
+        return judged.withColumn("year_month", month_start(F.col("date")))
     if (hot_products if reviewer_last else hot_reviewers) is None:
         # No key of the first join is large, nor any group of copies: one shuffle by it serves both
         # the distinct and the join. Else the distinct first combines copies on the map side.
@@ -98,7 +118,7 @@ def gold_reviews(
     reviews = union_feeds(REVIEWS, batch, streamed_reviews(events))
     products = metadata.select(*GOLD_METADATA_COLUMNS)
     compared = compare_reviews(
-        reviews, products, unique_products=unique_products, hot_rows=hot_rows
+        reviews, products, unique_products=unique_products, hot_rows=hot_rows, one_shuffle=True
     )
     return compared.select(*GOLD_COLUMNS)
 
@@ -109,12 +129,14 @@ def write_gold(
     """Gold job: read silver, overwrite the gold table, partitioned by month.
 
     Shuffles start with as many partitions as the input's size asks for. A reviewer, product
-    or brand with more than ``hot_rows`` rows (or 1 / 100,000 of all, where that is more) is spread over many tasks.
+    or brand with more than ``hot_rows`` rows (or 1 / 100,000 of all, where that is more) is spread over many tasks. Rows are
+    written where they are joined, without a shuffle by month.
     """
     size_shuffles(spark, batch, events, metadata)
     read = spark.read.parquet
     rows = gold_reviews(read(batch), read(events), read(metadata), hot_rows=hot_rows)
-    overwrite_table(rows, table, "year_month")
+    with settings_for(spark, BY_PRODUCT):
+        overwrite_table(rows, table, "year_month", spread=False)
 
 
 def publish_gold(spark: SparkSession, table: str, name: str, **options) -> None:

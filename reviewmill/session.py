@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Shuffle files go with the query that made them, not when the driver happens to collect its garbage.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 128 * 1024**2, least: int = 200) -> int:
     """Partitions that keep each shuffle partition near the target; adaptive runs merge the surplus."""
@@ -38,6 +43,19 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
     return partitions
 
 
+@contextmanager
+def settings_for(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the queries that are run inside."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def build_session(
     app_name: str = "reviewmill", master: str | None = None, settings: dict[str, str] | None = None
 ) -> SparkSession:

@@ -1,7 +1,9 @@
 """Table writers.
 
 Partitioned writes first rebalance on the partition key: small partitions end in few
-files, and a hot one is split over many tasks instead of filling one.
+files, and a hot one is split over many tasks instead of filling one. That shuffles whole rows, more bytes
+than the table has in the end, so large feeds are written with ``spread=False``: each task writes the rows it has, with one
+file a partition open at once. Such a table has more and smaller files; ``layout.compact`` merges them.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from reviewmill.session import scratch_path
+from reviewmill.session import DROP_SHUFFLES, scratch_path, settings_for
 
 # Records per file of the two batch feeds, and their folders per write.
 METADATA_RECORDS_PER_FILE = 1_000_000
@@ -20,10 +22,19 @@ REVIEW_RECORDS_PER_FILE = 500_000
 FOLDERS_PER_WRITE = 100
 #: Codec of the tables: about half the bytes of the default one on reviews.
 COMPRESSION = "zstd"
-
-
-def _writer(dataframe: DataFrame, by: str | None, max_records: int | None):
-    writer = (dataframe.hint("rebalance", by) if by else dataframe).write
+#: Files that a task holds open at once; rows of further partitions are sorted first.
+OPEN_FILES = {"spark.sql.maxConcurrentOutputFileWriters": "200"}
+#: Input of a task at most, if that leaves one for each core: a task with few rows would write small files. Rows that come from a
+#: shuffle may be sorted for a join first, which has to fit the task's memory.
+LARGE_TASKS = {
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.files.openCostInBytes": "256k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+}
+
+
+def _writer(dataframe: DataFrame, by: str | None, max_records: int | None, spread: bool = True):
+    writer = (dataframe.hint("rebalance", by) if by and spread else dataframe).write
     if by:
         writer = writer.partitionBy(by)
     if max_records:
@@ -31,28 +42,36 @@ def _writer(dataframe: DataFrame, by: str | None, max_records: int | None):
     return writer.option("compression", COMPRESSION)
 
 
+def _settings(dataframe: DataFrame, spread: bool = True):
+    settings = DROP_SHUFFLES if spread else {**DROP_SHUFFLES, **OPEN_FILES, **LARGE_TASKS}
+    return settings_for(dataframe.sparkSession, settings)
+
+
 def append_table(
-    dataframe: DataFrame, path: str, by: str | None = None, max_records: int | None = None
+    dataframe: DataFrame, path: str, by: str | None = None, max_records: int | None = None, *, spread: bool = True
 ) -> None:
     """Append rows; columns the table lacks are added, and read with ``merge_schema``.
 
     Where types may move as well, ``ledger.grow_table`` keeps one schema for all files.
     """
-    _writer(dataframe, by, max_records).mode("append").parquet(path)
+    with _settings(dataframe, spread):
+        _writer(dataframe, by, max_records, spread).mode("append").parquet(path)
 
 
 def overwrite_table(
-    dataframe: DataFrame, path: str, by: str | None = None, max_records: int | None = None
+    dataframe: DataFrame, path: str, by: str | None = None, max_records: int | None = None, *, spread: bool = True
 ) -> None:
     """Replace the whole table."""
-    writer = _writer(dataframe, by, max_records).option("partitionOverwriteMode", "static")
-    writer.mode("overwrite").parquet(path)
+    writer = _writer(dataframe, by, max_records, spread).option("partitionOverwriteMode", "static")
+    with _settings(dataframe, spread):
+        writer.mode("overwrite").parquet(path)
 
 
 def overwrite_partitions(dataframe: DataFrame, path: str, by: str) -> None:
     """Replace only the partitions that the rows belong to."""
     writer = _writer(dataframe, by, None).option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite").parquet(path)
+    with _settings(dataframe):
+        writer.mode("overwrite").parquet(path)
 
 
 def replace_day(dataframe: DataFrame, path: str, day: dt.date, by: str = "date") -> int:

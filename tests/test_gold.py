@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from reviewmill.operators.norms import average_through_product, group_average, product_totals
 from reviewmill.operators.sets import union_feeds
 from reviewmill.operators.skew import hot_keys
-from reviewmill.plans.gold import compare_reviews
-from reviewmill.schemas import REVIEWS
+from reviewmill.plans.gold import BY_PRODUCT, compare_reviews, gold_reviews
+from reviewmill.schemas import GOLD_METADATA_COLUMNS, REVIEWS
+from reviewmill.session import settings_for
 
 REVIEW_DDL = "asin string, reviewer_id string, overall double, date date"
 PRODUCT_DDL = "asin string, brand string, title string"
@@ -299,3 +300,35 @@ def test_reviewer_last(spark, ansi):
         assert plan(last.groupBy("brand", "reviewer_id").count()).count("Exchange") == plan(last.select("*")).count("Exchange")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 30, 1])
+def test_wide_rows_shuffled_once(spark, ansi, hot_rows):
+    """The same rows, with each reviewer's average brought to the product: no, some and all groups are hot."""
+    pick = random.Random(7)
+    rows = [(f"p{pick.randrange(40)}", f"r{pick.randrange(9)}", float(pick.randrange(1, 6)), None) for _ in range(300)]
+    rows += rows[:20] + [(None, None, 3.0, None), (None, "r1", 1.0, None), (None, "r1", 5.0, None), ("p1", None, None, None), ("", "r2", 5.0, None)]
+    reviews = spark.createDataFrame(rows, REVIEW_DDL)
+    products = spark.createDataFrame([*((f"p{i}", f"b{i % 2}", "t") for i in range(30)), (None, "b0", "t")], PRODUCT_DDL)
+    plain = compare_reviews(reviews, products, unique_products=True, hot_rows=hot_rows)
+    once = compare_reviews(reviews, products, unique_products=True, hot_rows=hot_rows, one_shuffle=True)
+    assert plain.columns == once.columns
+    with settings_for(spark, {**BY_PRODUCT, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert sorted(map(str, plain.collect())) == sorted(map(str, once.collect()))
+
+
+def test_gold_shuffles_wide_rows_by_product_alone(spark, tmp_path):
+    """Rows, averages and products are dealt by the product; only narrow rows are by the reviewer."""
+    for name, schema in (("r", REVIEWS), ("e", REVIEWS), ("p", PRODUCT_DDL)):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    reviews, events = (spark.read.parquet(str(tmp_path / name)) for name in ("r", "e"))
+    products = spark.read.parquet(str(tmp_path / "p"))
+    missing = [c for c in GOLD_METADATA_COLUMNS if c not in products.columns]
+    products = products.withColumns({c: F.lit(None).cast("string") for c in missing})
+    events = events.withColumn("date_utc", F.col("date").cast("string")).drop("date")
+    with settings_for(spark, {**BY_PRODUCT, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = gold_reviews(reviews, events, products)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert sum(line.startswith("_place") and "reviewer_id" not in line for line in shuffles) == 3
+    assert not any(line.startswith("asin") for line in shuffles)
+    assert sum("FileScan" in line and "review_text" in line for line in plan.splitlines()) == 2  # one a feed

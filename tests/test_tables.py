@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -415,3 +416,32 @@ def test_raw_feed_is_compressed_and_written_by_folder(spark, tmp_path):
 def test_tables_are_written_with_zstd(spark, tmp_path):
     writers.append_table(days(spark, [(1, None)]), str(tmp_path / "t"))
     assert all(name.endswith(".zstd.parquet") for name in data_files(tmp_path / "t")) and data_files(tmp_path / "t")
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_tables_leave_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    frame = spark.range(0, 1000, 1, 4).select("id", (F.col("id") % 3).cast("string").alias("day"))
+    writers.overwrite_table(frame, str(tmp_path / "t"), "day")
+    for _ in range(50):  # they are removed in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and spark.read.parquet(str(tmp_path / "t")).count() == 1000
+
+
+def test_rows_are_written_where_they_are(spark, tmp_path):
+    """Each of four tasks writes its rows of all days, also where there are more days than files may be open."""
+    frame = spark.range(0, 3000, 1, 4).select("id", (F.col("id") % 300).cast("string").alias("day"))
+    before = shuffle_files(spark)
+    writers.overwrite_table(frame, str(tmp_path / "t"), "day", spread=False)
+    assert not shuffle_files(spark) - before
+    assert len(data_files(tmp_path / "t" / "day=7")) == 4
+    found = spark.read.schema("id long, day string").parquet(str(tmp_path / "t"))
+    assert sorted((r.id, r.day) for r in found.collect()) == [(i, str(i % 300)) for i in range(3000)]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
