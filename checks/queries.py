@@ -262,7 +262,7 @@ SELECT asin, overall, review_text, reviewer_id, reviewer_name, summary, verified
 def silver_reviews_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver job: from the bronze table to the silver table by month."""
     base = scratch_path(spark, "silver-reviews")
-    writers.overwrite_table(data.bronze_reviews(spark, sf_dir), f"{base}/bronze", "year_month")
+    writers.overwrite_table(data.bronze_reviews(spark, sf_dir), f"{base}/bronze", "year_month", spread=False)
     silver.write_silver_reviews(spark, f"{base}/bronze", f"{base}/silver")
     return readers.read_table(spark, f"{base}/silver").drop("image", "review_word_count")
 

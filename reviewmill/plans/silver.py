@@ -134,5 +134,8 @@ def write_silver_metadata(
 
 
 def write_silver_reviews(spark: SparkSession, bronze: str, table: str) -> None:
-    """Silver job: the distinct cleaned reviews of the bronze table, partitioned by ``year_month``."""
-    overwrite_table(silver_reviews(read_table(spark, bronze)), table, "year_month")
+    """Silver job: the distinct cleaned reviews of the bronze table, partitioned by ``year_month`` like that.
+
+    A task reads whole months or parts of them, so it writes them without a shuffle.
+    """
+    overwrite_table(silver_reviews(read_table(spark, bronze)), table, "year_month", spread=False)
