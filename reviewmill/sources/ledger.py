@@ -76,11 +76,13 @@ class Ledger:
         folders: Sequence[str] = (),
         by: str | None = None,
         max_records: int | None = None,
+        spread: bool = True,
     ) -> StructType:
         """Append rows as one batch and return the table's schema after it.
 
         Where a column's type has to widen, the partitions whose files hold the old type are rewritten in the
-        same batch. A type that cannot hold both, or a value that it would change, raises before the table changes.
+        same batch, file by file. A type that cannot hold both, or a value that it would change, raises before the table changes.
+        ``spread`` is that of the table writers.
         """
         had = table_schema(self.spark, self.table, by, rows.schema[by].dataType if by else None)
         own = nullable(rows.schema)
@@ -91,8 +93,8 @@ class Ledger:
         old = self._outdated(had, target, by) if had is not None else []
         if old:
             rows_there = self._files(old, had, by)
-            append_table(as_schema(rows_there, target), staged, by, max_records)
-        append_table(as_schema(rows, target), staged, by, max_records)
+            append_table(as_schema(rows_there, target), staged, by, max_records, spread=False)
+        append_table(as_schema(rows, target), staged, by, max_records, spread=spread)
         entry = {"folders": [self._name(f) for f in folders], "staged": staged, "remove": old, "schema": target.json()}
         number = max([0, *self._batches(DONE), *self._batches(OPEN)]) + 1
         entry["batch"] = number
@@ -150,7 +152,7 @@ def load_folders(
     """Load the folders that the table does not hold yet, ``per_write`` at a time, or all in one write if it is None.
 
     Each write is one scan over its folders and one batch of the ledger, so a load that stops goes on where it
-    was, and every folder is loaded once. A folder is known by its path: files that arrive in it later need a
+    was, and every folder is loaded once. Rows are written by the tasks that read them. A folder is known by its path: files that arrive in it later need a
     folder of their own. Returns the number of folders loaded by this call.
     """
     ledger = Ledger(spark, table)
@@ -159,7 +161,7 @@ def load_folders(
     step = per_write or max(1, len(pending))
     for start in range(0, len(pending), step):
         batch = pending[start : start + step]
-        ledger.add(read(spark, batch), batch, by, max_records)
+        ledger.add(read(spark, batch), batch, by, max_records, spread=False)
         if progress:
             progress(start + len(batch), len(pending))
     return len(pending)
