@@ -16,8 +16,8 @@ from reviewmill.operators import answers, columns, counts, dedupe, filters, norm
 from reviewmill.operators import sets, skew
 from reviewmill.plans import bronze, dashboards, enrich, gold, quality, silver
 from reviewmill.schemas import GOLD_COLUMNS, RAW_REVIEWS, REVIEWS
-from reviewmill.session import keep, scratch_path
-from reviewmill.sources import eventlog, fileindex, layout, ledger, positions, readers, writers
+from reviewmill.session import DROP_SHUFFLES, keep, scratch_path, settings_for
+from reviewmill.sources import eventlog, fileindex, layout, ledger, positions, readers, storage, writers
 from reviewmill.streaming import jobs, quarantine
 
 DAY = dt.date(2024, 1, 15)
@@ -1220,14 +1220,17 @@ def raw_reviews(spark: SparkSession, sf_dir: str, *extra) -> DataFrame:
 
 
 def write_raw(raw: DataFrame, folder: str, **narrow: str) -> None:
-    """Three folders of compressed JSON, each written by itself, so that no wide row is sorted by its folder. The first has
-    the ``narrow`` columns in those types."""
-    part = F.expr("pmod(xxhash64(asin), 3)")
+    """Three folders of compressed JSON. Each task holds a file of each folder open, so that no wide row is sorted by its folder.
+    The first has the ``narrow`` columns in those types, and is written by itself then."""
+    rows = raw.withColumn("part", F.expr("pmod(xxhash64(asin), 3)"))
     first = {name: F.col(name).cast(kind) for name, kind in narrow.items()}
-    for number in range(3):
-        rows = raw.where(part == number)
-        rows = rows.withColumns(first) if first and not number else rows
-        rows.write.option("compression", "gzip").json(f"{folder}/part={number}")
+    passes = [rows.where("part = 0").withColumns(first), rows.where("part > 0")] if first else [rows]
+    with settings_for(raw.sparkSession, {**DROP_SHUFFLES, **writers.OPEN_FILES}):
+        for some in passes:
+            some.write.mode("append").partitionBy("part").option("compression", "gzip").json(folder)
+    for number in range(3):  # also one without rows
+        store = storage.Store(raw.sparkSession, f"{folder}/part={number}")
+        store.files.mkdirs(store.root)
 
 
 def loaded_reviews(spark: SparkSession, sf_dir: str, label: str, schema=None, extra=()) -> DataFrame:
