@@ -445,3 +445,39 @@ def test_rows_are_written_where_they_are(spark, tmp_path):
     found = spark.read.schema("id long, day string").parquet(str(tmp_path / "t"))
     assert sorted((r.id, r.day) for r in found.collect()) == [(i, str(i % 300)) for i in range(3000)]
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_review_tables_are_written_without_a_shuffle(spark, tmp_path):
+    """Four raw files of two months make four files a month in bronze, and as many in silver."""
+    for number in range(4):
+        lines = [f'{{"asin": "{number}{i}", "reviewText": "t {i}", "unixReviewTime": {i % 2 * 5_000_000}}}' for i in range(10)]
+        (tmp_path / "raw").mkdir(exist_ok=True)
+        (tmp_path / "raw" / f"{number}.json").write_text("\n".join(lines))
+    bronze_path, silver_path = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    before = shuffle_files(spark)
+    assert bronze.load_bronze_reviews(spark, [str(tmp_path / "raw")], bronze_path, schema=RAW_REVIEWS) == 1
+    assert [len(data_files(tmp_path / "bronze" / f"year_month={m}")) for m in ("1970-01", "1970-02")] == [4, 4]
+    rows = readers.read_table(spark, bronze_path).withColumn("reviewer_name", F.lit("n"))
+    writers.overwrite_table(rows, f"{bronze_path}-named", "year_month", spread=False)
+    silver.write_silver_reviews(spark, f"{bronze_path}-named", silver_path)
+    assert [len(data_files(tmp_path / "silver" / f"year_month={m}")) for m in ("1970-01", "1970-02")] == [4, 4]
+    assert sorted(r.asin for r in spark.read.parquet(silver_path).collect()) == sorted(r.asin for r in rows.collect())
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+
+
+def test_raw_feed_is_worked_out_once(spark, tmp_path):
+    """One job for all folders, and one more where the first has types of its own."""
+    raw = spark.range(300).select(F.col("id").cast("string").alias("asin"), F.lit("7").alias("vote"))
+    for number, (narrow, jobs_) in enumerate([({}, 1), ({"vote": "long"}, 2)]):
+        spark.sparkContext.setJobGroup(f"raw-{number}", "raw")
+        try:
+            queries.write_raw(raw, str(tmp_path / f"raw{number}"), **narrow)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"raw-{number}")) == jobs_
+        folders = readers.list_folders(spark, str(tmp_path / f"raw{number}"))
+        assert sorted(int(r.asin) for r in readers.read_json(spark, folders).collect()) == list(range(300))
